@@ -34,10 +34,11 @@ from tallystone.operators.promote import (
 from tallystone.operators.quarantine import quarantine_accounts, quarantine_transactions
 from tallystone.operators.runlog import check_log_complete, check_messages_clean
 from tallystone.operators.skew import COPIES
+from tallystone.schemas import LOAD_RESULT
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv
 from tallystone.sources.files import stage, stage_sized
-from tallystone.sources.lake import WRITER, Lake, load_idempotent
+from tallystone.sources.lake import WRITER, Lake, load_days
 
 # The models of a run, in log order.
 NO_OP_MODELS = (
@@ -150,7 +151,6 @@ def _process(run: _Run, start: date, end: date) -> RunResult:
         entity: _load_bronze(run, entity, start, end)
         for entity in ("transaction_codes", "accounts", "transactions")
     }
-    run.flush()
     codes_ok = all(r["status"] != "FAILED" for r in loads["transaction_codes"].values())
     all_days = sorted(loads["transactions"])
     result.days = [
@@ -166,21 +166,22 @@ def _process(run: _Run, start: date, end: date) -> RunResult:
             _silver_and_gold(run, result, end, loads)
         except Exception as error:
             result.reasons.append(f"{type(error).__name__} in Silver or Gold")
-        run.flush()
+    run.flush()
     _gates(run, result, end)
     return result
 
 
 def _load_bronze(run: _Run, entity: str, start: date, end: date) -> dict[date, dict]:
     began = datetime.now(timezone.utc)
+    last = start if entity == "transaction_codes" else end
+    span = [start + timedelta(days=i) for i in range((last - start).days + 1)]
+    rows: dict[date, dict] = {day: {"status": "SKIPPED"} for day in span}
     try:
-        loaded = load_idempotent(run.spark, entity, start, end, run.cfg, run.run_id, run.now)
-        rows = {r["date"]: r.asDict() for r in loaded.orderBy("date").toLocalIterator()}
+        for result in load_days(run.spark, entity, start, end, run.cfg, run.run_id, run.now):
+            rows[result[0]] = dict(zip(LOAD_RESULT.fieldNames(), result))
     except Exception as error:
-        rows = {
-            start + timedelta(days=i): {"status": "FAILED", "error_message": str(error).splitlines()[0]}
-            for i in range((end - start).days + 1)
-        }
+        failed = {"status": "FAILED", "error_message": str(error).splitlines()[0]}
+        rows = dict.fromkeys(span, failed)
     for day, r in rows.items():
         run.log(
             f"bronze_{entity}", "BRONZE", r["status"], started_at=began,
@@ -253,7 +254,6 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
 
     run.step("silver_transactions", "SILVER", None, promote)
     run.step("silver_quarantine", "SILVER", None, quarantine)
-    run.flush()
     refresh_gold(run, scope, end)
 
 
@@ -278,7 +278,7 @@ def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[dat
         ),
         "ids-elsewhere",
     )
-    touched = [r["date"] for r in elsewhere.select("date").distinct().toLocalIterator()]
+    touched = [r["date"] for r in elsewhere.select("date").distinct().collect()]
     if not touched:
         return _sized(days, counts.where(F.col(COPIES) > 1))
     if cfg.retract:
@@ -365,7 +365,7 @@ def run_backfill(
     arrived = late_resolved(silver, accounts)
     pairs = waiting.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n"))
     touched = pairs.join(arrived, "account_id", "left_semi").select("date").distinct()
-    result.rewritten = sorted(r["date"] for r in touched.toLocalIterator())
+    result.rewritten = sorted(r["date"] for r in touched.collect())
     if not result.rewritten:
         run.log("silver_transactions", "SILVER", "SKIPPED")
         run.flush()

@@ -121,7 +121,7 @@ def count_rows(spark: SparkSession, entity: str, deliveries: list[Delivery]) ->
     )
     return {
         date.fromisoformat(r["d"]) if r["d"] else deliveries[0].day: r["count"]
-        for r in lines.groupBy("d").count().toLocalIterator()
+        for r in lines.groupBy("d").count().collect()
     }
 
 

@@ -40,10 +40,11 @@ class Lake:
 
     def replace_table(self, df: DataFrame, table: str, run_id: str) -> int:
         """Overwrite a whole table; returns its rows."""
-        df.withColumn(WRITER, F.lit(run_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(self.path(table))
-        return self.read(table).count()
+        owned = df.withColumn(WRITER, F.lit(run_id))
+        owned.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            self.path(table)
+        )
+        return self.read(table, owned.schema).count()
 
     def replace_days(
         self, df: DataFrame, table: str, days: Iterable[date], run_id: str
@@ -58,17 +59,18 @@ class Lake:
         if not days:
             return {}
         path = self.path(table)
-        df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id)).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+        owned = df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id))
+        owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "date"
+        ).parquet(path)
         if not any(files.matching(self.spark, f"{path}/date=*")):
             return dict.fromkeys(days, 0)
         held = (
-            self.spark.read.parquet(path).where(F.col("date").isin(days))
+            self.read(table, owned.schema).where(F.col("date").isin(days))
             .groupBy("date", WRITER).count()
         )
         counts = dict.fromkeys(days, 0)
-        for row in held.toLocalIterator():
+        for row in held.collect():
             if row[WRITER] == run_id:
                 counts[row["date"]] = row["count"]
             else:
@@ -139,6 +141,18 @@ def load_idempotent(
     A day that is not loaded yet is written without counting its source first. A day with
     a wrong header is FAILED and writes nothing; a day without a file is SKIPPED.
     """
+    done = spark.createDataFrame(load_days(spark, entity, start, end, cfg, run_id, now), LOAD_RESULT)
+    if entity == "transaction_codes":
+        end = start
+    return date_spine(spark, start, end).join(done, "date", "left").withColumn(
+        "status", F.coalesce("status", F.lit("SKIPPED"))
+    )
+
+
+def load_days(
+    spark: SparkSession, entity: str, start: date, end: date, cfg: Settings, run_id: str, now: datetime
+) -> list[tuple]:
+    """The work of ``load_idempotent``; result tuples for the days that have a file."""
     lake = Lake(spark, cfg)
     table = f"bronze/{entity}"
     checked = daily_csv.check_headers(
@@ -154,20 +168,15 @@ def load_idempotent(
         plan = load_plan(daily_csv.read_deliveries(spark, entity, again, cfg), loaded, entity, cfg)
         kept = {
             r["date"]: r["loaded_rows"]
-            for r in plan.where("action = 'KEEP' and source_rows is not null").toLocalIterator()
+            for r in plan.where("action = 'KEEP' and source_rows is not null").collect()
         }
     todo = [d for d in good if d.day not in kept]
-    rows = daily_csv.add_audit_columns(
-        daily_csv.read_deliveries(spark, entity, todo, cfg), entity, run_id, now
-    )
-    written = lake.replace_days(rows, table, [d.day for d in todo], run_id)
+    written: dict[date, int] = {}
+    if todo:
+        rows = daily_csv.add_audit_columns(
+            daily_csv.read_deliveries(spark, entity, todo, cfg), entity, run_id, now
+        )
+        written = lake.replace_days(rows, table, [d.day for d in todo], run_id)
     bad_rows = daily_csv.count_rows(spark, entity, bad)
-
     results = [(day, "SUCCESS", n, n, None) for day, n in {**kept, **written}.items()]
-    results += [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]
-    done = spark.createDataFrame(results, LOAD_RESULT)
-    days = [start] if entity == "transaction_codes" else None
-    spine = spark.createDataFrame([(d,) for d in days], "date date") if days else date_spine(spark, start, end)
-    return spine.join(done, "date", "left").withColumn(
-        "status", F.coalesce("status", F.lit("SKIPPED"))
-    )
+    return results + [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]

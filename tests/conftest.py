@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import csv
+import shutil
 import sys
 from datetime import date, datetime, timezone
 from pathlib import Path
@@ -92,3 +93,22 @@ def seeded(tmp_path) -> Settings:
 
 def day(number: int) -> date:
     return date(2024, 1, number)
+
+
+@pytest.fixture(scope="session")
+def base_lake(spark, tmp_path_factory) -> Path:
+    """Source files and a lake with all six days loaded."""
+    from tallystone.plans.pipeline import run_range
+
+    root = tmp_path_factory.mktemp("base")
+    write_seed(root / "source")
+    cfg = Settings(source_dir=str(root / "source"), lake_dir=str(root / "lake"))
+    assert run_range(spark, day(1), day(6), cfg).advanced
+    return root
+
+
+@pytest.fixture
+def loaded(base_lake, tmp_path) -> Settings:
+    """A private copy of the loaded lake."""
+    shutil.copytree(base_lake, tmp_path / "copy")
+    return Settings(source_dir=str(tmp_path / "copy/source"), lake_dir=str(tmp_path / "copy/lake"))
