@@ -63,10 +63,8 @@ def id_flags(transactions: DataFrame) -> DataFrame:
 
 
 def known_codes(codes: DataFrame) -> DataFrame:
-    return (
-        codes.where(F.col("transaction_code").isNotNull())
-        .select("transaction_code").distinct()
-        .withColumn("_known_code", F.lit(True))
+    return codes.where(F.col("transaction_code").isNotNull()).select(
+        "transaction_code", F.lit(True).alias("_known_code")
     )
 
 

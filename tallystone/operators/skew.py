@@ -25,7 +25,15 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, the one Spark itself goes by when it picks a join."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def is_small(df: DataFrame, cfg: Settings) -> bool:
+    """Below both bounds, or so small by estimate that counting is not worth a job."""
+    if estimated_bytes(df) <= cfg.broadcast_bytes // 16:
+        return cfg.broadcast_rows > 0
     rows, size = measure(df)
     return rows <= cfg.broadcast_rows and size <= cfg.broadcast_bytes
 
@@ -45,9 +53,11 @@ def mark(
     payload = [c for c in flags.columns if c not in keys and c != COPIES]
     packed = F.struct(*payload)
     is_hot = F.col(COPIES) >= cfg.hot_rows
+    # Always 0, but no constant: a constant would be folded out of the join keys.
+    shared_lane = F.least(F.col(COPIES), F.lit(0)).cast("long")
     hot = flags.where(is_hot).select(*keys, packed.alias("_hot"))
     rest = flags.where(~is_hot).select(
-        *keys, F.lit(0).cast("long").alias("_lane"), packed.alias("_rest")
+        *keys, shared_lane.alias("_lane"), packed.alias("_rest")
     )
     alone = F.col("_hot").isNotNull()
     for key in keys:

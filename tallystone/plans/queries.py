@@ -503,7 +503,7 @@ def csv_load_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries against rows already held, the way a repeated load compares them."""
     folder = scratch_path(spark, "plan")
     cfg = replace(CFG, source_dir=folder, verify="checksum")
-    held = b.event_transactions(spark, sf)
+    held = b.event_transactions(spark, sf).withColumn("amount", F.col("amount").cast("string"))
     b.export_daily_csv(held, "transactions", folder)
     again = daily_csv.ingest_daily_csv(
         spark, "transactions", date(2024, 1, 1), date(2024, 1, 31), cfg, "run-b", NOW

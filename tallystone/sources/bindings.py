@@ -1,4 +1,4 @@
-"""The given test tables read as ledger tables: text columns, audit columns, file date."""
+"""The given test tables read as ledger tables: ledger and audit columns, file date."""
 
 from __future__ import annotations
 
@@ -32,12 +32,17 @@ SEGMENT_STATUS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# A table of this size has work to share, but may arrive in a single task.
+SPREAD_FROM, SPREAD_TO = 4 * 1024 * 1024, 128 * 1024 * 1024
 
 
-def _text_money(column: str) -> Column:
-    return F.col(column).cast(MONEY).cast("string")
+def _table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table; one that fits a single read split is spread over the cores by a key."""
+    path = f"{sf_dir}/{name}.parquet"
+    table = spark.read.parquet(path)
+    if spread_by and SPREAD_FROM < files.size_of(spark, path) < SPREAD_TO:
+        return table.repartition(spark.sparkContext.defaultParallelism, spread_by)
+    return table
 
 
 def _file(entity: str, day: Column) -> Column:
@@ -49,11 +54,11 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     loading runs (first and second half of the month)."""
     day = F.col("ts").cast("date")
     third = F.get_json_object("props", "$.k").cast("int") % 3
-    return _table(spark, sf_dir, "events").select(
+    return _table(spark, sf_dir, "events", "event_id").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("account_id"),
         day.cast("string").alias("transaction_date"),
-        _text_money("value").alias("amount"),
+        F.col("value").cast(MONEY).alias("amount"),
         F.col("event_type").alias("transaction_code"),
         F.lit(None).cast("string").alias("merchant_name"),
         F.when(third == 0, "ONLINE").when(third == 1, "IN_STORE").otherwise("DRIVE_THRU").alias("channel"),
@@ -67,7 +72,7 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order: natural repeats and zero amounts, an unknown code, an
     invalid channel, and a missing channel."""
-    line, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
+    line, orders = _table(spark, sf_dir, "lineitem", "l_orderkey"), _table(spark, sf_dir, "orders")
     day = F.col("l_shipdate").cast("date")
     channel = (
         F.when(F.col("l_suppkey") % 50 == 0, F.lit(None))
@@ -81,7 +86,7 @@ def line_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("account_id"),
         day.cast("string").alias("transaction_date"),
-        _text_money("l_discount").alias("amount"),
+        F.col("l_discount").cast(MONEY).alias("amount"),
         F.col("l_returnflag").alias("transaction_code"),
         F.lit(None).cast("string").alias("merchant_name"),
         channel.alias("channel"),
