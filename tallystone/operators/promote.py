@@ -115,17 +115,16 @@ def _seen(by_day: bool) -> Column:
 
 
 def late_resolved(silver: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Silver rows flagged unresolvable whose account has arrived since.
+    """The accounts of unresolvable Silver rows that have arrived since.
 
     Only the unresolved rows take part; they are reduced to distinct accounts before they
     meet the account table."""
     waiting = silver.where(~F.col("_is_resolvable"))
-    arrived = (
+    return (
         waiting.groupBy("account_id").agg(F.count(F.lit(1)).alias(COPIES))
-        .join(accounts.select("account_id").distinct(), "account_id", "left_semi")
+        .join(accounts.select("account_id"), "account_id", "left_semi")
         .withColumn("_arrived", F.lit(True))
     )
-    return arrived
 
 
 def resolve_late_accounts(silver: DataFrame, accounts: DataFrame, cfg: Settings) -> DataFrame:

@@ -37,7 +37,7 @@ from tallystone.operators.skew import COPIES
 from tallystone.schemas import LOAD_RESULT
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv
-from tallystone.sources.files import stage, stage_sized
+from tallystone.sources.files import stage, stage_sized, staged_for_now
 from tallystone.sources.lake import WRITER, Lake, load_days
 
 # The models of a run, in log order.
@@ -163,7 +163,8 @@ def _process(run: _Run, start: date, end: date) -> RunResult:
         result.reasons.append("some days were not loaded")
     if result.days:
         try:
-            _silver_and_gold(run, result, end, loads)
+            with staged_for_now(run.spark):
+                _silver_and_gold(run, result, end, loads)
         except Exception as error:
             result.reasons.append(f"{type(error).__name__} in Silver or Gold")
     run.flush()
@@ -357,8 +358,15 @@ def run_backfill(
 ) -> RunResult:
     """Turn on the flag of rows whose account has arrived since, and refresh their days."""
     run = _Run(spark, cfg, "BACKFILL", run_id, now)
-    lake = run.lake
-    result = RunResult(run.run_id, watermark=lake.get_watermark())
+    result = RunResult(run.run_id, watermark=run.lake.get_watermark())
+    with staged_for_now(spark):
+        _backfill(run, result)
+    run.flush()
+    return result
+
+
+def _backfill(run: _Run, result: RunResult) -> None:
+    lake, cfg = run.lake, run.cfg
     silver = lake.read("silver/transactions")
     accounts = lake.read("silver/accounts").select("account_id")
     waiting = silver.where(~F.col("_is_resolvable"))
@@ -368,8 +376,7 @@ def run_backfill(
     result.rewritten = sorted(r["date"] for r in touched.collect())
     if not result.rewritten:
         run.log("silver_transactions", "SILVER", "SKIPPED")
-        run.flush()
-        return result
+        return
 
     def resolve() -> list[dict]:
         days = silver.where(F.col("date").isin(result.rewritten)).drop(WRITER)
@@ -382,5 +389,3 @@ def run_backfill(
 
     run.step("silver_transactions", "SILVER", None, resolve)
     refresh_gold(run, result.rewritten, max(result.rewritten))
-    run.flush()
-    return result

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallystone.operators.codes import silver_codes
 from tallystone.schemas import CODE_COLUMNS, MONEY, RUN_LOG, SOURCE_COLUMNS
 from tallystone.sources import files
+from tallystone.sources.daily_csv import DIALECT
 
 NOW = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
@@ -200,13 +201,13 @@ def export_daily_csv(rows: DataFrame, entity: str, folder: str) -> None:
     name = F.concat(F.lit(f"{entity}_"), F.col("date").cast("string"), F.lit(".csv"))
     rows.select(*SOURCE_COLUMNS[entity], "date", name.alias("drop")).hint("rebalance", "date").drop(
         "date"
-    ).write.partitionBy("drop").option("header", True).mode("append").csv(folder)
+    ).write.partitionBy("drop").options(**DIALECT).mode("append").csv(folder)
     for path in files.matching(spark, f"{folder}/drop={entity}_*"):
         files.rename(spark, path, f"{folder}/{path.rsplit('drop=', 1)[1]}")
 
 
 def export_codes_csv(delivered: DataFrame, folder: str) -> None:
     """Write the newest version of each code as the undated codes delivery."""
-    silver_codes(delivered).select(*SOURCE_COLUMNS["transaction_codes"]).coalesce(1).write.option(
-        "header", True
+    silver_codes(delivered).select(*SOURCE_COLUMNS["transaction_codes"]).coalesce(1).write.options(
+        **DIALECT
     ).csv(f"{folder}/transaction_codes.csv")

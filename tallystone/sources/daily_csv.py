@@ -21,6 +21,9 @@ from tallystone.sources import files
 
 DAY = r"\d{4}-\d{2}-\d{2}"
 
+# A quote inside a quoted value is doubled; a backslash is an ordinary character.
+DIALECT = {"header": True, "quote": '"', "escape": '"'}
+
 
 @dataclass(frozen=True)
 class Delivery:
@@ -70,7 +73,7 @@ def check_headers(
     """Read the first line of each delivery (nothing else of it) and compare its names."""
 
     def check(d: Delivery) -> Delivery:
-        reader = spark.read.option("header", True).option("multiLine", cfg.multiline_csv)
+        reader = spark.read.options(**DIALECT, multiLine=cfg.multiline_csv)
         columns = tuple(reader.csv(d.path).columns)
         return Delivery(d.day, d.path, columns, header_error(entity, columns))
 
@@ -83,7 +86,10 @@ def check_headers(
 def read_deliveries(
     spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
 ) -> DataFrame:
-    """All-text rows of checked deliveries with ``_source_file`` and ``date``."""
+    """All-text rows of checked deliveries with ``_source_file`` and ``date``.
+
+    The header of every part file is compared again while it is read, so a folder whose
+    parts disagree fails instead of being read by position."""
     expected = SOURCE_COLUMNS[entity]
     by_order: dict[tuple[str, ...], list[Delivery]] = {}
     for d in deliveries:
@@ -92,8 +98,7 @@ def read_deliveries(
     for columns, group in sorted(by_order.items()):
         raw = (
             spark.read.schema(text_schema(list(columns)))
-            .option("header", True)
-            .option("multiLine", cfg.multiline_csv)
+            .options(**DIALECT, multiLine=cfg.multiline_csv, enforceSchema=False)
             .csv([d.path for d in group])
         )
         path = F.col("_metadata.file_path")
@@ -115,8 +120,7 @@ def count_rows(spark: SparkSession, entity: str, deliveries: list[Delivery]) ->
     if not deliveries:
         return {}
     lines = (
-        spark.read.schema("_line string").option("header", True)
-        .csv([d.path for d in deliveries])
+        spark.read.schema("_line string").options(**DIALECT).csv([d.path for d in deliveries])
         .select(F.regexp_extract(F.col("_metadata.file_path"), rf"{entity}_({DAY})\.csv", 1).alias("d"))
     )
     return {

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def _handle(spark: SparkSession, path: str):
@@ -71,9 +75,24 @@ def stage_sized(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _staged.get() is not None:
+        _staged.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), size_of(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     return stage_sized(df, label)[0]
+
+
+@contextmanager
+def staged_for_now(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, what was staged inside the block."""
+    mine: list[str] = []
+    token = _staged.set(mine)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in mine:
+            remove_folder(spark, path)
