@@ -148,7 +148,7 @@ def _keep_first(
         id_counts(several).select("transaction_id", COPIES).join(firsts, "transaction_id"),
         "firsts",
     )
-    judged = mark(grouped, first_flags, ["transaction_id"], cfg)
+    judged = mark(grouped, first_flags, ["transaction_id"], cfg, spread_by=columns)
     is_first = F.coalesce(fit & (rank == F.col("_first")), F.lit(False))
     after = F.col("_first").isNotNull() & (rank >= F.col("_first"))
     reason = F.coalesce(

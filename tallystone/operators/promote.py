@@ -104,7 +104,9 @@ def flag_resolvable(
         .select(*keys, COPIES, F.lit(True).alias("_unknown")),
         "unknown-accounts",
     )
-    marked = mark(rows, unknown, keys, cfg, matchable=~blank("account_id"))
+    marked = mark(
+        rows, unknown, keys, cfg, matchable=~blank("account_id"), spread_by=["transaction_id"]
+    )
     is_known = F.col("_unknown").isNull() & F.col("account_id").isNotNull()
     return marked.withColumn("_is_resolvable", is_known).drop("_unknown")
 
@@ -131,7 +133,8 @@ def resolve_late_accounts(silver: DataFrame, accounts: DataFrame, cfg: Settings)
     """Silver with the flag turned on where the account has arrived since."""
     arrived = stage(late_resolved(silver, accounts), "arrived")
     marked = mark(
-        silver, arrived, ["account_id"], cfg, matchable=~F.col("_is_resolvable")
+        silver, arrived, ["account_id"], cfg,
+        matchable=~F.col("_is_resolvable"), spread_by=["transaction_id"],
     )
     return marked.withColumn(
         "_is_resolvable", F.col("_is_resolvable") | F.col("_arrived").isNotNull()

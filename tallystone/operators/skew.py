@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystone.settings import Settings
+from tallystone.sources.files import stage
 
 COPIES = "_copies"
 
@@ -44,11 +45,16 @@ def mark(
     keys: list[str],
     cfg: Settings,
     matchable: Column | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``rows`` to ``flags``, which is unique on ``keys``.
 
     ``flags`` carries COPIES, the number of rows per key, and the columns to attach.
     ``matchable`` is false on rows known to have no partner.
+
+    A repeated task must give a row the same lane again. By default the lane is the row's
+    place in its input, so ``rows`` has to come from a scan without a shuffle in between;
+    after a shuffle, name columns that tell the rows apart in ``spread_by``.
     """
     payload = [c for c in flags.columns if c not in keys and c != COPIES]
     packed = F.struct(*payload)
@@ -64,7 +70,8 @@ def mark(
         alone = alone | F.col(key).isNull()
     if matchable is not None:
         alone = alone | ~matchable
-    own_lane = F.monotonically_increasing_id() + 1
+    place = F.pmod(F.xxhash64(*spread_by), F.lit(1 << 40)) if spread_by else F.monotonically_increasing_id()
+    own_lane = place + 1
     joined = (
         rows.join(F.broadcast(hot), keys, "left")
         .withColumn("_lane", F.when(alone, own_lane).otherwise(F.lit(0)))
@@ -80,5 +87,6 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], cfg: Settings) ->
     """LEFT JOIN ``rows`` to a table that is unique on ``keys``."""
     if is_small(table, cfg):
         return rows.join(F.broadcast(table), keys, "left")
+    rows = stage(rows, "rows")
     used = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
     return mark(rows, table.join(used, keys, "inner"), keys, cfg)

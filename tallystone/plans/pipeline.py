@@ -35,9 +35,10 @@ from tallystone.operators.quarantine import quarantine_accounts, quarantine_tran
 from tallystone.operators.runlog import check_log_complete, check_messages_clean
 from tallystone.operators.skew import COPIES
 from tallystone.schemas import LOAD_RESULT
+from tallystone.session import sized_shuffles
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv
-from tallystone.sources.files import stage, stage_sized, staged_for_now
+from tallystone.sources.files import size_of, stage, stage_sized, staged_for_now
 from tallystone.sources.lake import WRITER, Lake, load_days
 
 # The models of a run, in log order.
@@ -163,7 +164,8 @@ def _process(run: _Run, start: date, end: date) -> RunResult:
         result.reasons.append("some days were not loaded")
     if result.days:
         try:
-            with staged_for_now(run.spark):
+            size = size_of(run.spark, run.lake.path("bronze"))
+            with staged_for_now(run.spark), sized_shuffles(run.spark, size):
                 _silver_and_gold(run, result, end, loads)
         except Exception as error:
             result.reasons.append(f"{type(error).__name__} in Silver or Gold")
@@ -359,7 +361,8 @@ def run_backfill(
     """Turn on the flag of rows whose account has arrived since, and refresh their days."""
     run = _Run(spark, cfg, "BACKFILL", run_id, now)
     result = RunResult(run.run_id, watermark=run.lake.get_watermark())
-    with staged_for_now(spark):
+    size = size_of(spark, run.lake.path("silver"))
+    with staged_for_now(spark), sized_shuffles(spark, size):
         _backfill(run, result)
     run.flush()
     return result

@@ -354,3 +354,12 @@ def test_hot_and_unmatched_rows_get_their_own_lane(spark, codes):
 def test_id_flags_hold_only_repeated_ids(spark):
     rows = frame(spark, [txn("A"), txn("A"), txn("B"), txn(None), txn(None), txn("")])
     assert [r["transaction_id"] for r in id_flags(rows).collect()] == ["A"]
+
+
+def test_shuffles_start_with_enough_partitions(spark):
+    from tallystone.session import INITIAL_PARTITIONS, MOST_PARTITIONS, sized_shuffles
+
+    for size, want in ((0, 8), (10 * 2**30, 160), (100 * 2**40, MOST_PARTITIONS)):
+        with sized_shuffles(spark, size) as got:
+            assert got == want == int(spark.conf.get(INITIAL_PARTITIONS))
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
