@@ -60,8 +60,16 @@ def _classified_events(spark: SparkSession, sf: str) -> DataFrame:
     return classify_transactions(b.event_transactions(spark, sf), b.codes(spark, b.EVENT_CODES), CFG)
 
 
-def _classified_lines(spark: SparkSession, sf: str, cfg: Settings = CFG) -> DataFrame:
-    return classify_transactions(b.line_transactions(spark, sf), b.codes(spark, b.LINE_CODES), cfg)
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The joined lines as a written table: rules read Bronze more than once."""
+    return stage(b.line_transactions(spark, sf), "lines")
+
+
+def _classified_lines(
+    spark: SparkSession, sf: str, cfg: Settings = CFG, bronze: DataFrame | None = None
+) -> DataFrame:
+    bronze = _lines(spark, sf) if bronze is None else bronze
+    return classify_transactions(bronze, b.codes(spark, b.LINE_CODES), cfg)
 
 
 def _silver(spark: SparkSession, sf: str, cfg: Settings = CFG) -> DataFrame:
@@ -164,9 +172,11 @@ def account_reasons(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _quarantine(spark: SparkSession, sf: str, cfg: Settings) -> DataFrame:
+def _quarantine(
+    spark: SparkSession, sf: str, cfg: Settings, bronze: DataFrame | None = None
+) -> DataFrame:
     return build_quarantine(
-        _classified_lines(spark, sf), classify_accounts(b.customer_accounts(spark, sf), cfg), NOW, cfg
+        _classified_lines(spark, sf, bronze=bronze), classify_accounts(b.customer_accounts(spark, sf), cfg), NOW, cfg
     )
 
 
@@ -226,8 +236,9 @@ def promoted_as_of_date(spark: SparkSession, sf: str) -> DataFrame:
 
 def promoted_against_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze rows whose id the quarantine table does not hold."""
-    table = _quarantine(spark, sf, replace(CFG, quarantine="per_id"))
-    kept = not_quarantined(b.line_transactions(spark, sf), table, CFG)
+    bronze = _lines(spark, sf)
+    table = _quarantine(spark, sf, replace(CFG, quarantine="per_id"), bronze)
+    kept = not_quarantined(bronze, table, CFG)
     return kept.select("transaction_id", "account_id", "transaction_date", _money("amount"), "channel")
 
 
@@ -273,8 +284,8 @@ def closing_balance_asof(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mass_conservation(spark: SparkSession, sf: str) -> DataFrame:
-    bronze = b.line_transactions(spark, sf)
-    classified = stage(_classified_lines(spark, sf), "classified")
+    bronze = _lines(spark, sf)
+    classified = _classified_lines(spark, sf, bronze=bronze)
     quarantine = build_quarantine(classified, classify_accounts(b.customer_accounts(spark, sf), CFG), NOW, CFG)
     counts = reconcile.mass_conservation(bronze, accepted(classified), quarantine)
     return counts.select(_day("date"), "bronze_rows", "silver_rows", "quarantine_rows", "difference")
@@ -332,7 +343,7 @@ def expectations_bronze(spark: SparkSession, sf: str) -> DataFrame:
         *checks.unique("transaction_id"),
         *checks.unique("account_id", "transaction_date"),
     ]
-    return checks.check_table(b.line_transactions(spark, sf), "bronze_transactions", wanted)
+    return checks.check_table(_lines(spark, sf), "bronze_transactions", wanted)
 
 
 def referential_gaps(spark: SparkSession, sf: str) -> DataFrame:
