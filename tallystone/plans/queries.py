@@ -25,6 +25,7 @@ from tallystone.operators.promote import (
 )
 from tallystone.operators.quarantine import build_quarantine
 from tallystone.plans.pipeline import run_next, run_range
+from tallystone.schemas import TRANSACTION_COLUMNS
 from tallystone.settings import TRANSACTION_TYPES, Settings
 from tallystone.sources import bindings as b
 from tallystone.sources import daily_csv
@@ -60,9 +61,9 @@ def _classified_events(spark: SparkSession, sf: str) -> DataFrame:
     return classify_transactions(b.event_transactions(spark, sf), b.codes(spark, b.EVENT_CODES), CFG)
 
 
-def _lines(spark: SparkSession, sf: str) -> DataFrame:
+def _lines(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
     """The joined lines as a written table: rules read Bronze more than once."""
-    return stage(b.line_transactions(spark, sf), "lines")
+    return stage(b.line_transactions(spark, sf).select(*columns or ["*"]), "lines")
 
 
 def _classified_lines(
@@ -145,7 +146,8 @@ def _reasons(classified: DataFrame) -> DataFrame:
 
 
 def txn_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return _reasons(_classified_lines(spark, sf))
+    bronze = _lines(spark, sf, TRANSACTION_COLUMNS)
+    return _reasons(_classified_lines(spark, sf, bronze=bronze))
 
 
 def txn_reasons_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +160,8 @@ def txn_reasons_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 def reason_counts(spark: SparkSession, sf: str) -> DataFrame:
     reason = F.coalesce(REASON, F.lit("(none)")).alias("reason")
-    return _classified_lines(spark, sf).groupBy(reason, F.col(SHIELDED).cast("int").alias("shielded")).agg(
+    bronze = _lines(spark, sf, TRANSACTION_COLUMNS)
+    return _classified_lines(spark, sf, bronze=bronze).groupBy(reason, F.col(SHIELDED).cast("int").alias("shielded")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
 
@@ -343,7 +346,8 @@ def expectations_bronze(spark: SparkSession, sf: str) -> DataFrame:
         *checks.unique("transaction_id"),
         *checks.unique("account_id", "transaction_date"),
     ]
-    return checks.check_table(_lines(spark, sf), "bronze_transactions", wanted)
+    bronze = _lines(spark, sf, ["transaction_id", "account_id", "transaction_date", "channel"])
+    return checks.check_table(bronze, "bronze_transactions", wanted)
 
 
 def referential_gaps(spark: SparkSession, sf: str) -> DataFrame:
