@@ -56,6 +56,17 @@ def _tagged(rejected: DataFrame, record_type: str, now: datetime) -> DataFrame:
     )
 
 
+def padded(rejected: DataFrame) -> DataFrame:
+    """One side with every column of the table but the record type, which names its folder."""
+    wanted = [c for c in [*COLUMNS, SHIELDED, "date"] if c != "record_type"]
+    return rejected.select(
+        *[
+            F.col(c) if c in rejected.columns else F.lit(None).cast("string").alias(c)
+            for c in wanted
+        ]
+    )
+
+
 def quarantined_ids(quarantine: DataFrame) -> DataFrame:
     return (
         quarantine.where(

@@ -31,7 +31,7 @@ from tallystone.operators.promote import (
     promote_transactions,
     resolve_late_accounts,
 )
-from tallystone.operators.quarantine import quarantine_accounts, quarantine_transactions
+from tallystone.operators.quarantine import padded, quarantine_accounts, quarantine_transactions
 from tallystone.operators.runlog import check_log_complete, check_messages_clean
 from tallystone.operators.skew import COPIES
 from tallystone.schemas import LOAD_RESULT
@@ -246,10 +246,10 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
         return per_day(lake.replace_days(silver, "silver/transactions", scope, run.run_id), False)
 
     def quarantine() -> list[dict]:
-        rejected = quarantine_transactions(classified, now, cfg)
+        rejected = padded(quarantine_transactions(classified, now, cfg))
         written = lake.replace_days(rejected, "silver/quarantine/record_type=TRANSACTION", scope, run.run_id)
         delivered = lake.bronze("accounts")
-        bad = quarantine_accounts(classify_accounts(delivered, cfg), now, cfg)
+        bad = padded(quarantine_accounts(classify_accounts(delivered, cfg), now, cfg))
         lake.replace_days(
             bad, "silver/quarantine/record_type=ACCOUNT", lake.days("bronze/accounts"), run.run_id
         )

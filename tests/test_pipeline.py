@@ -10,6 +10,7 @@ import pytest
 from conftest import NOW, day, seed_accounts, seed_transactions, write_csv
 from pyspark.sql import functions as F
 
+from tallystone.operators.quarantine import COLUMNS as quarantine_columns
 from tallystone.operators.reconcile import equivalence, mass_conservation
 from tallystone.plans.pipeline import run_backfill, run_next, run_range
 from tallystone.schemas import ACCOUNT_COLUMNS, TRANSACTION_COLUMNS, VOLATILE_COLUMNS
@@ -217,7 +218,7 @@ def test_backfill_resolves_late_accounts(spark, seeded, tmp_path):
     run_range(spark, day(1), day(5), seeded)
     lake = Lake(spark, seeded)
     assert run_backfill(spark, seeded).rewritten == []
-    late = [*seed_accounts(6), ("ACC-ORPHAN", "Late", "ACTIVE", "100.00", "5.00", "2020-01-01", "a", "b")]
+    late = [*seed_accounts(6), ("ACC-ORPHAN", "Late", "PENDING", "100.00", "5.00", "2020-01-01", "a", "b")]
     write_csv(tmp_path / "source" / "accounts_2024-01-06.csv", ACCOUNT_COLUMNS, late)
     run_next(spark, seeded)
     assert lake.read("silver/transactions").where("not _is_resolvable").count() == 5
@@ -226,6 +227,13 @@ def test_backfill_resolves_late_accounts(spark, seeded, tmp_path):
     assert lake.read("silver/transactions").where("not _is_resolvable").isEmpty()
     totals = {r[0]: r[1] for r in lake.read("gold/daily_summary").select("transaction_date", "total_transactions").collect()}
     assert totals == {day(i): 4 for i in range(1, 7)}
+    table = lake.read("silver/quarantine")
+    assert set(quarantine_columns) <= set(table.columns)
+    bad = table.where("record_type = 'ACCOUNT'").collect()
+    assert [(r["account_id"], r["account_status"], r["_rejection_reason"], r["transaction_id"]) for r in bad] == [
+        ("ACC-ORPHAN", "PENDING", "INVALID_ACCOUNT_STATUS", None)
+    ]
+    assert table.where("record_type = 'TRANSACTION' and transaction_id like 'T%' and customer_name is null").count() == 6
 
 
 @pytest.mark.parametrize("change", [
