@@ -67,6 +67,10 @@ class RunResult:
     reasons: list[str] = field(default_factory=list)
 
 
+def _first_line(error: Exception) -> str:
+    return next(iter(str(error).splitlines()), type(error).__name__)
+
+
 class _Run:
     """One invocation: its id, its clock and the log entries it still has to append."""
 
@@ -94,9 +98,9 @@ class _Run:
             for values in work():
                 self.log(model, layer, "SUCCESS", **{"started_at": began, "processed_date": day, **values})
         except Exception as error:
-            message = str(error).splitlines()[0] if str(error) else type(error).__name__
             self.log(
-                model, layer, "FAILED", started_at=began, processed_date=day, error_message=message
+                model, layer, "FAILED", started_at=began, processed_date=day,
+                error_message=_first_line(error),
             )
             self.flush()
             raise
@@ -183,7 +187,7 @@ def _load_bronze(run: _Run, entity: str, start: date, end: date) -> dict[date, d
         for result in load_days(run.spark, entity, start, end, run.cfg, run.run_id, run.now):
             rows[result[0]] = dict(zip(LOAD_RESULT.fieldNames(), result))
     except Exception as error:
-        failed = {"status": "FAILED", "error_message": str(error).splitlines()[0]}
+        failed = {"status": "FAILED", "error_message": _first_line(error)}
         rows = dict.fromkeys(span, failed)
     for day, r in rows.items():
         run.log(

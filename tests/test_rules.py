@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import replace
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 import pytest
