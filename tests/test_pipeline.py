@@ -248,3 +248,17 @@ def test_other_join_paths_and_modes_agree_on_the_seed(spark, seeded, change):
     assert daily_rows(lake) == DAILY
     assert weekly_rows(lake) == WEEKLY
     assert lake.read("silver/quarantine").count() == 6
+
+
+def test_rows_shuffled_by_id_give_the_same_lake(spark, loaded, tmp_path, monkeypatch):
+    """As if the repeated ids were too many to broadcast."""
+    monkeypatch.setattr("tallystone.plans.pipeline.NARROW_FLAGS", -1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = replace(loaded, lake_dir=str(tmp_path / "wide"), hot_rows=3)
+        assert run_range(spark, day(1), day(6), wide).advanced
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for t in TABLES:
+        assert same(Lake(spark, loaded).read(t), Lake(spark, wide).read(t)), t
