@@ -1,10 +1,12 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, mixing, warc
+from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, toxicity, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_warc": warc.op3_warc,
+    "op4_near_join": near_join.op4_near_join,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_pfair_mix": mixing.op7_pfair_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
@@ -12,6 +14,7 @@ QUERIES = {
 ORACLES = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op3_warc": warc.OP3_SQL,
+    "op4_near_join": near_join.OP4_SQL,
     "op7_pfair_mix": mixing.OP7_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
 }
