@@ -2,21 +2,21 @@
 
 Two models of the letters of words, one learnt from toxic and one from ordinary documents. The
 probability of a byte after its context (up to five bytes, from the word's start) is an
-interpolated Kneser-Ney estimate: the three longest contexts have counts of their own class, the
-shorter ones continuation counts that both classes share. So an expression that is rare in one
-class falls back on what both know about such words, not on nothing, and a form never seen is
-judged by the stem it shares with seen ones.
+interpolated Kneser-Ney estimate: at the longest context the class has counts of its own, less a
+discount, and below it both classes share one model with continuation counts. So what is rare in
+one class falls back on what both know and is no evidence, and a form never seen is judged by the
+stem it shares with seen ones.
 
 A word's evidence is the difference of its log-likelihoods. A document is judged by its
-length-normalised difference, as a whole and in its most toxic passage of `passage` words; a
-logistic function of the two makes the score. It is fitted crosswise: the sample's halves are
+length-normalised difference, as a whole and in its most toxic passages of the lengths in
+`passages`; a logistic function of these makes the score. It is fitted crosswise: the sample's halves are
 judged by models that have counted the other half only.
 
 The classifier is fitted on at most `sample` labelled documents per class, chosen by a hash of
 the id; this bounds the tables that are broadcast. Counting is a Spark aggregation. Scoring is
 one scan without a shuffle, over whole texts.
 
-Defined cases: null is empty; a text without words has no evidence: zero in both features;
+Defined cases: null is empty; a text without words has no evidence: zero in all features;
 without labelled rows of both classes every score is 0; of repeated or contradicting labels the
 toxic one counts, null labels and ids don't; other columns are carried along.
 """
@@ -31,10 +31,12 @@ from tallystone.llm.common import WORD_TABLE, fold, packed, read, text_of, with_
 
 SAMPLE = 12_000
 THRESHOLD = 0.7
-PASSAGE = 24
-ORDER, SHARED = 6, 3
-DISCOUNT = 0.75
-#: Longer words are judged in overlapping parts of this many bytes, each part in full context.
+PASSAGES = (1, 4, 16)
+ORDER = 6
+#: What is taken off the counts of the shared model, and of a class's own.
+DISCOUNT, OWN_DISCOUNT = 0.75, 2.0
+_BYTES = np.uint64((1 << 56) - 1)
+#: Words whose evidence a task remembers.
 _CACHE = 300_000
 
 
@@ -69,64 +71,78 @@ def key_of(packed_bytes: np.ndarray, length: np.ndarray | int) -> np.ndarray:
     return (packed_bytes & mask) | (length << np.uint64(56))
 
 
+class _Table:
+    """Sorted keys with a column of values per class, and the value of keys that are missing."""
+
+    def __init__(self, keys: np.ndarray, values: list[np.ndarray], missing: float):
+        self.keys, self.values, self.missing = keys, np.array(values, np.float32), missing
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full((len(self.values), len(keys)), self.missing, np.float32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[:, at], np.float32(self.missing))
+
+
+def _context(keys: np.ndarray) -> np.ndarray:
+    """Keys without their last byte; the number in the top byte is kept."""
+    return ((keys & _BYTES) >> np.uint64(8)) | (keys & ~_BYTES)
+
+
+def _discounted(keys: np.ndarray, columns: list[np.ndarray], discount: float) -> tuple[_Table, _Table]:
+    """What each key keeps of its context's mass after the discount, and what each context gives to the backoff."""
+    contexts, of = np.unique(_context(keys), return_inverse=True)
+    kept, left = [], []
+    for c in columns:
+        total = np.maximum(np.bincount(of, c, len(contexts)), 1e-9)
+        kept.append(np.maximum(c - discount, 0) / total[of])
+        left.append(np.where(total > 0.5, 1 - np.bincount(of, kept[-1], len(contexts)), 1))
+    return _Table(keys, kept, 0), _Table(contexts, left, 1)
+
+
 class Model:
-    """Kneser-Ney tables of packed grams: arrays in the order of sorted keys."""
+    """Shared Kneser-Ney tables of packed grams, and the two classes' own tables above them."""
 
-    def __init__(self, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER, shared: int = SHARED, discount: float = DISCOUNT):
-        self.order, self.shared = order, shared
+    def __init__(self, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER, discount: float = DISCOUNT, own_discount: float = OWN_DISCOUNT):
+        by_key = np.argsort(keys)
+        keys, toxic, ordinary = keys[by_key], toxic[by_key], ordinary[by_key]
         lengths = (keys >> np.uint64(56)).astype(int)
-        self.tables = {}
+        grams = keys & _BYTES
+        # A gram from the start of a word has no longer context: its own count is the count to use.
+        whole = (lengths == order) | ((grams >> (np.uint64(8) * (lengths - 1).astype(np.uint64))) == 32)
+        self.shared = []
         for n in range(1, order + 1):
             mine = lengths == n
-            grams = keys[mine] & np.uint64((1 << 56) - 1)
-            if n > shared:
-                columns = [toxic[mine].astype(float), ordinary[mine].astype(float)]
-            else:  # continuation counts: in how many different longer grams it ends, in both classes
-                longer = np.unique(keys[(lengths == n + 1) & (toxic + ordinary > 0)] & np.uint64((1 << 56) - 1))
-                mask = np.uint64((1 << (8 * n)) - 1)
-                ends, times = np.unique(longer & mask, return_counts=True)
-                grams = np.unique(np.concatenate([grams, ends]))
-                count = np.ones(len(grams))
-                count[np.searchsorted(grams, ends)] = times
-                columns = [count]
-            order_of = np.argsort(grams)
-            grams, columns = grams[order_of], [c[order_of] for c in columns]
-            contexts, of = np.unique(grams >> np.uint64(8), return_inverse=True)
-            seen, left = [], []
-            for c in columns:
-                total = np.bincount(of, c, len(contexts))
-                kinds = np.bincount(of, c > 0, len(contexts))
-                safe = np.maximum(total, 1)
-                seen.append(np.maximum(c - discount, 0) / safe[of])
-                left.append(np.where(total > 0, discount * kinds / safe, 1.0))
-            self.tables[n] = (grams, np.array(seen, np.float32), contexts, np.array(left, np.float32))
+            count = np.where(whole[mine], toxic[mine] + ordinary[mine], 0).astype(float)
+            if n < order:  # continuation counts: how many different longer grams end like this
+                mask = (np.uint64(1) << np.uint64(8 * n)) - np.uint64(1)
+                ends, times = np.unique(grams[lengths == n + 1] & mask, return_counts=True)
+                at = np.searchsorted(grams[mine], ends)
+                count[at] += np.where(whole[mine][at], 0, times)
+            self.shared.append(_discounted(keys[mine], [count], discount))
+        self.own = _discounted(keys[whole], [toxic[whole].astype(float), ordinary[whole].astype(float)], own_discount)
 
     def evidence(self, words: list[bytes]) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary), for each word."""
         if not words:
             return np.zeros(0)
         number, packed_bytes, history = grams_of(words)
-        p = np.full((2, len(number)), 1 / 256)
-        for n, (grams, seen, contexts, left) in self.tables.items():
+        p = np.full(len(number), 1 / 256)
+        for n, (kept, left) in enumerate(self.shared, 1):
             on = history >= n - 1
-            if not len(grams) or not on.any():
-                continue
-            mask = np.uint64((1 << (8 * n)) - 1)
-            mine = packed_bytes[on] & mask
-            at = np.minimum(np.searchsorted(grams, mine), len(grams) - 1)
-            alpha = np.where(grams[at] == mine, seen[:, at], 0)
-            context = mine >> np.uint64(8)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            gamma = np.where(contexts[at] == context, left[:, at], 1)
-            p[:, on] = alpha + gamma * p[:, on]
-        return np.bincount(number, np.log(p[0]) - np.log(p[1]), len(words))
+            mine = key_of(packed_bytes[on], n)
+            p[on] = kept.of(mine)[0] + left.of(_context(mine))[0] * p[on]
+        kept, left = self.own
+        mine = key_of(packed_bytes, history + 1)
+        toxic, ordinary = kept.of(mine) + left.of(_context(mine)) * p
+        return np.bincount(number, np.log(toxic + 1e-12) - np.log(ordinary + 1e-12), len(words))
 
 
 class Scorer:
     """Features of documents, with the evidence of words already met kept at hand."""
 
-    def __init__(self, model: Model, passage: int):
-        self.model, self.passage, self.known = model, passage, {}
+    def __init__(self, model: Model, passages: tuple[int, ...]):
+        self.model, self.passages, self.known = model, passages, {}
 
     def features(self, texts: list[bytes]) -> np.ndarray:
         split = [words_of(t) for t in texts]
@@ -140,13 +156,15 @@ class Scorer:
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             self.known.update(zip(part, self.model.evidence(part).tolist(), strict=True))
-        out = np.zeros((len(texts), 2))
+        out = np.zeros((len(texts), 1 + len(self.passages)))
         get = self.known.__getitem__
         for i, words in enumerate(split):
             if words:
                 sums = np.concatenate([[0.0], np.cumsum(np.fromiter(map(get, words), float, len(words)))])
-                size = min(self.passage, len(words))
-                out[i] = sums[-1] / len(words), (sums[size:] - sums[:-size]).max() / size
+                out[i, 0] = sums[-1] / len(words)
+                for k, size in enumerate(self.passages, 1):
+                    size = min(size, len(words))
+                    out[i, k] = (sums[size:] - sums[:-size]).max() / size
         return out
 
 
@@ -229,7 +247,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return mean, scale, w
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int = 3, held: int = 1, passage: int = PASSAGE, id_column: str = "doc_id", text_column: str = "text"):
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int = 3, held: int = 1, passages: tuple[int, ...] = PASSAGES, id_column: str = "doc_id", text_column: str = "text"):
     """(model, fit) as a broadcast value, or None without labelled rows of both classes."""
     spark = docs.sparkSession
     rows = _sampled(docs, labels, sample, divisor, held, id_column, text_column)
@@ -248,29 +266,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int
     def measure(batches):
         import pyarrow as pa
 
-        scorers = [Scorer(m, passage) for m in crosswise.value]
+        scorers = [Scorer(m, passages) for m in crosswise.value]
         for batch in batches:
             half, at = batch.column(2).to_pylist(), 0
-            x = np.zeros((batch.num_rows, 2))
+            x = np.zeros((batch.num_rows, 1 + len(passages)))
             for texts in _batches_of_texts(batch.column(0), ""):
                 for h in (0, 1):
                     mine = [i for i in range(len(texts)) if half[at + i] == h]
                     x[[at + i for i in mine]] = scorers[h].features([texts[i] for i in mine])
                 at += len(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column(1).cast(pa.int32())], names=["a", "b", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1).cast(pa.int32())], names=["x", "y"])
 
-    seen = rows.mapInArrow(measure, "a double, b double, y int").toPandas()
+    seen = rows.mapInArrow(measure, "x array<double>, y int").toPandas()
     crosswise.unpersist()
-    return spark.sparkContext.broadcast(model), _fit(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(float))
+    return spark.sparkContext.broadcast(model), _fit(np.stack(seen["x"].to_list()), seen["y"].to_numpy(float))
 
 
-def scored(docs: DataFrame, learnt, passage: int = PASSAGE, text_column: str = "text") -> DataFrame:
+def scored(docs: DataFrame, learnt, passages: tuple[int, ...] = PASSAGES, text_column: str = "text") -> DataFrame:
     """(row, score) for each row of docs."""
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = Scorer(learnt[0].value, passage) if learnt else None
+        scorer = Scorer(learnt[0].value, passages) if learnt else None
         for batch in batches:
             scores = [np.zeros(0)]
             for texts in _batches_of_texts(batch.column(0), text_column):
