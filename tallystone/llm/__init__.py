@@ -1,11 +1,12 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, toxicity, warc
+from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, quality, toxicity, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_warc": warc.op3_warc,
     "op4_near_join": near_join.op4_near_join,
+    "op5_quality": quality.op5_quality,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_pfair_mix": mixing.op7_pfair_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
