@@ -1,8 +1,9 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, quality, toxicity, warc
+from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, quality, secrets, toxicity, warc
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_warc": warc.op3_warc,
     "op4_near_join": near_join.op4_near_join,
