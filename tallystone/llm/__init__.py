@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, quality, secrets, toxicity, warc
+from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, pseudonyms, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_pfair_mix": mixing.op7_pfair_mix,
+    "op9_pseudonyms": pseudonyms.op9_pseudonyms,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
