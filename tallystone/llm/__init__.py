@@ -1,15 +1,16 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, mixing, near_join, pseudonyms, quality, secrets, toxicity, warc
+from tallystone.llm import decontaminate, exact_dedup, lm_score, mixing, near_join, pseudonyms, quality, secret_scan, toxicity, warc
 
 QUERIES = {
-    "op1_secrets": secrets.op1_secrets,
+    "op1_secrets": secret_scan.op1_secrets,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_warc": warc.op3_warc,
     "op4_near_join": near_join.op4_near_join,
     "op5_quality": quality.op5_quality,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_pfair_mix": mixing.op7_pfair_mix,
+    "op8_lm_score": lm_score.op8_lm_score,
     "op9_pseudonyms": pseudonyms.op9_pseudonyms,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }

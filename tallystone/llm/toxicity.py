@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallystone.llm.common import WORD_TABLE, fold, packed, read, text_of, with_columns_of
 
-SAMPLE = 12_000
+SAMPLE = 4_000
 THRESHOLD = 0.7
 PASSAGES = (1, 4, 16)
 ORDER = 6
