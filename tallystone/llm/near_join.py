@@ -147,7 +147,7 @@ def _overlaps(sets: list[np.ndarray], split: int) -> np.ndarray:
 def _chunk_links(threshold: float):
     """For sorted (comp, i, j) pieces: per document its links, weighted by copies, and a root it is linked to."""
 
-    def piece(rows):
+    def piece(rows, within):
         rids = np.array([r[0] for r in rows], np.int64)
         copies = np.array([r[1] for r in rows], np.int64)
         first = np.array([r[2] for r in rows], bool)
@@ -157,8 +157,7 @@ def _chunk_links(threshold: float):
         split = int(first.sum())
         sizes = np.array([len(s) for s in sets], np.float64)
         both = _overlaps(sets, split)
-        # Of two chunks the pairs across count; of one chunk with itself all pairs.
-        within = split == len(sets)
+        # Of two chunks the pairs across count (none if one is empty); of one chunk with itself all pairs.
         linked = np.zeros((len(sets), len(sets)), bool)
         near = both >= threshold * (sizes[:split, None] + sizes[None, :] - both) - 1e-6
         linked[:split] = near
@@ -189,8 +188,8 @@ def _chunk_links(threshold: float):
         def batch_of(found):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["rid", "links", "root"])
 
-        for _, members in groupby(rows(), key=lambda r: r[:3]):
-            out += piece([r[3:] for r in members])
+        for (_, i, j), members in groupby(rows(), key=lambda r: r[:3]):
+            out += piece([r[3:] for r in members], i == j)
             if len(out) > 20_000:
                 yield batch_of(out)
                 out = []
