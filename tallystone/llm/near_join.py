@@ -223,7 +223,8 @@ def linked_rows(docs: DataFrame, text_column: str = "text", id_column: str = "do
     members = stage(members.select("rep", "comp", "copies", "size"), "members")
     weight = members.groupBy("comp").agg(F.greatest(F.ceil(F.sum("size") / chunk), F.ceil(F.count("*") / CHUNK_DOCUMENTS)).cast("int").alias("chunks"))
     texts = rows.select("rid", F.col(f"row.`{text_column}`").alias("text"))
-    facts = members.join(weight, "comp").join(texts, members["rep"] == texts["rid"])
+    # Candidates may be a large share of all documents: shuffled at any size, never broadcast.
+    facts = members.join(weight, "comp").join(texts.hint("merge"), members["rep"] == texts["rid"])
     facts = facts.select("comp", "rep", "copies", "chunks", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("own"), "text")
     sized = facts.mapInArrow(_with_shingles(words), "comp long, rep long, copies long, chunks int, own int, shingles binary")
     pieces = sized.select("*", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other")).select(
