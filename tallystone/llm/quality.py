@@ -30,7 +30,8 @@ SAMPLE, SAMPLE_CHUNKS = 1500, 6
 THRESHOLD = 0.7
 CHUNK, WIDTH, STRIDE = 512, 8, 2
 VECTOR, FILTERS = 8, 16
-EPOCHS, BATCH, RATE = 6, 32, 0.01
+#: Passes over the sample, but as many steps at least.
+EPOCHS, STEPS, BATCH, RATE = 6, 400, 32, 0.01
 #: Chunks worked off at once.
 _AT_ONCE = 128
 
@@ -121,12 +122,12 @@ class Network:
         return [d_vectors, d_filters, back.sum(axis=0), features.T @ wrong, np.array([wrong.sum()])]
 
 
-def fit(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS, seed: int = 5) -> Network:
+def fit(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 5) -> Network:
     """Adam over documents given as (chunks, shares)."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed)
     first = [np.zeros_like(p, dtype=np.float64) for p in net.parts()]
     second = [np.zeros_like(p, dtype=np.float64) for p in net.parts()]
-    t = 0
+    t, epochs = 0, max(EPOCHS, -(-STEPS * BATCH // len(texts)))
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
