@@ -8,7 +8,6 @@ from tallystone.functions.columns import (
     normalise_nulls,
     scrub_paths,
     signed,
-    tail,
     to_day,
     week_end,
     week_start,
@@ -16,6 +15,6 @@ from tallystone.functions.columns import (
 
 __all__ = [
     "any_blank", "any_null", "blank", "contains_any", "fold", "money",
-    "normalise_nulls", "scrub_paths", "signed", "tail", "to_day", "week_end",
+    "normalise_nulls", "scrub_paths", "signed", "to_day", "week_end",
     "week_start",
 ]

@@ -65,10 +65,6 @@ def scrub_paths(message: Column) -> Column:
     return F.translate(message, "/\\", "")
 
 
-def tail(text: Column, length: int) -> Column:
-    return F.right(text, F.lit(length))
-
-
 def contains_any(text: Column, words: Iterable[str]) -> Column:
     """Case-insensitive: does the text contain any of the words?"""
     low = F.lower(text)

@@ -26,7 +26,7 @@ def require_codes(codes: DataFrame) -> int:
         F.countDistinct("transaction_code").alias("codes"),
     ).first()
     if row["n"] == 0:
-        raise ValueError("Silver transaction_codes not populated")
+        raise ValueError("there is no transaction code at all")
     if row["filled"] != row["n"]:
         raise ValueError("Silver transaction_codes holds a null code")
     if row["codes"] != row["n"]:

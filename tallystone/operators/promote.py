@@ -14,13 +14,6 @@ from tallystone.operators.skew import COPIES, is_small, lookup, mark
 from tallystone.settings import DEBIT, Settings
 from tallystone.sources.files import stage
 
-COLUMNS = [
-    "transaction_id", "account_id", "transaction_date", "amount", "transaction_code",
-    "merchant_name", "channel", "debit_credit_indicator", "_signed_amount",
-    "_is_resolvable", "_pipeline_run_id", "_bronze_ingested_at", "_source_file",
-    "_promoted_at",
-]
-
 
 def accepted(classified: DataFrame) -> DataFrame:
     return classified.where(F.col(REASON).isNull() & ~F.col(SHIELDED)).drop(REASON, SHIELDED)
@@ -32,10 +25,12 @@ def not_quarantined(bronze: DataFrame, quarantine: DataFrame, cfg: Settings) ->
     An id of null compares as unknown, so such rows are out, except that the comparison
     with an empty set is true: ``promote_if_clean`` follows that, ``drop`` does not.
     """
-    ids = stage(quarantined_ids(quarantine), "quarantined")
-    flags = ids.withColumn(COPIES, F.col("_quarantined"))
+    ids = quarantined_ids(quarantine)
+    # Copies are those in Bronze: the quarantine may hold one row per id.
+    found = bronze.join(ids, "transaction_id", "left_semi").groupBy("transaction_id").agg(F.count(F.lit(1)).alias(COPIES))
+    flags = stage(found.withColumn("_quarantined", F.lit(True)), "quarantined")
     kept = mark(bronze, flags, ["transaction_id"], cfg).where(F.col("_quarantined").isNull())
-    if cfg.null_ids == "promote_if_clean" and ids.isEmpty():
+    if cfg.null_ids == "promote_if_clean" and ids.isEmpty():  # no id at all in the quarantine
         return kept.select(*bronze.columns)
     return kept.where(F.col("transaction_id").isNotNull()).select(*bronze.columns)
 

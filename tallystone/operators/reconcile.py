@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions import week_start
+from tallystone.operators.accounts import closing_balance_asof
+from tallystone.operators.classify import REASON, SHIELDED
 from tallystone.operators.skew import lookup
 from tallystone.schemas import TOTAL
 from tallystone.settings import Settings
@@ -88,16 +90,42 @@ def mass_conservation(bronze: DataFrame, silver: DataFrame, quarantine: DataFram
     )
 
 
+def classified_conservation(classified: DataFrame) -> DataFrame:
+    """The same from rows that are judged but not yet written: one pass, three counts."""
+    rejected = F.col(REASON).isNotNull() | F.col(SHIELDED)
+    counts = classified.groupBy("date").agg(
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(F.col(REASON).isNull() & ~F.col(SHIELDED)).alias("silver_rows"),
+        F.count_if(rejected).alias("quarantine_rows"),
+    )
+    return counts.withColumn(
+        "difference", F.col("bronze_rows") - F.col("silver_rows") - F.col("quarantine_rows")
+    )
+
+
+def table_counts(model: str, processed: DataFrame, written: DataFrame) -> DataFrame:
+    """Records processed and written of a model, per date; both frames have one row per record
+    and its date. Only Silver models reject."""
+    tagged = processed.select("date", F.lit(0).alias("side")).unionByName(
+        written.select("date", F.lit(1).alias("side"))
+    )
+    return tagged.groupBy("date").agg(
+        F.lit(model).alias("model_name"),
+        F.count_if(F.col("side") == 0).alias("records_processed"),
+        F.count_if(F.col("side") == 1).alias("records_written"),
+    ).select("date", "model_name", "records_processed", "records_written", F.lit(None).cast("long").alias("records_rejected"))
+
+
 def layer_counts(
     bronze: DataFrame, silver: DataFrame, quarantine: DataFrame
 ) -> DataFrame:
-    """Records processed, written and rejected per Silver model and date."""
+    """Records processed, written and rejected per Silver transaction model and date; other
+    models: ``table_counts``."""
     counts = _counts_by_day(
         {
             "bronze": bronze,
             "silver": silver,
             "quarantine": quarantine.where(F.col("record_type") == "TRANSACTION"),
-            "gold": silver.where(F.col("_is_resolvable")),
         }
     )
     line = F.struct
@@ -117,12 +145,6 @@ def layer_counts(
                     F.col("quarantine_rows").alias("records_written"),
                     F.col("quarantine_rows").alias("records_rejected"),
                 ),
-                line(
-                    F.lit("gold_daily_summary").alias("model_name"),
-                    F.col("gold_rows").alias("records_processed"),
-                    F.lit(None).cast("long").alias("records_written"),
-                    F.lit(None).cast("long").alias("records_rejected"),
-                ),
             )
         ).alias("r"),
     ).select("date", "r.*")
@@ -164,11 +186,17 @@ def daily_tie_out(daily: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def weekly_tie_out(
-    weekly: DataFrame, silver: DataFrame, codes: DataFrame, cfg: Settings
+    weekly: DataFrame,
+    silver: DataFrame,
+    codes: DataFrame,
+    cfg: Settings,
+    accounts: DataFrame,
+    bronze_accounts: DataFrame | None = None,
 ) -> DataFrame:
-    """Gold weekly purchase count and sums against the resolvable Silver rows."""
+    """Gold weekly purchases, their average, sums and closing balance against the resolvable
+    Silver rows and the account state (``accounts``, or ``bronze_accounts`` for as_of)."""
     sums = {"total_payments": "PAYMENT", "total_fees": "FEE", "total_interest": "INTEREST"}
-    values = ["total_purchases", *sums]
+    values = ["total_purchases", "avg_purchase_amount", *sums, "closing_balance"]
     kind = F.col("transaction_type")
     typed = lookup(
         silver.where(F.col("_is_resolvable")),
@@ -180,13 +208,23 @@ def weekly_tie_out(
         "account_id", week_start(F.col("transaction_date")).alias("week_start_date")
     ).agg(
         F.count_if(kind == "PURCHASE").alias("total_purchases"),
+        (
+            F.sum(F.when(kind == "PURCHASE", F.col("_signed_amount"))).cast("double")
+            / F.nullif(F.count_if(kind == "PURCHASE"), F.lit(0))
+        ).alias("avg_purchase_amount"),
         *[
             F.coalesce(F.sum(F.when(kind == t, F.col("_signed_amount"))), F.lit(0)).cast(TOTAL).alias(v)
             for v, t in sums.items()
         ],
     )
+    if cfg.balance == "as_of":
+        ends = direct.withColumn("week_end_date", F.date_add("week_start_date", 6))
+        direct = closing_balance_asof(ends, bronze_accounts).drop("week_end_date")
+    else:
+        state = accounts.select("account_id", F.col("current_balance").alias("closing_balance"))
+        direct = direct.join(state, "account_id", "inner")
     gold = weekly.select(
-        "account_id", "week_start_date", "total_purchases",
+        "account_id", "week_start_date", "total_purchases", "avg_purchase_amount", "closing_balance",
         *[F.col(v).cast(TOTAL).alias(v) for v in sums],
     )
     return _tie_out(gold, direct, ["account_id", "week_start_date"], values)

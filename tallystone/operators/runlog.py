@@ -5,24 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions import contains_any, scrub_paths, tail
+from tallystone.functions import contains_any, scrub_paths
 from tallystone.schemas import RUN_LOG
 from tallystone.settings import Settings
 
-MESSAGE_LENGTH = 500
-
 
 def run_log_rows(entries: DataFrame) -> DataFrame:
     """Apply the field rules: rejected counts belong to Silver only, a SUCCESS has no
-    message, other messages carry no path separators and at most their last 500
-    characters."""
+    message, other messages are kept whole but carry no path separators."""
     ok = F.col("status") == "SUCCESS"
     return entries.withColumns(
         {
             "records_rejected": F.when(F.col("layer") == "SILVER", F.col("records_rejected")),
-            "error_message": F.when(
-                F.coalesce(~ok, F.lit(True)), tail(scrub_paths(F.col("error_message")), MESSAGE_LENGTH)
-            ),
+            "error_message": F.when(F.coalesce(~ok, F.lit(True)), scrub_paths(F.col("error_message"))),
         }
     ).select(*RUN_LOG.fieldNames())
 

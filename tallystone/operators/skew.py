@@ -1,7 +1,8 @@
 """Lookups that hold up when one key owns a third of the rows.
 
-Only sides with a bound are broadcast: a lookup table measured below the limits, or the
-keys that reach ``hot_rows`` (at most total_rows / hot_rows of them). Rows of a hot key,
+Only sides with a bound are broadcast: a lookup table measured below the limits, or the hot
+keys. A key is hot when its rows exceed the even share of a shuffle partition, so there are
+fewer hot keys than partitions, whatever the size of the data. Rows of a hot key,
 and rows that cannot match, get a join key of their own so that they spread over all
 tasks instead of meeting in one.
 """
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystone.session import INITIAL_PARTITIONS
 from tallystone.settings import Settings
 from tallystone.sources.files import stage
 
@@ -39,6 +41,16 @@ def is_small(df: DataFrame, cfg: Settings) -> bool:
     return rows <= cfg.broadcast_rows and size <= cfg.broadcast_bytes
 
 
+def hot_from(flags: DataFrame, cfg: Settings) -> int:
+    """The number of rows from which a key is hot."""
+    if cfg.hot_rows is not None:
+        return cfg.hot_rows
+    conf = flags.sparkSession.conf
+    partitions = int(conf.get(INITIAL_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions"))
+    total = flags.agg(F.sum(COPIES)).first()[0] or 0
+    return max(2, total // partitions + 1)
+
+
 def mark(
     rows: DataFrame,
     flags: DataFrame,
@@ -58,7 +70,7 @@ def mark(
     """
     payload = [c for c in flags.columns if c not in keys and c != COPIES]
     packed = F.struct(*payload)
-    is_hot = F.col(COPIES) >= cfg.hot_rows
+    is_hot = F.col(COPIES) >= hot_from(flags, cfg)
     # Always 0, but no constant: a constant would be folded out of the join keys.
     shared_lane = F.least(F.col(COPIES), F.lit(0)).cast("long")
     hot = flags.where(is_hot).select(*keys, packed.alias("_hot"))

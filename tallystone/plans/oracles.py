@@ -207,7 +207,8 @@ lg AS (
               ELSE 'SUCCESS' END AS status,
          CAST(floor(o_totalprice) AS BIGINT) AS records_written, o_orderkey AS records_rejected,
          '\\app/Bronze/order ' || CAST(o_orderkey AS VARCHAR) || ' ' || o_orderpriority
-           || CASE WHEN o_orderpriority LIKE '4%' THEN ' Key missing' ELSE '' END AS message,
+           || CASE WHEN o_orderpriority LIKE '4%' THEN ' Key missing'
+                   WHEN o_orderpriority LIKE '3%' THEN repeat(' detail', 100) ELSE '' END AS message,
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS processed_date
   FROM orders),
 kept AS (
@@ -302,6 +303,8 @@ used AS (SELECT c.* FROM codes c WHERE transaction_code IN (SELECT transaction_c
     )
 )
 
+_STREAMED = _EV_BY_DATE + _SHOW_SILVER.replace("run_id AS _pipeline_run_id, ", "")
+
 ORACLES: dict[str, str] = {
     "txn_reasons": _LI_JUDGED + _REASONS,
     "txn_reasons_events": _EV_JUDGED + _REASONS,
@@ -376,17 +379,45 @@ n AS (
 SELECT date, 'silver_transactions' AS model_name, bronze AS records_processed,
        silver AS records_written, bronze - silver AS records_rejected FROM n
 UNION ALL SELECT date, 'silver_quarantine', bronze, rejected, rejected FROM n
-UNION ALL SELECT date, 'gold_daily_summary', resolvable, -1, -1 FROM n""",
+UNION ALL SELECT transaction_date, 'gold_daily_summary', count(*), 1, -1 FROM silver WHERE ok GROUP BY transaction_date
+UNION ALL SELECT CAST(date_trunc('week', CAST(transaction_date AS DATE))::DATE AS VARCHAR), 'gold_weekly_account_summary', count(*), count(DISTINCT account_id), -1
+FROM silver WHERE ok GROUP BY 1
+UNION ALL SELECT CAST(d AS VARCHAR), 'silver_accounts', sum(p)::BIGINT, sum(w)::BIGINT, -1
+FROM (SELECT date AS d, 1 AS p, 0 AS w FROM ac UNION ALL SELECT date, 0, 1 FROM latest) GROUP BY d
+UNION ALL SELECT CAST(d AS VARCHAR), 'silver_transaction_codes', sum(p)::BIGINT, sum(w)::BIGINT, -1
+FROM (SELECT date AS d, 1 AS p, 0 AS w FROM (SELECT DISTINCT transaction_code, date FROM ev WHERE transaction_code <> 'error')
+      UNION ALL SELECT max(date), 0, 1 FROM ev WHERE transaction_code <> 'error' GROUP BY transaction_code) GROUP BY d""",
     "gold_tieout": _EV_SILVER + """
 SELECT transaction_date, count(*) AS gold_total_transactions, count(*) AS silver_total_transactions,
        CAST(sum(signed_amount) AS DOUBLE) AS gold_total_signed_amount,
        CAST(sum(signed_amount) AS DOUBLE) AS silver_total_signed_amount, 1 AS agrees
 FROM silver WHERE ok GROUP BY transaction_date""",
     "weekly_tieout": _EV_SILVER.rstrip() + _WEEKS + """
-SELECT account_id, CAST(monday AS VARCHAR) AS week_start_date, total_purchases AS gold_total_purchases,
-       total_purchases AS silver_total_purchases, total_payments AS gold_total_payments,
-       total_payments AS silver_total_payments, 1 AS agrees
-FROM weeks""",
+SELECT w.account_id, CAST(monday AS VARCHAR) AS week_start_date, total_purchases AS gold_total_purchases,
+       total_purchases AS silver_total_purchases,
+       coalesce(avg_purchase_amount, -1) AS gold_avg_purchase_amount, coalesce(avg_purchase_amount, -1) AS silver_avg_purchase_amount,
+       total_payments AS gold_total_payments, total_payments AS silver_total_payments,
+       total_fees AS gold_total_fees, total_fees AS silver_total_fees,
+       total_interest AS gold_total_interest, total_interest AS silver_total_interest,
+       CAST(l.current_balance AS DOUBLE) AS gold_closing_balance, CAST(l.current_balance AS DOUBLE) AS silver_closing_balance,
+       1 AS agrees
+FROM weeks w JOIN latest l ON w.account_id = l.account_id""",
+    "tieout_faults": _EV_SILVER + """
+SELECT transaction_date,
+       CASE WHEN day(CAST(transaction_date AS DATE)) % 7 = 0 THEN -1
+            ELSE count(*) + CASE WHEN day(CAST(transaction_date AS DATE)) % 5 = 0 THEN 1 ELSE 0 END END AS gold_total_transactions,
+       count(*) AS silver_total_transactions,
+       CASE WHEN day(CAST(transaction_date AS DATE)) % 7 = 0 OR day(CAST(transaction_date AS DATE)) % 5 = 0 THEN 0 ELSE 1 END AS agrees
+FROM silver WHERE ok GROUP BY transaction_date""",
+    "lineage_weekly": _EV_SILVER.rstrip() + _WEEKS + """
+SELECT s.account_id, CAST(w.monday AS VARCHAR) AS week_start_date, any_value(w.total_purchases) AS total_purchases,
+       s.run_id AS _pipeline_run_id, s.source_file AS _source_file, count(*) AS silver_rows,
+       CAST(sum(s.signed_amount) AS DOUBLE) AS silver_amount,
+       (SELECT count(*) FROM ev WHERE ev.run_id = s.run_id AND ev.source_file = s.source_file) AS bronze_rows,
+       CAST(s.run_id = 'run-a' AS INTEGER) AS has_success_log
+FROM silver s JOIN weeks w ON w.account_id = s.account_id
+  AND w.monday = CAST(date_trunc('week', CAST(s.transaction_date AS DATE)) AS DATE)
+WHERE s.ok AND s.account_id IN (SELECT account_id FROM latest) GROUP BY s.account_id, w.monday, s.run_id, s.source_file""",
     "expectations": _EXPECTATIONS,
     "expectations_bronze": _LI_JUDGED + _checks(
         "bronze_transactions", "ev", ["transaction_id", "channel"],
@@ -461,13 +492,18 @@ FROM ev""",
 SELECT CAST(date AS VARCHAR) AS date, count(*) AS source_rows, count(*) AS loaded_rows, 'KEEP' AS action
 FROM ev GROUP BY date""",
     "range_run": _EV_BY_DATE + _show_daily("'run-a'"),
-    "incremental_run": _with(_EVENTS, _JUDGED, _ACCOUNTS, _BY_DATE).rstrip() + _WEEKS + """,
-delivered AS (SELECT account_id, max_by(current_balance, date) AS current_balance FROM ac
-              WHERE date <= date '2024-01-30' GROUP BY account_id)"""
-    + _show_weekly(
-        "coalesce((SELECT max_by(a.current_balance, a.date) FROM ac a WHERE a.account_id = w.account_id "
-        "AND a.date <= least(w.monday + 6, date '2024-01-30')), l.current_balance)",
-        run_id=False, accounts="delivered",
-    ),
-    "stream_run": _EV_BY_DATE + _SHOW_SILVER.replace("run_id AS _pipeline_run_id, ", ""),
+    "incremental_run": _with(_EVENTS, _JUDGED, _ACCOUNTS, _BY_DATE).rstrip() + _WEEKS
+    + _show_weekly(_AS_OF, run_id=False),
+    "csv_ragged": _with(_EVENTS) + """
+SELECT CAST(date AS VARCHAR) AS date, CASE WHEN odd THEN 'FAILED' ELSE 'SUCCESS' END AS status, n AS records_processed,
+       CASE WHEN odd THEN 0 ELSE n END AS records_written, CASE WHEN odd THEN 0 ELSE n END AS held
+FROM (SELECT date, count(*) AS n, bool_or(day(date) % 7 = 3 AND CAST(transaction_id AS BIGINT) % 100 = 0) AS odd
+      FROM ev GROUP BY date)""",
+    "stream_run": _STREAMED,
+    "stream_retry_run": _STREAMED,
+    "reload_run": _STREAMED,
+    "backfill_run": _with(_EVENTS, _JUDGED, _ACCOUNTS, _BY_DATE) + """,
+late AS (SELECT account_id FROM ac WHERE date <= (SELECT max(date) FROM ev)),
+resolved AS (SELECT * REPLACE (ok OR account_id IN (SELECT account_id FROM late) AS ok) FROM silver)"""
+    + _SHOW_SILVER.replace("run_id AS _pipeline_run_id, ", "").replace("FROM silver", "FROM resolved"),
 }

@@ -6,6 +6,7 @@ Spark job over all its days. The driver holds the run id, the days and counts pe
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -15,6 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystone.functions import blank
 from tallystone.operators.accounts import first_seen, latest_accounts
 from tallystone.operators.checks import check_accounts_unique
 from tallystone.operators.classify import (
@@ -53,8 +55,8 @@ NO_OP_MODELS = (
     ("gold_aggregation", "GOLD"),
 )
 
-# Staged id flags up to this size are broadcast by Spark's default threshold.
-NARROW_FLAGS = 10 * 1024 * 1024
+# Accounts whose earlier rows a backfill has resolved; only ever added to.
+RESOLVED = "silver/resolved_accounts"
 
 
 @dataclass
@@ -67,8 +69,15 @@ class RunResult:
     reasons: list[str] = field(default_factory=list)
 
 
-def _first_line(error: Exception) -> str:
-    return next(iter(str(error).splitlines()), type(error).__name__)
+def _message(error: Exception) -> str:
+    """All an error says; its type, if it says nothing."""
+    return str(error).strip() or type(error).__name__
+
+
+def _broadcast_bytes(spark: SparkSession) -> int:
+    """Up to what size Spark itself broadcasts a table in this session; below 0 for never."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit.removesuffix("b") or " ")
 
 
 class _Run:
@@ -100,7 +109,7 @@ class _Run:
         except Exception as error:
             self.log(
                 model, layer, "FAILED", started_at=began, processed_date=day,
-                error_message=_first_line(error),
+                error_message=_message(error),
             )
             self.flush()
             raise
@@ -150,7 +159,26 @@ def run_next(
     return _process(run, day, day)
 
 
-def _process(run: _Run, start: date, end: date) -> RunResult:
+def unbroken(days: Iterable[date]) -> list[tuple[date, date]]:
+    """The days as ranges without a gap."""
+    spans: list[tuple[date, date]] = []
+    for d in sorted(set(days)):
+        if spans and d == spans[-1][1] + timedelta(days=1):
+            spans[-1] = (spans[-1][0], d)
+        else:
+            spans.append((d, d))
+    return spans
+
+
+def run_days(
+    spark: SparkSession, start: date, end: date, cfg: Settings, *, run_id: str | None = None, now: datetime | None = None
+) -> RunResult:
+    """Load a range wherever it lies. Days that are missing before it hold the watermark back
+    until they have come; it then moves over all days loaded since."""
+    return _process(_Run(spark, cfg, "INCREMENTAL", run_id, now), start, end, over_gaps=False)
+
+
+def _process(run: _Run, start: date, end: date, over_gaps: bool = True) -> RunResult:
     result = RunResult(run.run_id, watermark=run.lake.get_watermark())
     loads = {
         entity: _load_bronze(run, entity, start, end)
@@ -164,20 +192,35 @@ def _process(run: _Run, start: date, end: date) -> RunResult:
         and loads["transactions"][d]["status"] == "SUCCESS"
         and loads["accounts"][d]["status"] != "FAILED"
     ]
-    if len(result.days) < len(all_days):
+    excused = "bronze_transactions" in run.cfg.skippable
+    if any(
+        d not in result.days and not (excused and loads["transactions"][d]["status"] == "SKIPPED")
+        for d in all_days
+    ):
         result.reasons.append("some days were not loaded")
-    if result.days:
+    accounts_came = any(r["status"] == "SUCCESS" for r in loads["accounts"].values())
+    no_rows_came = all(r["status"] == "SKIPPED" for r in loads["transactions"].values())
+    if result.days or (no_rows_came and accounts_came and codes_ok):
         try:
             size = size_of(run.spark, run.lake.path("bronze"))
             with staged_for_now(run.spark), sized_shuffles(run.spark, size):
                 _silver_and_gold(run, result, end, loads)
         except Exception as error:
-            result.reasons.append(f"{type(error).__name__} in Silver or Gold")
+            result.reasons.append(f"{type(error).__name__} in Silver or Gold: {_message(error)}")
     run.flush()
-    _gates(run, result, end)
+    _gates(run, result, end if over_gaps else _reached(run.lake, end))
     return result
 
 
+def _reached(lake: Lake, end: date) -> date:
+    """The last day of the unbroken run of loaded days that starts at the watermark."""
+    watermark = lake.get_watermark()
+    for first, last in unbroken(lake.days("bronze/transactions")):
+        if watermark is None or first <= watermark + timedelta(days=1) <= last + timedelta(days=1):
+            return last
+    return watermark or end
+
+
 def _load_bronze(run: _Run, entity: str, start: date, end: date) -> dict[date, dict]:
     began = datetime.now(timezone.utc)
     last = start if entity == "transaction_codes" else end
@@ -187,7 +230,7 @@ def _load_bronze(run: _Run, entity: str, start: date, end: date) -> dict[date, d
         for result in load_days(run.spark, entity, start, end, run.cfg, run.run_id, run.now):
             rows[result[0]] = dict(zip(LOAD_RESULT.fieldNames(), result))
     except Exception as error:
-        failed = {"status": "FAILED", "error_message": _first_line(error)}
+        failed = {"status": "FAILED", "error_message": _message(error)}
         rows = dict.fromkeys(span, failed)
     for day, r in rows.items():
         run.log(
@@ -204,8 +247,9 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
     lake, cfg, now = run.lake, run.cfg, run.now
 
     def promote_codes() -> list[dict]:
-        written = lake.replace_table(silver_codes(lake.bronze("transaction_codes")), "silver/transaction_codes", run.run_id)
-        require_codes(lake.read("silver/transaction_codes"))
+        codes = silver_codes(lake.bronze("transaction_codes"))
+        require_codes(codes)
+        written = lake.replace_table(codes, "silver/transaction_codes", run.run_id)
         return [{"records_processed": written, "records_written": written}]
 
     def promote_accounts() -> list[dict]:
@@ -215,6 +259,9 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
 
     run.step("silver_transaction_codes", "SILVER", end, promote_codes)
     run.step("silver_accounts", "SILVER", end, promote_accounts)
+    if not result.days:  # only accounts came: no row to judge, but balances may have changed
+        refresh_gold(run, [], end)
+        return
 
     codes = lake.read("silver/transaction_codes").drop(WRITER)
     scope, flags, narrow = rewrite_scope(lake, result.days, cfg)
@@ -240,7 +287,7 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
 
     def promote() -> list[dict]:
         accounts = (
-            first_seen(lake.bronze("accounts"))
+            known_since(lake)
             if cfg.resolvable == "as_of_date"
             else lake.read("silver/accounts").select("account_id")
         )
@@ -264,12 +311,24 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
     refresh_gold(run, scope, end)
 
 
+def known_since(lake: Lake) -> DataFrame:
+    """The day since which each account resolves rows: its first delivery, or any day once a
+    backfill has resolved its earlier rows."""
+    delivered = first_seen(lake.bronze("accounts"))
+    if not lake.has(RESOLVED):
+        return delivered
+    always = lake.read(RESOLVED).select("account_id", F.lit("0001-01-01").cast("date").alias("_first_seen"))
+    return delivered.unionByName(always).groupBy("account_id").agg(F.min("_first_seen").alias("_first_seen"))
+
+
 def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[date], DataFrame, bool]:
     """The Silver days to write, the id flags that hold for them, and whether the flags are
     small enough to be broadcast.
 
-    An id that also occurs on a day outside the run changes that day too. Other days are
-    searched by id only, reduced to one row per id and day before the shuffle.
+    An id that also occurs on a day outside the run changes that day too, and so does an id
+    that the run's days held before and no longer hold: a copy elsewhere may be the only one
+    now. Other days are searched by id only, reduced to one row per id and day before the
+    shuffle.
     """
     bronze = lake.bronze("transactions")
     others = sorted(set(lake.days("bronze/transactions")) - set(days))
@@ -279,17 +338,23 @@ def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[dat
     if not others:
         return _sized(days, id_flags(here))
     counts = id_counts(here)
-    elsewhere = stage(
-        id_counts(bronze.where(F.col("date").isin(others)), "date").join(
-            counts.select("transaction_id"), "transaction_id", "left_semi"
-        ),
-        "ids-elsewhere",
-    )
+    asked = counts.select("transaction_id")
+    for table in ("silver/transactions", "silver/quarantine/record_type=TRANSACTION"):
+        if lake.has(table):
+            before = lake.read(table).where(F.col("date").isin(days) & ~blank("transaction_id"))
+            asked = asked.unionByName(before.select("transaction_id"))
+    asked = stage(asked.distinct(), "ids-asked")
+    # The days are scanned for these ids only; what is shuffled and grouped is what they hold.
+    found = bronze.where(F.col("date").isin(others)).join(asked, "transaction_id", "left_semi")
+    elsewhere = stage(id_counts(found, "date"), "ids-elsewhere")
     touched = [r["date"] for r in elsewhere.select("date").distinct().collect()]
     if not touched:
         return _sized(days, counts.where(F.col(COPIES) > 1))
     if cfg.retract:
-        return _sized(sorted({*days, *touched}), id_flags(bronze))
+        scope = sorted({*days, *touched})
+        # All copies of the ids on the days to be written, wherever the copies are.
+        on_scope = bronze.where(F.col("date").isin(scope)).select("transaction_id").distinct()
+        return _sized(scope, id_flags(bronze.join(on_scope, "transaction_id", "left_semi")))
     merged = (
         counts.unionByName(elsewhere.drop("date"))
         .groupBy("transaction_id")
@@ -301,7 +366,7 @@ def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[dat
 
 def _sized(scope: list[date], flags: DataFrame) -> tuple[list[date], DataFrame, bool]:
     staged, size = stage_sized(flags, "ids")
-    return scope, staged, size <= NARROW_FLAGS
+    return scope, staged, size <= _broadcast_bytes(flags.sparkSession)
 
 
 def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
@@ -386,6 +451,9 @@ def _backfill(run: _Run, result: RunResult) -> None:
         return
 
     def resolve() -> list[dict]:
+        # First the lasting part: a backfill that is cut off is simply run again.
+        owned = arrived.select("account_id").withColumn(WRITER, F.lit(run.run_id))
+        owned.write.mode("append").parquet(lake.path(RESOLVED))
         days = silver.where(F.col("date").isin(result.rewritten)).drop(WRITER)
         changed = stage(resolve_late_accounts(days, accounts, cfg), "resolved")
         counts = lake.replace_days(changed, "silver/transactions", result.rewritten, run.run_id)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +25,14 @@ from tallystone.operators.promote import (
     resolve_late_accounts,
 )
 from tallystone.operators.quarantine import build_quarantine
-from tallystone.plans.pipeline import run_next, run_range
+from tallystone.plans.pipeline import run_backfill, run_next, run_range
 from tallystone.schemas import TRANSACTION_COLUMNS
 from tallystone.settings import TRANSACTION_TYPES, Settings
 from tallystone.sources import bindings as b
 from tallystone.sources import daily_csv
 from tallystone.sources.bindings import NOW
-from tallystone.sources.files import scratch_path, stage
-from tallystone.sources.lake import Lake, load_plan
+from tallystone.sources.files import remove_folder, scratch_path, stage
+from tallystone.sources.lake import Lake, load_idempotent, load_plan
 from tallystone.streaming.drops import stream_next
 
 CFG = Settings(resolvable="latest")
@@ -287,21 +288,39 @@ def closing_balance_asof(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mass_conservation(spark: SparkSession, sf: str) -> DataFrame:
-    bronze = _lines(spark, sf)
-    classified = _classified_lines(spark, sf, bronze=bronze)
-    quarantine = build_quarantine(classified, classify_accounts(b.customer_accounts(spark, sf), CFG), NOW, CFG)
-    counts = reconcile.mass_conservation(bronze, accepted(classified), quarantine)
+    counts = reconcile.classified_conservation(_classified_lines(spark, sf))
     return counts.select(_day("date"), "bronze_rows", "silver_rows", "quarantine_rows", "difference")
 
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The models that judge, build or keep state; Bronze counts are those of the loads."""
     classified = stage(_classified_events(spark, sf), "classified")
-    silver = promote_transactions(
-        accepted(classified), b.codes(spark, b.EVENT_CODES),
-        acc.first_seen(b.customer_accounts(spark, sf)), NOW, CFG,
+    delivered = b.customer_accounts(spark, sf)
+    silver = stage(
+        promote_transactions(
+            accepted(classified), b.codes(spark, b.EVENT_CODES), acc.first_seen(delivered), NOW, CFG
+        ),
+        "silver",
     )
     rejected = classified.where(F.col(REASON).isNotNull()).withColumn("record_type", F.lit("TRANSACTION"))
     counts = reconcile.layer_counts(b.event_transactions(spark, sf), silver, rejected)
+    used = silver.where(F.col("_is_resolvable"))
+    monday = F.trunc("transaction_date", "week").alias("date")
+    for more in (
+        reconcile.table_counts("gold_daily_summary", used, _daily(spark, sf, silver).select(F.col("transaction_date").alias("date"))),
+        reconcile.table_counts(
+            "gold_weekly_account_summary", used.select(monday),
+            _weekly(spark, sf, silver=silver).select(F.col("week_start_date").alias("date")),
+        ),
+        reconcile.table_counts(
+            "silver_accounts", delivered, _accounts(spark, sf).select(F.col("_bronze_ingested_at").cast("date").alias("date"))
+        ),
+        reconcile.table_counts(
+            "silver_transaction_codes", b.delivered_codes(spark, sf),
+            silver_codes(b.delivered_codes(spark, sf)).select(F.col("_ingested_at").cast("date").alias("date")),
+        ),
+    ):
+        counts = counts.unionByName(more)
     blank = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("records_written", "records_rejected")]
     return counts.select(_day("date"), "model_name", "records_processed", *blank)
 
@@ -315,12 +334,34 @@ def gold_tieout(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tieout_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily tie-out over a Gold table with known faults: every fifth day counts one row too
+    many, every seventh is missing."""
+    silver = stage(_silver(spark, sf), "silver")
+    day = F.dayofmonth("transaction_date")
+    wrong = _daily(spark, sf, silver).where(day % 7 != 0).withColumn(
+        "total_transactions", F.col("total_transactions") + F.when(day % 5 == 0, 1).otherwise(0)
+    )
+    ties = reconcile.daily_tie_out(wrong, silver)
+    return ties.select(
+        _day("transaction_date"), F.coalesce("gold_total_transactions", F.lit(-1)).alias("gold_total_transactions"),
+        "silver_total_transactions", _flag("agrees"),
+    )
+
+
 def weekly_tieout(spark: SparkSession, sf: str) -> DataFrame:
     silver = stage(_silver(spark, sf), "silver")
-    ties = reconcile.weekly_tie_out(_weekly(spark, sf, silver=silver), silver, b.codes(spark, b.EVENT_CODES), CFG)
+    ties = reconcile.weekly_tie_out(
+        _weekly(spark, sf, silver=silver), silver, b.codes(spark, b.EVENT_CODES), CFG, _accounts(spark, sf)
+    )
+    values = ("avg_purchase_amount", "total_payments", "total_fees", "total_interest", "closing_balance")
     return ties.select(
         "account_id", _day("week_start_date"), "gold_total_purchases", "silver_total_purchases",
-        _money("gold_total_payments"), _money("silver_total_payments"), _flag("agrees"),
+        *[
+            F.coalesce(F.round(F.col(f"{side}_{v}").cast("double"), 6), F.lit(-1.0)).alias(f"{side}_{v}")
+            for v in values for side in ("gold", "silver")
+        ],
+        _flag("agrees"),
     )
 
 
@@ -356,12 +397,26 @@ def referential_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.referential_gaps(raw, b.codes(spark, b.EVENT_CODES), _accounts(spark, sf))
 
 
+def _event_log(spark: SparkSession, sf: str) -> DataFrame:
+    return b.order_log(spark, sf).where("status = 'SUCCESS'").select(
+        F.lit("run-a").alias("run_id"), F.lit("bronze_transactions").alias("model_name"), "status"
+    )
+
+
+def lineage_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    silver = stage(_silver(spark, sf), "silver")
+    trace = lineage.lineage_weekly(_weekly(spark, sf, silver=silver), silver, b.event_transactions(spark, sf), _event_log(spark, sf))
+    return trace.select(
+        "account_id", _day("week_start_date"), "total_purchases", "_pipeline_run_id", "_source_file",
+        "silver_rows", _money("silver_amount"), "bronze_rows", _flag("has_success_log"),
+    )
+
+
 def lineage_trace(spark: SparkSession, sf: str) -> DataFrame:
     silver = stage(_silver(spark, sf), "silver")
-    log = b.order_log(spark, sf).where("status = 'SUCCESS'").select(
-        F.lit("run-a").alias("run_id"), F.lit("bronze_transactions").alias("model_name"), "status"
+    traced = lineage.lineage_trace(
+        _daily(spark, sf, silver), silver, b.event_transactions(spark, sf), _event_log(spark, sf)
     )
-    traced = lineage.lineage_trace(_daily(spark, sf, silver), silver, b.event_transactions(spark, sf), log)
     return traced.select(
         _day("transaction_date"), "total_transactions", "_pipeline_run_id", "_source_file",
         "silver_rows", _money("silver_amount"), "bronze_rows", _flag("has_success_log"),
@@ -487,12 +542,13 @@ def messages_clean(spark: SparkSession, sf: str) -> DataFrame:
 # Whole runs over deliveries that Spark writes from the given tables
 
 
-def _delivered(spark: SparkSession, sf: str, balance: str = "latest") -> Settings:
+def _delivered(spark: SparkSession, sf: str, balance: str = "latest", with_codes: bool = True) -> Settings:
     folder = scratch_path(spark, "run")
     cfg = Settings(source_dir=f"{folder}/source", lake_dir=f"{folder}/lake", balance=balance)
     b.export_daily_csv(b.event_transactions(spark, sf), "transactions", cfg.source_dir)
     b.export_daily_csv(b.customer_accounts(spark, sf), "accounts", cfg.source_dir)
-    b.export_codes_csv(b.delivered_codes(spark, sf), cfg.source_dir)
+    if with_codes:
+        b.export_codes_csv(b.delivered_codes(spark, sf), cfg.source_dir)
     return cfg
 
 
@@ -501,11 +557,17 @@ def _finished(result) -> None:
         raise RuntimeError("; ".join(result.reasons))
 
 
+def _first_and_last(spark: SparkSession, cfg: Settings, *entities: str) -> tuple[date, date]:
+    days = [d for e in entities for d in daily_csv.delivered_days(spark, e, cfg)]
+    return min(days), max(days)
+
+
 def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "ingest")
+    cfg = replace(CFG, source_dir=folder)
     b.export_daily_csv(b.event_transactions(spark, sf), "transactions", folder)
     rows = daily_csv.ingest_daily_csv(
-        spark, "transactions", date(2024, 1, 1), date(2024, 1, 31), replace(CFG, source_dir=folder), "run-a", NOW
+        spark, "transactions", *_first_and_last(spark, cfg, "transactions"), cfg, "run-a", NOW
     )
     return rows.select(
         "transaction_id", "account_id", "transaction_date", "amount", "transaction_code",
@@ -514,6 +576,25 @@ def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def csv_ragged(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries of which those of every seventh day have rows with a field too many: those
+    days fail and write nothing, wherever the rows stand; the others load."""
+    folder = scratch_path(spark, "ragged")
+    cfg = replace(CFG, source_dir=f"{folder}/source", lake_dir=f"{folder}/lake")
+    events = b.event_transactions(spark, sf)
+    odd = F.dayofmonth("date") % 7 == 3
+    b.export_daily_csv(events.where(~odd), "transactions", cfg.source_dir)
+    loose = F.when(F.col("transaction_id").cast("long") % 100 == 0, "Shop, Inc")
+    b.export_daily_csv(events.where(odd).withColumn("merchant_name", loose), "transactions", cfg.source_dir, quote="")
+    span = _first_and_last(spark, cfg, "transactions")
+    done = load_idempotent(spark, "transactions", *span, cfg, "run-a", NOW).where("status != 'SKIPPED'")
+    held = Lake(spark, cfg).bronze("transactions").groupBy("date").agg(F.count(F.lit(1)).alias("held"))
+    return done.join(held, "date", "left").select(
+        _day("date"), "status", "records_processed",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("records_written", "held")],
+    )
+
+
 def csv_load_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries against rows already held, the way a repeated load compares them."""
     folder = scratch_path(spark, "plan")
@@ -521,30 +602,81 @@ def csv_load_plan(spark: SparkSession, sf: str) -> DataFrame:
     held = b.event_transactions(spark, sf).withColumn("amount", F.col("amount").cast("string"))
     b.export_daily_csv(held, "transactions", folder)
     again = daily_csv.ingest_daily_csv(
-        spark, "transactions", date(2024, 1, 1), date(2024, 1, 31), cfg, "run-b", NOW
+        spark, "transactions", *_first_and_last(spark, cfg, "transactions"), cfg, "run-b", NOW
     )
     return _show_plan(load_plan(again, held, "transactions", cfg))
 
 
 def range_run(spark: SparkSession, sf: str) -> DataFrame:
-    cfg = _delivered(spark, sf)
-    _finished(run_range(spark, date(2024, 1, 1), date(2024, 1, 30), cfg, run_id="run-a", now=NOW))
+    """All days of all deliveries; days with accounts only have no transactions to wait for."""
+    cfg = replace(_delivered(spark, sf), skippable=("bronze_accounts", "bronze_transactions"))
+    span = _first_and_last(spark, cfg, "transactions", "accounts")
+    _finished(run_range(spark, *span, cfg, run_id="run-a", now=NOW))
     return _show_daily(Lake(spark, cfg).read("gold/daily_summary"))
 
 
 def incremental_run(spark: SparkSession, sf: str) -> DataFrame:
-    cfg = _delivered(spark, sf, balance="as_of")
-    _finished(run_range(spark, date(2024, 1, 1), date(2024, 1, 29), cfg, run_id="run-a", now=NOW))
+    """All days but the last by a range, the last one on its own, then the accounts that came
+    after it."""
+    cfg = replace(_delivered(spark, sf, balance="as_of"), skippable=("bronze_accounts", "bronze_transactions"))
+    first, last = _first_and_last(spark, cfg, "transactions")
+    _finished(run_range(spark, first, last - timedelta(days=1), cfg, run_id="run-a", now=NOW))
     _finished(run_next(spark, cfg, run_id="run-b", now=NOW))
+    end = _first_and_last(spark, cfg, "transactions", "accounts")[1]
+    if end > last:
+        _finished(run_range(spark, last + timedelta(days=1), end, cfg, run_id="run-c", now=NOW))
     return _show_weekly(Lake(spark, cfg).read("gold/weekly_account_summary")).drop("_pipeline_run_id")
 
 
+def _silver_of(spark: SparkSession, cfg: Settings) -> DataFrame:
+    return _show_silver(Lake(spark, cfg).read("silver/transactions")).drop("_pipeline_run_id")
+
+
 def stream_run(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _delivered(spark, sf)
     for result in stream_next(spark, cfg, f"{cfg.lake_dir}/pipeline/stream"):
         _finished(result)
-    silver = Lake(spark, cfg).read("silver/transactions")
-    return _show_silver(silver).drop("_pipeline_run_id")
+    return _silver_of(spark, cfg)
+
+
+def stream_retry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The codes arrive after the first call of the stream, which fails and is made up for."""
+    cfg = _delivered(spark, sf, with_codes=False)
+    try:
+        stream_next(spark, cfg, f"{cfg.lake_dir}/pipeline/stream")
+    except StreamingQueryException:
+        b.export_codes_csv(b.delivered_codes(spark, sf), cfg.source_dir)
+    for result in stream_next(spark, cfg, f"{cfg.lake_dir}/pipeline/stream"):
+        _finished(result)
+    return _silver_of(spark, cfg)
+
+
+def reload_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The last day repeats ids of the first one; delivered again without them, under the same
+    run id, it releases them."""
+    cfg = _delivered(spark, sf)
+    first, last = _first_and_last(spark, cfg, "transactions")
+    events = b.event_transactions(spark, sf)
+    end = events.where(F.col("date") == last)
+    again = events.where((F.col("date") == first) & (F.col("transaction_id").cast("long") % 3 == 0))
+    name = f"{cfg.source_dir}/transactions_{last.isoformat()}.csv"
+    remove_folder(spark, name)
+    b.export_daily_csv(end.unionByName(again.withColumn("date", F.lit(last))), "transactions", cfg.source_dir)
+    _finished(run_range(spark, first, last, cfg, run_id="run-a", now=NOW))
+    remove_folder(spark, name)
+    b.export_daily_csv(end, "transactions", cfg.source_dir)
+    _finished(run_range(spark, last, last, cfg, run_id="run-a", now=NOW))
+    return _silver_of(spark, cfg)
+
+
+def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A load, a backfill of the accounts that came later, and the load of all days again."""
+    cfg = _delivered(spark, sf)
+    span = _first_and_last(spark, cfg, "transactions")
+    _finished(run_range(spark, *span, cfg, run_id="run-a", now=NOW))
+    run_backfill(spark, cfg, run_id="run-b", now=NOW)
+    _finished(run_range(spark, *span, cfg, run_id="run-c", now=NOW))
+    return _silver_of(spark, cfg)
 
 
 QUERIES: dict[str, Query] = {
@@ -555,9 +687,9 @@ QUERIES: dict[str, Query] = {
         codes_distinct, promoted, promoted_as_of_date, promoted_against_quarantine,
         unresolved_by_account, backfill_effect, gold_daily, gold_daily_json, gold_weekly_account,
         closing_balance_asof, mass_conservation, layer_counts, gold_tieout, weekly_tieout,
-        expectations, expectations_bronze, referential_gaps, lineage_trace, run_audit,
+        expectations, expectations_bronze, referential_gaps, lineage_trace, lineage_weekly, tieout_faults, run_audit,
         load_reconcile, load_reconcile_checksum, date_spine_gaps, incremental_equals_range,
         equivalence_excess, log_gate, log_sanitize, messages_clean, csv_ingest, csv_load_plan,
-        range_run, incremental_run, stream_run,
+        csv_ragged, range_run, incremental_run, stream_run, stream_retry_run, reload_run, backfill_run,
     )
 }

@@ -56,7 +56,8 @@ class Settings:
     retract      rewrite earlier Silver dates when a later file repeats their ids.
     skippable    log models whose SKIPPED status does not hold back the watermark.
     hot_rows     a key with this many rows is joined by broadcast and its rows are
-                 spread; at most total_rows / hot_rows keys can qualify.
+                 spread; by default what exceeds the even share of a shuffle partition,
+                 so that fewer keys than partitions can qualify.
     broadcast_*  a lookup table is broadcast only when measured below both bounds.
     """
 
@@ -75,7 +76,7 @@ class Settings:
     multiline_csv: bool = False
     skippable: tuple[str, ...] = ("bronze_accounts",)
     forbidden: tuple[str, ...] = FORBIDDEN_IN_MESSAGES
-    hot_rows: int = 1_000_000
+    hot_rows: int | None = None
     broadcast_rows: int = 200_000
     broadcast_bytes: int = 32 * 1024 * 1024
 

@@ -33,17 +33,8 @@ SEGMENT_STATUS = {
 }
 
 
-# A table of this size has work to share, but may arrive in a single task.
-SPREAD_FROM, SPREAD_TO = 4 * 1024 * 1024, 16 * 1024 * 1024
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table; a small one is dealt out evenly to the cores on request."""
-    path = f"{sf_dir}/{name}.parquet"
-    table = spark.read.parquet(path)
-    if spread and SPREAD_FROM < files.size_of(spark, path) < SPREAD_TO:
-        return table.repartition(spark.sparkContext.defaultParallelism)
-    return table
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _file(entity: str, day: Column) -> Column:
@@ -55,7 +46,7 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     loading runs (first and second half of the month)."""
     day = F.col("ts").cast("date")
     third = F.regexp_extract("props", r'"k": *(\d+)', 1).cast("int") % 3
-    return _table(spark, sf_dir, "events", True).select(
+    return _table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("account_id"),
         day.cast("string").alias("transaction_date"),
@@ -73,7 +64,7 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order: natural repeats and zero amounts, an unknown code, an
     invalid channel, and a missing channel."""
-    line, orders = _table(spark, sf_dir, "lineitem", True), _table(spark, sf_dir, "orders")
+    line, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
     day = F.col("l_shipdate").cast("date")
     channel = (
         F.when(F.col("l_suppkey") % 50 == 0, F.lit(None))
@@ -180,7 +171,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.alias("records_processed"),
         rows.alias("records_written"),
         F.col("o_orderkey").alias("records_rejected"),
-        F.concat(F.lit("\\app/Bronze/order "), F.col("o_orderkey").cast("string"), F.lit(" "), "o_orderpriority", F.when(urgency == "4", " Key missing").otherwise("")).alias("error_message"),
+        F.concat(F.lit("\\app/Bronze/order "), F.col("o_orderkey").cast("string"), F.lit(" "), "o_orderpriority", F.when(urgency == "4", " Key missing").when(urgency == "3", F.repeat(F.lit(" detail"), F.lit(100))).otherwise("")).alias("error_message"),
         F.col("o_orderdate").cast("date").alias("processed_date"),
     ).select(*RUN_LOG.fieldNames())
 
@@ -194,14 +185,14 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def export_daily_csv(rows: DataFrame, entity: str, folder: str) -> None:
+def export_daily_csv(rows: DataFrame, entity: str, folder: str, **dialect: str) -> None:
     """Write rows as deliveries ``{entity}_{date}.csv`` (folders of part files), one job for
     all days."""
     spark = rows.sparkSession
     name = F.concat(F.lit(f"{entity}_"), F.col("date").cast("string"), F.lit(".csv"))
     rows.select(*SOURCE_COLUMNS[entity], "date", name.alias("drop")).hint("rebalance", "date").drop(
         "date"
-    ).write.partitionBy("drop").options(**DIALECT).mode("append").csv(folder)
+    ).write.partitionBy("drop").options(**DIALECT | dialect).mode("append").csv(folder)
     for path in files.matching(spark, f"{folder}/drop={entity}_*"):
         files.rename(spark, path, f"{folder}/{path.rsplit('drop=', 1)[1]}")
 

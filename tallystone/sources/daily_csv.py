@@ -7,9 +7,11 @@ with very many rows is split over tasks like any other data.
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,9 @@ from tallystone.sources import files
 
 DAY = r"\d{4}-\d{2}-\d{2}"
 
+# The text of a row whose width is not the header's.
+RAW = "_raw_row"
+
 # A quote inside a quoted value is doubled; a backslash is an ordinary character.
 DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -54,32 +59,40 @@ def find_deliveries(
     return deliveries
 
 
+def delivered_days(spark: SparkSession, entity: str, cfg: Settings) -> list[date]:
+    """All days for which a delivery of the entity lies in the source folder."""
+    return sorted(d.day for d in find_deliveries(spark, entity, date.min, date.max, cfg))
+
+
 def header_error(entity: str, columns: tuple[str, ...]) -> str | None:
     """None when the header has exactly the expected names, in any order."""
-    expected, actual = set(SOURCE_COLUMNS[entity]), set(columns)
-    if actual == expected and len(columns) == len(actual):
+    names = SOURCE_COLUMNS[entity]
+    if sorted(columns) == sorted(names):
         return None
-    message = f"Schema mismatch for {entity}"
-    if expected - actual:
-        message += f"; missing: {', '.join(sorted(expected - actual))}"
-    if actual - expected:
-        message += f"; extra: {', '.join(sorted(actual - expected))}"
-    return message
+    seen = Counter(columns)
+    problems = [f"no column {c}" for c in names if c not in seen]
+    problems += [f"unknown column {c}" for c in seen if c not in names]
+    problems += [f"column {c} is there {n} times" for c, n in seen.items() if n > 1]
+    return f"the header of this {entity} delivery has " + ", ".join(problems)
 
 
 def check_headers(
     spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
 ) -> list[Delivery]:
-    """Read the first line of each delivery (nothing else of it) and compare its names."""
+    """Compare the names in the first line of each delivery.
+
+    Only the first bytes of each file are read, through the file system and by threads, so
+    a delivery costs no Spark job.
+    """
 
     def check(d: Delivery) -> Delivery:
-        reader = spark.read.options(**DIALECT, multiLine=cfg.multiline_csv)
-        columns = tuple(reader.csv(d.path).columns)
+        line = files.first_line(spark, d.path)
+        columns = tuple(next(csv.reader([line], doublequote=True), []))
         return Delivery(d.day, d.path, columns, header_error(entity, columns))
 
     if not deliveries:
         return []
-    with ThreadPoolExecutor(max_workers=8) as pool:
+    with ThreadPoolExecutor(max_workers=32) as pool:
         return list(pool.map(check, deliveries))
 
 
@@ -90,15 +103,49 @@ def read_deliveries(
 
     The header of every part file is compared again while it is read, so a folder whose
     parts disagree fails instead of being read by position."""
-    expected = SOURCE_COLUMNS[entity]
+    return _parsed(spark, entity, deliveries, cfg, ())
+
+
+def over_long_days(
+    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
+) -> set[date]:
+    """Days with a row of more fields than the header has.
+
+    The parser keeps the text of rows whose width is not the header's; of those, the
+    commas outside quotes are counted. A short row is not an error: what it lacks is null.
+    """
+    if not deliveries:
+        return set()
+    rows = _parsed(spark, entity, deliveries, cfg, (RAW,))
+    bare = F.regexp_replace(F.col(RAW), '"(?:[^"]|"")*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    # Spark refuses a query of the kept text alone, so a parsed column takes part.
+    long = rows.where((commas >= len(SOURCE_COLUMNS[entity])) & (F.length(F.concat_ws("", *SOURCE_COLUMNS[entity])) >= 0))
+    return {r["date"] for r in long.select("date").distinct().collect()}
+
+
+def check_rows(
+    spark: SparkSession, entity: str, checked: list[Delivery], cfg: Settings
+) -> list[Delivery]:
+    """The deliveries, with an error for those that have an over-long row anywhere."""
+    bad = over_long_days(spark, entity, [d for d in checked if d.error is None], cfg)
+    message = f"a row of this {entity} delivery has more fields than its header"
+    return [replace(d, error=message) if d.error is None and d.day in bad else d for d in checked]
+
+
+def _parsed(
+    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings, also: tuple[str, ...]
+) -> DataFrame:
+    expected = [*SOURCE_COLUMNS[entity], *also]
     by_order: dict[tuple[str, ...], list[Delivery]] = {}
     for d in deliveries:
         by_order.setdefault(d.columns, []).append(d)
     result = None
     for columns, group in sorted(by_order.items()):
         raw = (
-            spark.read.schema(text_schema(list(columns)))
+            spark.read.schema(text_schema([*columns, *also]))
             .options(**DIALECT, multiLine=cfg.multiline_csv, enforceSchema=False)
+            .options(columnNameOfCorruptRecord=RAW, columnPruning=not also)
             .csv([d.path for d in group])
         )
         path = F.col("_metadata.file_path")
@@ -141,5 +188,6 @@ def ingest_daily_csv(
 ) -> DataFrame:
     """Bronze rows of every well-formed delivery of the range; nothing is written."""
     checked = check_headers(spark, entity, find_deliveries(spark, entity, start, end, cfg), cfg)
+    checked = check_rows(spark, entity, checked, cfg)
     good = [d for d in checked if d.error is None]
     return add_audit_columns(read_deliveries(spark, entity, good, cfg), entity, run_id, now)

@@ -36,6 +36,22 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, or of the first non-empty file of a folder."""
+    fs, p = _handle(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        parts = [s for s in fs.listStatus(p) if s.getLen() and not s.getPath().getName().startswith(("_", "."))]
+        if not parts:
+            return ""
+        p = min((s.getPath() for s in parts), key=lambda x: x.getName())
+    stream = fs.open(p)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, p = _handle(spark, path)
     fs.delete(p, True)
@@ -71,12 +87,15 @@ def stage_sized(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write the frame once to the shared folder, read it back, and tell its bytes.
 
     This cuts lineage in a way that survives lost executors, and gives Catalyst the
-    real size of the data, so that it broadcasts only what measures small.
+    real size of the data, so that it broadcasts only what measures small. The file system
+    removes the folder when the session's JVM ends, if nobody did before.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if _staged.get() is not None:
         _staged.get().append(path)
+    fs, p = _handle(spark, path)
+    fs.deleteOnExit(p)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), size_of(spark, path)
 

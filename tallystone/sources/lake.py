@@ -51,32 +51,41 @@ class Lake:
     ) -> dict[date, int]:
         """Overwrite the given days of a table and return the rows now in each.
 
-        Days that receive no rows lose their old partition: the counts are read back (by
-        footers and one dictionary-encoded column), and a day still holding another run's
-        rows is dropped.
+        Days that receive no rows lose their old partition. Which days received rows shows
+        in the names of their files, which every write makes anew, so rows that an earlier
+        attempt left, even one of the same run, are not taken for new ones. Rows are counted
+        from the files' footers.
         """
         days = sorted(set(days))
         if not days:
             return {}
         path = self.path(table)
+        before = self._files(table)
         owned = df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id))
         owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "date"
         ).parquet(path)
-        if not any(files.matching(self.spark, f"{path}/date=*")):
-            return dict.fromkeys(days, 0)
-        held = (
-            self.read(table, owned.schema).where(F.col("date").isin(days))
-            .groupBy("date", WRITER).count()
-        )
+        after = self._files(table)
+        written = []
+        for day in days:
+            if after.get(day) and after[day] != before.get(day):
+                written.append(day)
+            elif after.get(day):
+                files.remove_folder(self.spark, f"{path}/date={day.isoformat()}")
         counts = dict.fromkeys(days, 0)
-        for row in held.collect():
-            if row[WRITER] == run_id:
-                counts[row["date"]] = row["count"]
-            else:
-                files.remove_folder(self.spark, f"{path}/date={row['date'].isoformat()}")
+        if written:
+            held = self.read(table, owned.schema).where(F.col("date").isin(written))
+            counts |= {r["date"]: r["count"] for r in held.groupBy("date").count().collect()}
         return counts
 
+    def _files(self, table: str) -> dict[date, set[str]]:
+        """The data files of each day of a table; a file's name is never used twice."""
+        found: dict[date, set[str]] = {}
+        for name in files.matching(self.spark, f"{self.path(table)}/date=*/*.parquet"):
+            day = date.fromisoformat(name.rsplit("date=", 1)[1][:10])
+            found.setdefault(day, set()).add(name.rsplit("/", 1)[1])
+        return found
+
     def days(self, table: str) -> list[date]:
         """The days a table holds, from its folder names."""
         names = files.matching(self.spark, f"{self.path(table)}/date=*")
@@ -139,7 +148,7 @@ def load_idempotent(
 
     A day already loaded is compared with its source and only rewritten when they differ.
     A day that is not loaded yet is written without counting its source first. A day with
-    a wrong header is FAILED and writes nothing; a day without a file is SKIPPED.
+    a wrong header or an over-long row is FAILED and writes nothing; a day without a file is SKIPPED.
     """
     done = spark.createDataFrame(load_days(spark, entity, start, end, cfg, run_id, now), LOAD_RESULT)
     if entity == "transaction_codes":
@@ -158,6 +167,7 @@ def load_days(
     checked = daily_csv.check_headers(
         spark, entity, daily_csv.find_deliveries(spark, entity, start, end, cfg), cfg
     )
+    checked = daily_csv.check_rows(spark, entity, checked, cfg)
     bad = [d for d in checked if d.error]
     good = [d for d in checked if not d.error]
     present = set(lake.days(table))

@@ -1,7 +1,8 @@
 """The same loads driven by a stream of arriving files.
 
 The stream only notices deliveries and remembers, in its checkpoint, which it has seen;
-each batch hands its days to the range run, which may be repeated safely.
+each batch hands its days to the range run, which may be repeated safely. A batch that does
+not pass every gate raises, so that the checkpoint keeps it open and the next call repeats it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallystone.plans.pipeline import RunResult, run_range
+from tallystone.plans.pipeline import RunResult, run_days, unbroken
 from tallystone.schemas import TRANSACTION_COLUMNS, text_schema
 from tallystone.settings import Settings
 from tallystone.sources.daily_csv import DAY
@@ -33,15 +34,19 @@ def arriving_days(spark: SparkSession, cfg: Settings, files_per_batch: int | Non
 def stream_next(
     spark: SparkSession, cfg: Settings, checkpoint: str, files_per_batch: int | None = None
 ) -> list[RunResult]:
-    """Load everything that arrived since the last call, then stop."""
+    """Load everything that arrived since the last call, then stop.
+
+    Only days that arrived are processed, and the watermark never passes a missing day."""
     results: list[RunResult] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-        if span["first"]:
-            results.append(
-                run_range(batch.sparkSession, span["first"], span["last"], cfg, force=True)
-            )
+        # As many rows as days arrived.
+        days = [r["day"] for r in batch.where("day is not null").select("day").distinct().collect()]
+        for first, last in unbroken(days):
+            result = run_days(batch.sparkSession, first, last, cfg)
+            if not result.advanced:
+                raise RuntimeError("; ".join(result.reasons))
+            results.append(result)
 
     query: StreamingQuery = (
         arriving_days(spark, cfg, files_per_batch)

@@ -357,9 +357,23 @@ def test_id_flags_hold_only_repeated_ids(spark):
 
 
 def test_shuffles_start_with_enough_partitions(spark):
-    from tallystone.session import INITIAL_PARTITIONS, MOST_PARTITIONS, sized_shuffles
+    from tallystone.session import INITIAL_PARTITIONS, sized_shuffles
 
-    for size, want in ((0, 8), (10 * 2**30, 160), (100 * 2**40, MOST_PARTITIONS)):
+    for size, want in ((0, 8), (10 * 2**30, 160), (100 * 2**40, 1_638_400)):
         with sized_shuffles(spark, size) as got:
             assert got == want == int(spark.conf.get(INITIAL_PARTITIONS))
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_an_id_with_a_third_of_the_rows_is_hot(spark):
+    from tallystone.operators.promote import not_quarantined
+    from tallystone.operators.skew import COPIES, hot_from
+
+    rows = frame(spark, [txn("H")] * 300 + [txn(f"T{i}") for i in range(600)])
+    flags = rows.groupBy("transaction_id").agg(F.count(F.lit(1)).alias(COPIES))
+    assert hot_from(flags, CFG) <= 300
+    assert flags.where(F.col(COPIES) >= hot_from(flags, CFG)).count() < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A quarantine with one row per id still shows how many rows the id has in Bronze.
+    table = frame(spark, [txn("H"), txn("T5")]).withColumn("record_type", F.lit("TRANSACTION"))
+    kept = not_quarantined(rows, table, replace(CFG, quarantine="per_id", broadcast_rows=0))
+    assert kept.count() == 599

@@ -83,11 +83,31 @@ def test_header_must_hold_exactly_the_expected_names():
     names = tuple(TRANSACTION_COLUMNS)
     assert header_error("transactions", names) is None
     assert header_error("transactions", tuple(reversed(names))) is None
-    assert "missing: channel" in header_error("transactions", names[:-1])
-    assert "extra: more" in header_error("transactions", (*names, "more"))
+    assert "no column channel" in header_error("transactions", names[:-1])
+    assert "unknown column more" in header_error("transactions", (*names, "more"))
+    assert "channel is there 2 times" in header_error("transactions", (*names, "channel"))
     assert header_error("transactions", ()) is not None
 
 
+def test_a_row_with_too_many_fields_fails_its_day(spark, cfg, tmp_path):
+    rows = [f"T{i},A,2024-01-01,5.00,PURCH01,Shop,ONLINE" for i in range(3)]
+    quoted = 'T9,A,2024-01-01,5.00,PURCH01,"Shop, ""the"" Inc",ONLINE'
+    short = "T8,A,2024-01-01,5.00"
+    put(tmp_path / "source", "transactions_2024-01-01.csv", HEADER + "\n".join([*rows, quoted, short]) + "\n")
+    for n, where in ((2, 0), (3, 1), (4, 3)):
+        bad = [*rows]
+        bad.insert(where, "T7,A,2024-01-01,5.00,PURCH01,Shop, Inc,ONLINE")
+        put(tmp_path / "source", f"transactions_2024-01-{n:02d}.csv", HEADER + "\n".join(bad) + "\n")
+    put(tmp_path / "source", "transactions_2024-01-05.csv", HEADER + rows[0] + ",\n")
+    done = {r["date"]: r for r in load_idempotent(spark, "transactions", day(1), day(5), cfg, "r", NOW).collect()}
+    assert [done[day(n)]["status"] for n in range(1, 6)] == ["SUCCESS", "FAILED", "FAILED", "FAILED", "FAILED"]
+    assert "more fields" in done[day(2)]["error_message"]
+    held = Lake(spark, cfg).bronze("transactions").collect()
+    assert len(held) == 5 and {r["date"] for r in held} == {day(1)}
+    assert next(r for r in held if r["transaction_id"] == "T9")["merchant_name"] == 'Shop, "the" Inc'
+    assert next(r for r in held if r["transaction_id"] == "T8")["channel"] is None
+
+
 def test_empty_and_header_only_files(spark, cfg, tmp_path):
     put(tmp_path / "source", "transactions_2024-01-01.csv", HEADER)
     put(tmp_path / "source", "transactions_2024-01-02.csv", "")
@@ -113,7 +133,7 @@ def test_run_log_only_grows(spark, cfg):
     lake.append_run_log([entry])
     lake.append_run_log([{**entry, "run_id": "b", "status": "SUCCESS", "layer": "SILVER"}])
     rows = {r["run_id"]: r for r in lake.run_log().collect()}
-    assert rows["a"]["records_rejected"] is None and rows["a"]["error_message"] == "y" * 500
+    assert rows["a"]["records_rejected"] is None and rows["a"]["error_message"] == "appx" + "y" * 600
     assert rows["b"]["records_rejected"] == 4 and rows["b"]["error_message"] is None
 
 
