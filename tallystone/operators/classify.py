@@ -136,7 +136,8 @@ def _keep_first(
     single = base.where(~F.col("_repeats") | blank("transaction_id")).select(
         *columns, F.coalesce("_early", F.when(~F.col(SHIELDED), F.col("_late"))).alias(REASON), SHIELDED
     )
-    several = base.where(F.col("_repeats") & ~blank("transaction_id"))
+    # Three things are asked of the rows of repeated ids: they are brought together once.
+    several = stage(base.where(F.col("_repeats") & ~blank("transaction_id")), "several")
     grouped = several.groupBy(*columns, SHIELDED, "_early", "_late").agg(
         F.count(F.lit(1)).alias("_times")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystone.operators.classify import REASON, SHIELDED
 from tallystone.schemas import ACCOUNT_COLUMNS, AUDIT_COLUMNS, TRANSACTION_COLUMNS
-from tallystone.settings import NULL_REQUIRED_FIELD, Settings
+from tallystone.settings import NULL_REQUIRED_FIELD, REASONS, Settings
 
 BUSINESS_COLUMNS = TRANSACTION_COLUMNS + [c for c in ACCOUNT_COLUMNS if c != "account_id"]
 COLUMNS = BUSINESS_COLUMNS + AUDIT_COLUMNS + [REASON, "_rejected_at", "record_type"]
@@ -22,6 +22,19 @@ def first_reason_per_id(rejected: DataFrame, key: str) -> DataFrame:
     return rejected.groupBy(key).agg(best).select(key, "_best.*").select(*rejected.columns)
 
 
+def first_reasons(classified: DataFrame, key: str, record_type: str) -> DataFrame:
+    """The first reason by name per id, without the rows: one hash aggregate over numbers."""
+    names = sorted(REASONS)
+    number = F.lit(None).cast("int")
+    for i, name in enumerate(names):
+        number = F.when(F.col(REASON) == name, i).otherwise(number)
+    first = classified.where(F.col(REASON).isNotNull()).groupBy(key).agg(F.min(number).alias("_first"))
+    text = F.lit(None).cast("string")
+    for i, name in enumerate(names):
+        text = F.when(F.col("_first") == i, name).otherwise(text)
+    return first.select(key, text.alias(REASON), F.lit(record_type).alias("record_type"))
+
+
 def rejected_rows(classified: DataFrame, key: str, cfg: Settings) -> DataFrame:
     if cfg.quarantine == "per_id":
         return first_reason_per_id(classified.where(F.col(REASON).isNotNull()), key)

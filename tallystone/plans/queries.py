@@ -24,7 +24,7 @@ from tallystone.operators.promote import (
     promote_transactions,
     resolve_late_accounts,
 )
-from tallystone.operators.quarantine import build_quarantine
+from tallystone.operators.quarantine import build_quarantine, first_reasons
 from tallystone.plans.pipeline import run_backfill, run_next, run_range
 from tallystone.schemas import TRANSACTION_COLUMNS
 from tallystone.settings import TRANSACTION_TYPES, Settings
@@ -185,8 +185,11 @@ def _quarantine(
 
 
 def quarantine_unified(spark: SparkSession, sf: str) -> DataFrame:
-    one_per_id = _quarantine(spark, sf, replace(CFG, quarantine="per_id"))
-    return one_per_id.select(
+    """Both sides' ids with their first reason; no content is asked for, so none is carried."""
+    lines = first_reasons(_classified_lines(spark, sf), "transaction_id", "TRANSACTION")
+    owners = first_reasons(classify_accounts(b.customer_accounts(spark, sf), CFG), "account_id", "ACCOUNT")
+    both = lines.unionByName(owners, allowMissingColumns=True)
+    return both.select(
         F.coalesce("transaction_id", F.lit("(none)")).alias("transaction_id"),
         F.when(F.col("record_type") == "ACCOUNT", F.col("account_id")).otherwise("(any)").alias("account_id"),
         F.col(REASON).alias("reason"), "record_type",
