@@ -22,6 +22,7 @@ HEADLINE = (
     "closing_balance_asof", "mass_conservation", "gold_tieout", "expectations_bronze",
     "referential_gaps", "lineage_trace", "load_reconcile", "load_reconcile_checksum",
     "equivalence_excess", "log_gate", "log_sanitize", "csv_ingest",
+    "expectations", "txn_reasons_keep_first", "weekly_tieout", "incremental_run",
 )
 
 
