@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tallystone.sources.files import stage
 
-__all__ = ["WORD_TABLE", "components", "fold", "packed", "read", "ship", "stage", "text_of", "with_columns_of", "word_hashes"]
+__all__ = ["WORD_TABLE", "about", "components", "fold", "packed", "read", "ship", "stage", "text_of", "with_columns_of", "word_hashes"]
 
 # A-Z become a-z, 0-9, a-z and all non-ASCII bytes stay, anything else is a blank.
 WORD_TABLE = bytes(
@@ -78,6 +78,11 @@ def fold(name: str, divisor: int):
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def about(hashed, wanted: int, total: int):
+    """True for about `wanted` of `total` rows (a binomial draw), told by a hash of the row's id."""
+    return F.pmod(hashed, F.lit(1 << 40)) < F.lit(int(min(1.0, wanted / max(total, 1)) * (1 << 40)))
+
+
 def _power(base: int) -> np.ndarray:
     if base not in _powers:
         with np.errstate(over="ignore"):

@@ -18,7 +18,7 @@ has as many entries as the sum of the weights, which the weight levels bound per
 not grow with the rows.
 
 Defined cases: a null source is a source of its own; null ids come first; rows with equal ids
-stand in any order; sources without a given weight weigh 1; an empty table gives an empty one.
+stand in the order of a hash of their content; sources without a given weight weigh 1; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -95,7 +95,8 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
     counts = near.groupBy("s", "range").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("s", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    own = F.row_number().over(Window.partitionBy("s", "range").orderBy(F.col("id").asc_nulls_first()))
+    # Rows with equal ids are told apart by their content, so that a repeated task gives the same order.
+    own = F.row_number().over(Window.partitionBy("s", "range").orderBy(F.col("id").asc_nulls_first(), F.xxhash64("row")))
     numbered = near.withColumn("own", own).join(offsets, ["s", "range"]).withColumn("at", F.col("offset") + F.col("own") - 1)
     numbered = numbered.withColumn("block", F.floor(F.col("at") / block_rows)).withColumn("k", (F.col("block") % F.col("q")).cast("int"))
 

@@ -6,8 +6,8 @@ kept. The chunks' responses, weighted by their bytes, average to one row of feat
 logistic unit turns into one probability. A document of any length is worked off some hundred
 chunks at a time.
 
-The network is fitted in numpy (Adam, a fixed seed) on at most `sample` labelled documents per
-class, chosen by a hash of the id; of each, at most `sample_chunks` chunks spread evenly over
+The network is fitted in numpy (Adam, a fixed seed) on about `sample` labelled documents per
+class (all, if there are fewer), chosen by a hash of the id; of each, at most `sample_chunks` chunks spread evenly over
 the whole text are used. That bounds what the driver holds. The classes are drawn evenly, and
 the intercept is then moved to their real proportion. Scoring is one scan without a shuffle.
 
@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import fold, packed, read, text_of, with_columns_of
+from tallystone.llm.common import about, fold, packed, read, text_of, with_columns_of
 
 SAMPLE, SAMPLE_CHUNKS = 1500, 6
 THRESHOLD = 0.7
@@ -154,9 +154,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chunk
     totals = {int(r["y"]): r["n"] for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for value in (0, 1):
-        part = usable.where(F.col("y") == value).orderBy("at", "doc_id").limit(sample)
+        part = usable.where((F.col("y") == value) & about(F.col("at"), sample, totals.get(value, 0)))
         chosen = part if chosen is None else chosen.unionAll(part)
-    # At most 2 * sample rows of two small columns.
+    # About 2 * sample rows of two small columns, however many labels there are.
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")).join(
         F.broadcast(chosen.select(F.col("doc_id").alias("chosen_id"), "y", "at")), F.col("id") == F.col("chosen_id")
     )
