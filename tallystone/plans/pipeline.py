@@ -27,6 +27,7 @@ from tallystone.operators.classify import (
 )
 from tallystone.operators.codes import require_codes, silver_codes
 from tallystone.operators.gold import daily_cube, daily_from_cube, weekly_cube, weekly_from_cube
+from tallystone.operators.latest import latest_by
 from tallystone.operators.promote import (
     accepted,
     late_resolved,
@@ -55,6 +56,9 @@ NO_OP_MODELS = (
     ("gold_aggregation", "GOLD"),
 )
 
+# Which days, with which files, the account state holds: one row per day.
+MERGED_DAYS = "pipeline/account_days"
+MERGED_SCHEMA = "date date, files string"
 # Accounts whose earlier rows a backfill has resolved; only ever added to.
 RESOLVED = "silver/resolved_accounts"
 
@@ -253,7 +257,7 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
         return [{"records_processed": written, "records_written": written}]
 
     def promote_accounts() -> list[dict]:
-        written = lake.replace_table(latest_accounts(lake.bronze("accounts"), now), "silver/accounts", run.run_id)
+        written = merge_accounts(lake, run.run_id, now)
         delivered = sum(r.get("records_written") or 0 for r in loads["accounts"].values())
         return [{"records_processed": delivered, "records_written": written}]
 
@@ -311,6 +315,30 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
     refresh_gold(run, scope, end)
 
 
+def merge_accounts(lake: Lake, run_id: str, now: datetime) -> int:
+    """Bring the latest account state up to date; returns its rows.
+
+    The state remembers which files of which days it holds. New days are merged into it, so
+    a daily run reads the day's deltas and the state; when a day it holds has other files
+    now, the state is built anew from all deltas. A merge that is cut off is simply repeated.
+    """
+    files = {d: ",".join(sorted(names)) for d, names in lake.day_files("bronze/accounts").items()}
+    held = {r["date"]: r["files"] for r in lake.read(MERGED_DAYS, MERGED_SCHEMA).collect()} if lake.has("silver/accounts") else {}
+    if held and all(files.get(d) == names for d, names in held.items()):
+        new = sorted(set(files) - set(held))
+        if not new:
+            return lake.read("silver/accounts").count()
+        delta = latest_accounts(lake.bronze("accounts").where(F.col("date").isin(new)), now)
+        state = lake.read("silver/accounts").drop(WRITER).unionByName(delta)
+        newest = latest_by(state, ["account_id"], ["_bronze_ingested_at", "_source_file"])
+        rows = lake.replace_table(stage(newest, "accounts"), "silver/accounts", run_id)
+    else:
+        rows = lake.replace_table(latest_accounts(lake.bronze("accounts"), now), "silver/accounts", run_id)
+    days = lake.spark.createDataFrame(sorted(files.items()), MERGED_SCHEMA)
+    days.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(lake.path(MERGED_DAYS))
+    return rows
+
+
 def known_since(lake: Lake) -> DataFrame:
     """The day since which each account resolves rows: its first delivery, or any day once a
     backfill has resolved its earlier rows."""

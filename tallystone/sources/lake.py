@@ -28,7 +28,7 @@ class Lake:
     def has(self, table: str) -> bool:
         return files.exists(self.spark, self.path(table))
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, table: str, schema: T.StructType | str | None = None) -> DataFrame:
         """The table; an empty frame when it does not exist yet and a schema is given."""
         if not self.has(table) and schema is not None:
             return self.spark.createDataFrame([], schema)
@@ -60,12 +60,12 @@ class Lake:
         if not days:
             return {}
         path = self.path(table)
-        before = self._files(table)
+        before = self.day_files(table)
         owned = df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id))
         owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "date"
         ).parquet(path)
-        after = self._files(table)
+        after = self.day_files(table)
         written = []
         for day in days:
             if after.get(day) and after[day] != before.get(day):
@@ -78,7 +78,7 @@ class Lake:
             counts |= {r["date"]: r["count"] for r in held.groupBy("date").count().collect()}
         return counts
 
-    def _files(self, table: str) -> dict[date, set[str]]:
+    def day_files(self, table: str) -> dict[date, set[str]]:
         """The data files of each day of a table; a file's name is never used twice."""
         found: dict[date, set[str]] = {}
         for name in files.matching(self.spark, f"{self.path(table)}/date=*/*.parquet"):

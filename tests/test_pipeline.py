@@ -329,3 +329,16 @@ def test_bad_codes_leave_the_good_table(spark, loaded):
     write_csv(Path(loaded.source_dir) / "transaction_codes.csv", ["transaction_code", "description", "debit_credit_indicator", "transaction_type", "affects_balance"], [(None, "x", "DR", "PURCHASE", "true")] * 5)
     assert not run_range(spark, day(6), day(6), loaded).advanced
     assert lake.read("silver/transaction_codes").where("transaction_code is null").isEmpty()
+
+
+def test_account_state_is_merged_or_built_anew(spark, seeded, tmp_path):
+    lake = Lake(spark, seeded)
+    assert run_range(spark, day(1), day(3), seeded).advanced
+    for _ in range(2):
+        assert run_next(spark, seeded).advanced
+    # The last day again, with other balances: what was merged from it before must go.
+    write_csv(Path(seeded.source_dir) / "accounts_2024-01-05.csv", ACCOUNT_COLUMNS, seed_accounts(4)[:2])
+    assert run_range(spark, day(5), day(5), seeded).advanced
+    fresh = replace(seeded, lake_dir=str(tmp_path / "fresh"))
+    assert run_range(spark, day(1), day(5), fresh).advanced
+    assert same(lake.read("silver/accounts"), Lake(spark, fresh).read("silver/accounts"))
