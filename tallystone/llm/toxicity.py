@@ -12,8 +12,8 @@ length-normalised difference, as a whole and in its most toxic passages of the l
 `passages`; a logistic function of these makes the score. It is fitted crosswise: the sample's halves are
 judged by models that have counted the other half only.
 
-The classifier is fitted on at most `sample` labelled documents per class, chosen by a hash of
-the id; this bounds the tables that are broadcast. Counting is a Spark aggregation. Scoring is
+The classifier is fitted on about `sample` labelled documents, toxic and ordinary ones (all, if
+there are fewer), chosen by a hash of the id; this bounds the tables that are broadcast. Counting is a Spark aggregation. Scoring is
 one scan without a shuffle, over whole texts.
 
 Defined cases: null is empty; a text without words has no evidence: zero in all features;
@@ -27,14 +27,16 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import WORD_TABLE, fold, packed, read, text_of, with_columns_of
+from tallystone.llm.common import WORD_TABLE, about, fold, packed, read, text_of, with_columns_of
 
-SAMPLE = 4_000
+#: Labelled toxic and ordinary documents to learn from.
+SAMPLE = (2_500, 5_000)
 THRESHOLD = 0.7
 PASSAGES = (1, 4, 16)
 ORDER = 6
-#: What is taken off the counts of the shared model, and of a class's own.
-DISCOUNT, OWN_DISCOUNT = 0.75, 2.0
+#: What is taken off the counts of the shared model, and of a class's own: so grams seen once, or
+#: at most twice in a class, leave nothing to keep but their contexts' share for the backoff.
+DISCOUNT, OWN_DISCOUNT = 1.0, 2.0
 _BYTES = np.uint64((1 << 56) - 1)
 #: Words whose evidence a task remembers.
 _CACHE = 300_000
@@ -97,7 +99,9 @@ def _discounted(keys: np.ndarray, columns: list[np.ndarray], discount: float) ->
         total = np.maximum(np.bincount(of, c, len(contexts)), 1e-9)
         kept.append(np.maximum(c - discount, 0) / total[of])
         left.append(np.where(total > 0.5, 1 - np.bincount(of, kept[-1], len(contexts)), 1))
-    return _Table(keys, kept, 0), _Table(contexts, left, 1)
+    # What a missing key stands for need not be kept; rare grams are most of all.
+    some, given = np.any(kept, axis=0), np.any(np.array(left) < 1, axis=0)
+    return _Table(keys[some], [k[some] for k in kept], 0), _Table(contexts[given], [x[given] for x in left], 1)
 
 
 class Model:
@@ -178,17 +182,19 @@ def _batches_of_texts(column, name: str):
         yield text_of(pc.utf8_lower(column.slice(at, 128)))
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, sample: int, divisor: int, held: int, id_column: str, text_column: str) -> DataFrame:
-    """(text, is_toxic, half): the labelled rows to learn from."""
+def _sampled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int], divisor: int, held: int, id_column: str, text_column: str) -> tuple[DataFrame, dict[int, int]]:
+    """(text, is_toxic, half) of the labelled rows to learn from, and how many of each label there are."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id", divisor) != held))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("at", F.xxhash64("doc_id", F.lit(6)))
+    totals = {int(r["toxic"]): r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for value in (0, 1):
-        part = usable.where(F.col("toxic") == value).orderBy("at", "doc_id").limit(sample)
+        part = usable.where((F.col("toxic") == value) & about(F.col("at"), sample[1 - value], totals.get(value, 0)))
         chosen = part if chosen is None else chosen.unionAll(part)
-    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("toxic").alias("is_toxic"), F.pmod("at", F.lit(2)).cast("int").alias("half"))
-    # At most 2 * sample rows of three small columns.
-    return docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("chosen_id")).select("text", "is_toxic", "half")
+    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("toxic").alias("is_toxic"), F.pmod(F.shiftright("at", 50), F.lit(2)).cast("int").alias("half"))
+    # About as many rows as the sample's two numbers, of three small columns, however many labels there are.
+    texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("id") == F.col("chosen_id")).select("text", "is_toxic", "half"), totals
 
 
 def _word_counts(batches):
@@ -247,21 +253,24 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return mean, scale, w
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int = 3, held: int = 1, passages: tuple[int, ...] = PASSAGES, id_column: str = "doc_id", text_column: str = "text"):
+def learn(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, divisor: int = 3, held: int = 1, passages: tuple[int, ...] = PASSAGES, id_column: str = "doc_id", text_column: str = "text"):
     """(model, fit) as a broadcast value, or None without labelled rows of both classes."""
     spark = docs.sparkSession
-    rows = _sampled(docs, labels, sample, divisor, held, id_column, text_column)
+    rows, totals = _sampled(docs, labels, sample, divisor, held, id_column, text_column)
     sums = [F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")]
     words = rows.select("text", "is_toxic", "half").mapInArrow(_word_counts, "word binary, half int, toxic long, ordinary long").groupBy("word", "half").agg(*sums)
-    found = words.mapInArrow(_gram_counts, "gram long, half int, toxic long, ordinary long").groupBy("gram", "half").agg(*sums).toPandas()
+    found = words.mapInArrow(_gram_counts, "gram long, half int, toxic long, ordinary long").groupBy("gram", "half").agg(*sums).toArrow()
     grams = found["gram"].to_numpy().view(np.uint64)
-    counts = found[["toxic", "ordinary"]].to_numpy().T
+    counts = np.array([found[c].to_numpy() for c in ("toxic", "ordinary")])
     halves = [found["half"].to_numpy() == h for h in (0, 1)]
+    del found
     if not all(counts[c, h].any() for c in (0, 1) for h in halves):
         return None
-    every, of = np.unique(grams, return_inverse=True)
-    model = Model(every, *(np.bincount(of, c, len(every)) for c in counts))
     crosswise = spark.sparkContext.broadcast([Model(grams[h], *counts[:, h]) for h in reversed(halves)])
+    every, of = np.unique(grams, return_inverse=True)
+    counts = [np.bincount(of, c, len(every)) for c in counts]
+    del grams, of
+    model = Model(every, *counts)
 
     def measure(batches):
         import pyarrow as pa
@@ -278,8 +287,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1).cast(pa.int32())], names=["x", "y"])
 
     seen = rows.mapInArrow(measure, "x array<double>, y int").toPandas()
-    crosswise.unpersist()
-    return spark.sparkContext.broadcast(model), _fit(np.stack(seen["x"].to_list()), seen["y"].to_numpy(float))
+    crosswise.destroy()
+    y = seen["y"].to_numpy(float)
+    mean, scale, w = _fit(np.stack(seen["x"].to_list()), y)
+    # The classes are drawn by different shares; the intercept goes back to their real proportion.
+    w[-1] += np.log(totals[1] / totals[0]) - np.log(y.sum() / (len(y) - y.sum()))
+    return spark.sparkContext.broadcast(model), (mean, scale, w)
 
 
 def scored(docs: DataFrame, learnt, passages: tuple[int, ...] = PASSAGES, text_column: str = "text") -> DataFrame:
