@@ -133,7 +133,8 @@ def _judged(rows: DataFrame, names: DataFrame, id_column: str) -> DataFrame:
     """Each row's number, id, digest, its group's size and the row that stays."""
     facts = rows.select("rid", F.col(f"row.`{id_column}`").alias("id"), "points", "sha").join(names, "rid")
     best = F.min(F.struct((-F.col("points")).alias("fewer"), F.col("id").isNull().alias("without"), F.col("id").alias("id"), F.col("rid").alias("rid")))
-    groups = facts.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
+    # Stored, so that the join has two plain shuffles and Spark can split the one of a large group.
+    groups = stage(facts.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "groups")
     return facts.join(groups, ["level", "name"]).select("rid", "id", "sha", "group_size", F.col("best.id").alias("keep_id"), (F.col("best.rid") == F.col("rid")).alias("kept"))
 
 

@@ -216,7 +216,8 @@ def linked_rows(docs: DataFrame, text_column: str = "text", id_column: str = "do
         .select("rid", F.posexplode("keys").alias("tree", "key"))
         .select("rid", "tree", F.shiftrightunsigned("key", shift).alias("prefix"))
     )
-    shared = tries.groupBy("tree", "prefix").agg(F.min("rid").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Stored, as below, so that the join has two plain shuffles and Spark can split a large one.
+    shared = stage(tries.groupBy("tree", "prefix").agg(F.min("rid").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
     edges = tries.join(shared, ["tree", "prefix"]).select("a", F.col("rid").alias("b"))
     near = components(edges, "candidates")
     members = near.select(F.col("id").alias("rep"), F.col("root").alias("comp")).join(sets, "rep")
@@ -242,7 +243,7 @@ def linked_rows(docs: DataFrame, text_column: str = "text", id_column: str = "do
     )
     grouped = stage(seen.select("rid", "digest", "size", F.col(f"row.`{id_column}`").alias("id")).join(of_sets, "digest"), "grouped")
     best = F.min(F.struct((-F.col("size")).alias("fewer"), F.col("id").isNull().alias("without"), "id", "rid"))
-    heads = grouped.groupBy("root").agg(best.alias("best"), F.min("id").alias("class_id"))
+    heads = stage(grouped.groupBy("root").agg(best.alias("best"), F.min("id").alias("class_id")), "heads")
     classes = grouped.join(heads, "root").select("rid", "id", "class_id", "links", (F.col("best.rid") == F.col("rid")).alias("first"))
     return rows, classes
 

@@ -58,7 +58,8 @@ def write_archive(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD, d
     )
     facts = stage(facts.withColumn("sha1", base32_of_hex("sha1")), "warc-facts")
     order = F.struct(F.col("page_id").isNull().alias("without"), "page_id", "rid")
-    first = facts.groupBy("digest").agg(F.min(order).alias("first"))
+    # Stored, so that the join has two plain shuffles and Spark can split the one of a large group.
+    first = stage(facts.groupBy("digest").agg(F.min(order).alias("first")), "warc-first")
     joined = facts.join(first, "digest")
     revisit = (F.col("bytes") >= min_payload) & (F.col("first.rid") != F.col("rid"))
     header = F.concat(
