@@ -267,7 +267,7 @@ def test_lm_probabilities_sum_to_one_and_each_id_counts_once():
     logits = model.forward(inputs)["logits"][1]
     p = np.exp(logits) / np.exp(logits).sum()
     assert (p[model.prior.of] * np.exp(model.prior.within)).sum() == pytest.approx(1, abs=1e-3)
-    for n in (2, 32, 33, 34, 65, 200):
+    for n in (2, 8, 9, 10, 17, 200):
         ids = np.arange(n, dtype=np.int32)
         inputs, targets = lm_score.blocks_of(ids)
         assert targets[targets >= 0].tolist() == ids[1:].tolist()
