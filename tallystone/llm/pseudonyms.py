@@ -4,7 +4,9 @@ Card numbers (Luhn), phone numbers, IPv4 addresses, social security numbers, cal
 the names in e-mail addresses are found, validated, and replaced by the value that a keyed
 permutation of their format gives. A value is read as a list of numbers, each with its own
 radix; a Feistel network adds keyed hashes of one half to the other, number by number and modulo
-its radix, and so permutes exactly the values of that format. Equal values get equal pseudonyms
+its radix, and so permutes exactly the values of that format. The first digits of a phone
+number's area code and exchange are permuted among 2 to 9 or among 0 and 1, so that the numbers
+which may be dialled and the others are permuted each among themselves. Equal values get equal pseudonyms
 in all documents, however they are punctuated; different ones stay different; cards stay valid
 under Luhn, octets below 256, dates dates. Without the key nothing can be traced back; with it
 the permutation can be inverted.
@@ -33,7 +35,15 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,
 DATE = rf"(?<![0-9./-])(?:{_YEAR}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}([./])[0-9]{{1,2}}\1{_YEAR})(?![0-9]|[./-][0-9])"
 IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
-PHONE = r"(?<![0-9+(-])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+# A +1 or brackets tell a number by themselves, so any digits will do there; bare groups need codes from 2 on.
+_HOME = r"(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
+_BRACKETS = r"(?:(?<![0-9+(-])1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}"
+_BARE = r"(?<![0-9+(-])(?:1[ .-]?)?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}"
+#: Other countries: 8 to 15 digits, and no decimal number.
+_ABROAD = r"(?<![0-9+])\+(?![0-9]+\.[0-9]+(?![0-9]|[ .-]\(?[0-9]))[2-9](?:[ .-]?\(?[0-9]\)?){7,14}"
+PHONE = rf"(?:{_HOME}|{_BRACKETS}|{_BARE}|{_ABROAD})(?![0-9])"
+#: Country codes of one and two digits; all others but 1 have three.
+_COUNTRY = "^(7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|3[0-9]{3}([ -])[0-9]{6}\3[0-9]{5})(?![0-9])"
 ANY = "|".join((EMAIL, DATE, IP, SSN, PHONE, CARD))
 
@@ -79,6 +89,7 @@ _VALID_DAY = """(p.m between 1 and 12 and p.d between 1 and
 
 _KIND = f"""case
   when m like '%@%' then 'email'
+  when m like '+%' then 'phone'
   when m rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' then 'ssn'
   when m rlike '^[0-9]+([.][0-9]+){{3}}$' then 'ip'
   when m rlike '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[./][0-9]{{1,2}}[./][0-9]{{4}})$' then if({_let(_day_parts('m'), 'p', _VALID_DAY)}, 'date', '')
@@ -87,14 +98,17 @@ _KIND = f"""case
   else '' end"""
 
 # Where the numbers that are permuted stand in the match: a list of positions.
-_POSITIONS = """case kind
+_POSITIONS = f"""case kind
   when 'card' then slice(filter(sequence(1, length(m)), p -> substr(m, p, 1) rlike '[0-9]'), 1, length(regexp_replace(m, '[^0-9]', '')) - 1)
-  when 'phone' then slice(filter(sequence(1, length(m)), p -> substr(m, p, 1) rlike '[0-9]'), length(regexp_replace(m, '[^0-9]', '')) - 9, 10)
+  when 'phone' then if(m rlike '^[+][2-9]',
+    slice(filter(sequence(1, length(m)), p -> substr(m, p, 1) rlike '[0-9]'), length(regexp_extract(regexp_replace(m, '[^0-9]', ''), '{_COUNTRY}', 1)) + 1, 15),
+    slice(filter(sequence(1, length(m)), p -> substr(m, p, 1) rlike '[0-9]'), length(regexp_replace(m, '[^0-9]', '')) - 9, 10))
   when 'email' then filter(sequence(1, instr(m, '@') - 1), p -> substr(m, p, 1) rlike '[A-Za-z0-9]')
   else cast(array() as array<int>) end"""
 
 _CHARACTERS = """transform(pos, (p, i) -> transform(array(substr(m, p, 1)), c -> case
-  when kind = 'phone' and i in (0, 3) then named_struct('v', ascii(c) - 50L, 'r', 8L, 'low', 50)
+  when kind = 'phone' and m not rlike '^[+][2-9]' and i in (0, 3) then
+    if(c < '2', named_struct('v', ascii(c) - 48L, 'r', 2L, 'low', 48), named_struct('v', ascii(c) - 50L, 'r', 8L, 'low', 50))
   when c rlike '[0-9]' then named_struct('v', ascii(c) - 48L, 'r', 10L, 'low', 48)
   when c rlike '[a-z]' then named_struct('v', ascii(c) - 97L, 'r', 26L, 'low', 97)
   else named_struct('v', ascii(c) - 65L, 'r', 26L, 'low', 65) end)[0])"""

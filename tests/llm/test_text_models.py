@@ -407,6 +407,55 @@ def test_pseudonyms_equal_brute_force(shipped):  # noqa: F811
     assert pseudonyms.pseudonymised(docs_of(shipped, [])).count() == 0
 
 
+def test_phones_of_any_code_are_replaced(shipped):  # noqa: F811
+    """Planted numbers and their forms; nothing is taken from the module's patterns."""
+    home = [f"{area}555{i:04d}" for i, area in enumerate(("017", "132", "199", "200", "386", "817", "999", "000", "108"))] + ["3861550001", "0170550002"]
+    forms = ["+1 ({0}) {1}-{2}", "({0}) {1}-{2}", "+1 {0} {1} {2}", "+1-{0}-{1}-{2}", "+1.{0}.{1}.{2}", "+1{0}{1}{2}", "(({0}) {1}-{2})", "1 ({0}) {1}-{2}"]
+    plain = [f.format(n[:3], n[3:6], n[6:]) for n in home for f in forms]
+    abroad = ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+49 (30) 901820", "+4930901820", "+7 912 345-67-89", "+353 1 234 5678"]
+    left = ["+20.123456789", "017-555-7713", "1. 017 apples", "+12345"]
+    texts = [f"Call {m}, today" for m in [*plain, *abroad, *left]]
+    rows = [(r.text[5:-7], r.replaced.phone) for r in pseudonyms.pseudonymised(docs_of(shipped, texts)).collect()]
+    got = {}
+    for was, (now, count) in zip([*plain, *abroad], rows, strict=False):
+        assert count == 1 and re.sub("[0-9]", "0", now) == re.sub("[0-9]", "0", was), (was, now)
+        a, b = (re.sub("[^0-9]", "", m) for m in (was, now))
+        if was in plain:
+            assert len(a) == 10 or (a[0], b[0]) == ("1", "1")
+            a, b = a[-10:], b[-10:]
+        assert a != b and got.setdefault(a, b) == b
+    assert len(set(got.values())) == len(got) == len(home) + 4
+    assert [r for r in rows[-len(left) :]] == [(m, 0) for m in left]
+
+
+def test_phone_codes_are_permuted(shipped):  # noqa: F811
+    texts = [f"+1 ({i:03d}) {j}55-0100" for i in range(1000) for j in (0, 1, 2, 9)]
+    rows = [r.text for r in pseudonyms.pseudonymised(docs_of(shipped, texts)).collect()]
+    assert len(set(rows)) == len(texts) and not set(rows) & set(texts)
+    assert all((a[4] < "2", a[9] < "2") == (b[4] < "2", b[9] < "2") for a, b in zip(texts, rows, strict=True))
+
+
+def plain_phone(m, key=pseudonyms.KEY):
+    """The replacement of a home number: a first digit of 0 or 1 has radix 2, one from 2 on radix 8."""
+    digits = [int(c) for c in m if c.isdigit()]
+    low = [2 if i in (0, 3) and v > 1 else 0 for i, v in enumerate(digits[-10:])]
+    radices = [10 if i not in (0, 3) else 8 if x else 2 for i, x in enumerate(low)]
+    out = feistel([v - x for v, x in zip(digits[-10:], low, strict=True)], radices, "phone", key)
+    spelt = iter(digits[:-10] + [x + y for x, y in zip(out, low, strict=True)])
+    return "".join(str(next(spelt)) if c.isdigit() else c for c in m)
+
+
+def test_phones_of_all_documents_equal_brute_force(shipped):  # noqa: F811
+    texts = [t for t in documents().values() if t is not None]
+    rows = pseudonyms.pseudonymised(docs_of(shipped, texts)).collect()
+    some = 0
+    for r, t in zip(rows, texts, strict=True):
+        want = re.sub(pseudonyms.ANY, lambda m: plain_phone(m[0]) if re.fullmatch(r"(\+?1[ .-]?)?\(?\d{3}[) .-]+\d{3}[ .-]\d{4}", m[0]) else plain_pseudonym(m[0], pseudonyms.KEY)[1], t)
+        assert r.text == want
+        some += len(re.findall(r"\+1 \([01]", t))
+    assert some
+
+
 def test_pseudonyms_are_a_permutation(shipped):  # noqa: F811
     texts = [f"10.0.{i // 256}.{i % 256}" for i in range(2000)] + [str(datetime.date(1950, 1, 1) + datetime.timedelta(i)) for i in range(2000)]
     rows = [r.text for r in pseudonyms.pseudonymised(docs_of(shipped, texts)).collect()]
