@@ -317,6 +317,41 @@ def test_lm_edges(shipped):  # noqa: F811
     assert [(r.train_tokens, r.n_known) for r in held] == [(0, 0)]
 
 
+def lm_training(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string")
+    words = docs.select("text").mapInArrow(lm_score._count_words, "word binary, n long").groupBy("word").sum("n").withColumnRenamed("sum(n)", "n")
+    return docs, words, len(texts), lm_score.VOCABULARY
+
+
+def test_lm_learns_from_every_training_document(shipped):  # noqa: F811
+    subwords = lm_score.Subwords(lm_score.VOCABULARY)
+    ids = [i for i in range(1000, 40000) if re.fullmatch(rb" [a-z]{4,}", subwords.encoding.decode_single_token_bytes(i))][:200]
+    own = [subwords.encoding.decode_single_token_bytes(i).decode().strip() for i in ids]
+    model = lm_score.train(*lm_training(shipped, [f"{w} {w} {w}" for w in own]), warm_ids=8)
+    before = lm_score.Attention(model.prior).weights["ids"]
+    assert (model.weights["ids"] != before).any(axis=1)[ids].all()
+
+
+def test_lm_warms_up_on_texts_of_any_length(shipped, monkeypatch):  # noqa: F811
+    seen = []
+
+    def learn(self, batches, rate):
+        seen.extend(targets for _, targets in batches)
+        return 0
+
+    texts = ["zeta " * 9_000, *[f"{w} one two" for w in ("alpha", "beta", "gamma", "delta")]]
+    encoded = [lm_score.Subwords(lm_score.VOCABULARY).of_text(lm_score.words_of(t.encode())) for t in texts]
+    monkeypatch.setattr(lm_score.Attention, "learn", learn)
+    lm_score.train(*lm_training(shipped, texts), warm_ids=4000)
+    blocks = np.concatenate(seen)
+    assert len(texts[0]) > 40_000 and len(blocks) == 4000 / lm_score.QUERY
+    assert np.isin(encoded[0][1:-1], blocks).all()
+    seen.clear()
+    lm_score.train(*lm_training(shipped, texts), warm_ids=10**6)
+    want = np.concatenate([lm_score.blocks_of(e)[1] for e in encoded])
+    assert sorted(map(tuple, np.concatenate(seen))) == sorted(map(tuple, want))
+
+
 # Pseudonyms
 
 
