@@ -212,17 +212,18 @@ def _process(run: _Run, start: date, end: date, over_gaps: bool = True) -> RunRe
         except Exception as error:
             result.reasons.append(f"{type(error).__name__} in Silver or Gold: {_message(error)}")
     run.flush()
-    _gates(run, result, end if over_gaps else _reached(run.lake, end))
+    _gates(run, result, end if over_gaps else _reached(run.lake))
     return result
 
 
-def _reached(lake: Lake, end: date) -> date:
-    """The last day of the unbroken run of loaded days that starts at the watermark."""
+def _reached(lake: Lake) -> date | None:
+    """The last day of the unbroken run of loaded days that starts at the watermark; none as
+    long as only accounts have come."""
     watermark = lake.get_watermark()
     for first, last in unbroken(lake.days("bronze/transactions")):
         if watermark is None or first <= watermark + timedelta(days=1) <= last + timedelta(days=1):
             return last
-    return watermark or end
+    return watermark
 
 
 def _load_bronze(run: _Run, entity: str, start: date, end: date) -> dict[date, dict]:
@@ -429,7 +430,7 @@ def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
     run.step("gold_weekly_account_summary", "GOLD", day, weekly)
 
 
-def _gates(run: _Run, result: RunResult, end: date) -> None:
+def _gates(run: _Run, result: RunResult, end: date | None) -> None:
     """The watermark moves last, and only when every gate passes; a gate that cannot be
     evaluated has not passed."""
     log = run.lake.run_log()
@@ -448,7 +449,8 @@ def _gates(run: _Run, result: RunResult, end: date) -> None:
         if not passed:
             result.reasons.append(reason)
     if not result.reasons:
-        result.watermark = run.lake.set_watermark(end, run.run_id, datetime.now(timezone.utc))
+        if end is not None:
+            result.watermark = run.lake.set_watermark(end, run.run_id, datetime.now(timezone.utc))
         result.advanced = True
 
 

@@ -7,50 +7,73 @@ not pass every gate raises, so that the checkpoint keeps it open and the next ca
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystone.plans.pipeline import RunResult, run_days, unbroken
-from tallystone.schemas import TRANSACTION_COLUMNS, text_schema
+from tallystone.schemas import SOURCE_COLUMNS, text_schema
 from tallystone.settings import Settings
-from tallystone.sources.daily_csv import DAY
+from tallystone.sources.daily_csv import DAY, delivered_days
+from tallystone.sources.lake import Lake
 
 
-def arriving_days(spark: SparkSession, cfg: Settings, files_per_batch: int | None = None) -> DataFrame:
-    """One row per line of newly arrived transaction files: the day in the file's name."""
+def arriving_days(
+    spark: SparkSession, cfg: Settings, files_per_batch: int | None = None, entity: str = "transactions"
+) -> DataFrame:
+    """One row per line of an entity's newly arrived files: the day in the file's name."""
     reader = (
-        spark.readStream.schema(text_schema(TRANSACTION_COLUMNS[:1])).option("header", True)
+        spark.readStream.schema(text_schema(SOURCE_COLUMNS[entity][:1])).option("header", True)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(f"{cfg.source_dir}/transactions_*.csv").select(
-        F.regexp_extract(F.col("_metadata.file_path"), rf"transactions_({DAY})\.csv", 1)
+    return reader.csv(f"{cfg.source_dir}/{entity}_*.csv").select(
+        F.regexp_extract(F.col("_metadata.file_path"), rf"{entity}_({DAY})\.csv", 1)
         .try_cast("date")
         .alias("day")
     )
 
 
+def _with_accounts(spark: SparkSession, cfg: Settings, days: list[date]) -> tuple[list[date], set[date]]:
+    """The days to load, with earlier ones whose accounts lie there but are not loaded yet; and
+    those of them that have no transactions."""
+    held = set(Lake(spark, cfg).days("bronze/accounts"))
+    waiting = {d for d in delivered_days(spark, "accounts", cfg) if d not in held and d <= max(days)}
+    every = sorted({*days, *waiting})
+    return every, set(every) - set(delivered_days(spark, "transactions", cfg))
+
+
 def stream_next(
     spark: SparkSession, cfg: Settings, checkpoint: str, files_per_batch: int | None = None
 ) -> list[RunResult]:
     """Load everything that arrived since the last call, then stop.
 
-    Only days that arrived are processed, and the watermark never passes a missing day."""
+    Only days that arrived are processed, and the watermark never passes a day without
+    transactions. A day of accounts only is loaded too: rows of later days may need them."""
     results: list[RunResult] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # As many rows as days arrived.
         days = [r["day"] for r in batch.where("day is not null").select("day").distinct().collect()]
+        if not days:
+            return
+        days, bare = _with_accounts(batch.sparkSession, cfg, days)
+        excused = replace(cfg, skippable=(*cfg.skippable, "bronze_transactions"))
         for first, last in unbroken(days):
-            result = run_days(batch.sparkSession, first, last, cfg)
+            settings = excused if any(first <= d <= last for d in bare) else cfg
+            result = run_days(batch.sparkSession, first, last, settings)
             if not result.advanced:
                 raise RuntimeError("; ".join(result.reasons))
             results.append(result)
 
+    arriving = arriving_days(spark, cfg, files_per_batch).unionByName(
+        arriving_days(spark, cfg, files_per_batch, "accounts")
+    )
     query: StreamingQuery = (
-        arriving_days(spark, cfg, files_per_batch)
-        .writeStream.foreachBatch(load)
+        arriving.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

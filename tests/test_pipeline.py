@@ -288,6 +288,26 @@ def test_stream_watermark_waits_for_a_missing_day(spark, seeded, tmp_path):
     assert daily_rows(lake) == DAILY
 
 
+def test_stream_loads_accounts_of_days_without_transactions(spark, seeded, tmp_path):
+    source = Path(seeded.source_dir)
+    new = ("ACC-004", *seed_accounts(6)[0][1:])
+    # Accounts alone: before all transactions, inside a gap of theirs, and after them.
+    write_csv(source / "accounts_2023-12-20.csv", ACCOUNT_COLUMNS, [("ACC-005", *new[1:])])
+    write_csv(source / "accounts_2024-01-08.csv", ACCOUNT_COLUMNS, [new])
+    row = seed_transactions(6)[0]
+    write_csv(source / "transactions_2024-01-10.csv", TRANSACTION_COLUMNS, [(f"T10-{a}", a, "2024-01-10", *row[3:]) for a in ("ACC-004", "ACC-005")])
+    write_csv(source / "accounts_2024-01-12.csv", ACCOUNT_COLUMNS, [("ACC-006", *new[1:])])
+    streamed = replace(seeded, lake_dir=str(tmp_path / "streamed"))
+    results = stream_next(spark, streamed, str(tmp_path / "cp"))
+    assert all(r.advanced for r in results) and Lake(spark, streamed).get_watermark() == day(6)
+    ranged = replace(seeded, skippable=("bronze_accounts", "bronze_transactions"))
+    assert run_range(spark, day(20).replace(year=2023, month=12), day(12), ranged).advanced
+    silver = Lake(spark, streamed).read("silver/transactions").where("date = '2024-01-10'")
+    assert [r["_is_resolvable"] for r in silver.collect()] == [True, True]
+    for t in TABLES:
+        assert same(Lake(spark, seeded).read(t), Lake(spark, streamed).read(t)), t
+
+
 def test_a_released_duplicate_comes_back_under_the_same_run_id(spark, seeded, tmp_path):
     path = Path(seeded.source_dir) / "transactions_2024-01-02.csv"
     rows = seed_transactions(2)
