@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import decontaminate, exact_dedup, lm_score, mixing, near_join, pseudonyms, quality, secret_scan, toxicity, warc
+from tallystone.llm import ball_search, decontaminate, exact_dedup, lm_score, mixing, near_join, pseudonyms, quality, secret_scan, toxicity, warc
 
 QUERIES = {
     "op1_secrets": secret_scan.op1_secrets,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_pseudonyms": pseudonyms.op9_pseudonyms,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_ball_search": ball_search.op11_ball_search,
 }
 
 ORACLES = {
@@ -21,4 +22,5 @@ ORACLES = {
     "op4_near_join": near_join.OP4_SQL,
     "op7_pfair_mix": mixing.OP7_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
+    "op11_ball_search": ball_search.OP11_SQL,
 }
