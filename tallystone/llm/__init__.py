@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, and their queries."""
 
-from tallystone.llm import ball_search, decontaminate, exact_dedup, license_scan, lm_score, mixing, near_join, pseudonyms, quality, secret_scan, toxicity, warc
+from tallystone.llm import ball_search, collocations, decontaminate, exact_dedup, license_scan, lm_score, mixing, near_join, pseudonyms, quality, secret_scan, toxicity, warc
 
 QUERIES = {
     "op1_secrets": secret_scan.op1_secrets,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_pseudonyms": pseudonyms.op9_pseudonyms,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_ball_search": ball_search.op11_ball_search,
+    "op12_collocations": collocations.op12_collocations,
     "op13_license_scan": license_scan.op13_license_scan,
 }
 
@@ -24,5 +25,6 @@ ORACLES = {
     "op7_pfair_mix": mixing.OP7_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
     "op11_ball_search": ball_search.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_license_scan": license_scan.OP13_SQL,
 }
