@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions import week_start
@@ -19,13 +19,14 @@ from tallystone.schemas import TOTAL
 from tallystone.settings import Settings
 
 
-def day_counts(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows per date; with columns also an order-free checksum of their content."""
+def day_counts(rows: DataFrame, columns: list[str] | None = None, *also: Column) -> DataFrame:
+    """Rows per date; with columns also an order-free checksum of their content; and other
+    aggregates of the same pass."""
     aggregates = [F.count(F.lit(1)).alias("row_count")]
     if columns:
         filled = [F.coalesce(c, F.lit("\0")) for c in sorted(columns)]
         aggregates.append(F.sum(F.xxhash64(*filled).cast("decimal(38,0)")).alias("checksum"))
-    return rows.groupBy("date").agg(*aggregates)
+    return rows.groupBy("date").agg(*aggregates, *also)
 
 
 def reconcile_loads(source: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -42,7 +42,8 @@ from tallystone.session import sized_shuffles
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv
 from tallystone.sources.files import size_of, stage, stage_sized, staged_for_now
-from tallystone.sources.lake import WRITER, Lake, load_days
+from tallystone.sources.lake import RESOLVED, WRITER, ConcurrentRun, Lake, load_days
+from tallystone.sources.versions import WHOLE
 
 # The models of a run, in log order.
 NO_OP_MODELS = (
@@ -56,11 +57,15 @@ NO_OP_MODELS = (
     ("gold_aggregation", "GOLD"),
 )
 
-# Which days, with which files, the account state holds: one row per day.
+# Which days, from which writes, the account state holds: one row per day.
 MERGED_DAYS = "pipeline/account_days"
-MERGED_SCHEMA = "date date, files string"
-# Accounts whose earlier rows a backfill has resolved; only ever added to.
-RESOLVED = "silver/resolved_accounts"
+MERGED_SCHEMA = "date date, made_of string"
+# The first delivery day of each account.
+KNOWN = "pipeline/known_accounts"
+# By day, the fingerprints of its transaction ids in ascending order.
+ID_INDEX = "pipeline/transaction_ids"
+FINGERPRINT = "fingerprint"
+WEEKLY = "gold/weekly_account_summary"
 
 
 @dataclass
@@ -92,6 +97,7 @@ class _Run:
         self.run_id = run_id or str(uuid.uuid4())
         self.now = now or datetime.now(timezone.utc)
         self.lake = Lake(spark, cfg)
+        self.began_after = self.lake.commit_number()
         self.pending: list[dict] = []
 
     def log(self, model: str, layer: str, status: str, **values: Any) -> None:
@@ -220,7 +226,7 @@ def _reached(lake: Lake) -> date | None:
     """The last day of the unbroken run of loaded days that starts at the watermark; none as
     long as only accounts have come."""
     watermark = lake.get_watermark()
-    for first, last in unbroken(lake.days("bronze/transactions")):
+    for first, last in unbroken(lake.known_days("bronze/transactions")):
         if watermark is None or first <= watermark + timedelta(days=1) <= last + timedelta(days=1):
             return last
     return watermark
@@ -269,9 +275,10 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
         return
 
     codes = lake.read("silver/transaction_codes").drop(WRITER)
+    index_ids(lake, run.run_id)
     scope, flags, narrow = rewrite_scope(lake, result.days, cfg)
     result.rewritten = sorted(scope)
-    bronze = lake.bronze("transactions").where(F.col("date").isin(scope))
+    bronze = lake.bronze("transactions", scope)
     classified = classify_transactions(bronze, codes, cfg, flags)
     if not narrow:
         # The rows had to be shuffled by id: do that once, and bring days back together.
@@ -304,11 +311,15 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
     def quarantine() -> list[dict]:
         rejected = padded(quarantine_transactions(classified, now, cfg))
         written = lake.replace_days(rejected, "silver/quarantine/record_type=TRANSACTION", scope, run.run_id)
-        delivered = lake.bronze("accounts")
-        bad = padded(quarantine_accounts(classify_accounts(delivered, cfg), now, cfg))
-        lake.replace_days(
-            bad, "silver/quarantine/record_type=ACCOUNT", lake.days("bronze/accounts"), run.run_id
-        )
+        # Account rows are judged one by one, or by id: then all days take part.
+        table = "silver/quarantine/record_type=ACCOUNT"
+        stale = lake.outdated(table, "bronze/accounts")
+        if stale and cfg.quarantine == "per_id":
+            stale = lake.day_writes("bronze/accounts")
+        if stale:
+            delivered = lake.bronze("accounts", stale)
+            bad = padded(quarantine_accounts(classify_accounts(delivered, cfg), now, cfg))
+            lake.replace_days(bad, table, stale, run.run_id, of=stale)
         return per_day(written, True)
 
     run.step("silver_transactions", "SILVER", None, promote)
@@ -317,64 +328,96 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
 
 
 def merge_accounts(lake: Lake, run_id: str, now: datetime) -> int:
-    """Bring the latest account state up to date; returns its rows.
+    """Bring the latest account state, and the day each account was first seen, up to date;
+    returns the rows of the state.
 
-    The state remembers which files of which days it holds. New days are merged into it, so
-    a daily run reads the day's deltas and the state; when a day it holds has other files
+    The state remembers of which writes of which days it is made. New days are merged into it, so
+    a daily run reads the day's deltas and the state; when a day it holds comes from another write
     now, the state is built anew from all deltas. A merge that is cut off is simply repeated.
     """
-    files = {d: ",".join(sorted(names)) for d, names in lake.day_files("bronze/accounts").items()}
-    held = {r["date"]: r["files"] for r in lake.read(MERGED_DAYS, MERGED_SCHEMA).collect()} if lake.has("silver/accounts") else {}
+    files = {d: w for d, w in lake.day_writes("bronze/accounts").items() if w}
+    held = {r["date"]: r["made_of"] for r in lake.read(MERGED_DAYS, MERGED_SCHEMA).collect()} if lake.has("silver/accounts") else {}
     if held and all(files.get(d) == names for d, names in held.items()):
         new = sorted(set(files) - set(held))
         if not new:
-            return lake.read("silver/accounts").count()
-        delta = latest_accounts(lake.bronze("accounts").where(F.col("date").isin(new)), now)
-        state = lake.read("silver/accounts").drop(WRITER).unionByName(delta)
+            return lake.table("silver/accounts").parts()[WHOLE]["rows"]
+        delta = lake.bronze("accounts", new)
+        state = lake.read("silver/accounts").drop(WRITER).unionByName(latest_accounts(delta, now))
         newest = latest_by(state, ["account_id"], ["_bronze_ingested_at", "_source_file"])
-        rows = lake.replace_table(stage(newest, "accounts"), "silver/accounts", run_id)
+        seen = lake.read(KNOWN).drop(WRITER).unionByName(first_seen(delta))
+        seen = seen.groupBy("account_id").agg(F.min("_first_seen").alias("_first_seen"))
     else:
-        rows = lake.replace_table(latest_accounts(lake.bronze("accounts"), now), "silver/accounts", run_id)
-    days = lake.spark.createDataFrame(sorted(files.items()), MERGED_SCHEMA)
-    days.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(lake.path(MERGED_DAYS))
+        newest, seen = latest_accounts(lake.bronze("accounts"), now), first_seen(lake.bronze("accounts"))
+    rows = lake.replace_table(newest, "silver/accounts", run_id)
+    lake.replace_table(seen, KNOWN, run_id)
+    lake.replace_table(lake.spark.createDataFrame(sorted(files.items()), MERGED_SCHEMA).coalesce(1), MERGED_DAYS, run_id)
     return rows
 
 
 def known_since(lake: Lake) -> DataFrame:
     """The day since which each account resolves rows: its first delivery, or any day once a
     backfill has resolved its earlier rows."""
-    delivered = first_seen(lake.bronze("accounts"))
+    delivered = lake.read(KNOWN, "account_id string, _first_seen date").select("account_id", "_first_seen")
     if not lake.has(RESOLVED):
         return delivered
     always = lake.read(RESOLVED).select("account_id", F.lit("0001-01-01").cast("date").alias("_first_seen"))
     return delivered.unionByName(always).groupBy("account_id").agg(F.min("_first_seen").alias("_first_seen"))
 
 
+def fingerprints(rows: DataFrame) -> DataFrame:
+    """The fingerprints of the ids of rows, each once (and once a day where rows have days)."""
+    days = [c for c in ("date",) if c in rows.columns]
+    return rows.where(~blank("transaction_id")).select(F.xxhash64("transaction_id").alias(FINGERPRINT), *days).distinct()
+
+
+def index_ids(lake: Lake, run_id: str) -> None:
+    """Bring the index of ids up to date: days whose Bronze rows come from another write now.
+
+    A day's fingerprints lie in ascending order, eight bytes for an id of any length, so that a
+    search reads little and skips what its filter excludes.
+    """
+    stale = lake.outdated(ID_INDEX, "bronze/transactions")
+    if stale:
+        ids = fingerprints(lake.bronze("transactions", stale).select("transaction_id", "date"))
+        ids = ids.hint("rebalance", "date").sortWithinPartitions("date", FINGERPRINT)
+        lake.replace_days(ids, ID_INDEX, stale, run_id, of=stale)
+
+
+def days_that_may_hold(lake: Lake, ids: DataFrame, days: Iterable[date]) -> list[date]:
+    """Which of the days the index gives for any of the ids (rows with a transaction_id). Equal
+    fingerprints of different ids are the only way a day is named in vain."""
+    asked = fingerprints(ids.select("transaction_id"))
+    index = lake.read(ID_INDEX, f"{FINGERPRINT} long, date date", days)
+    return sorted(r["date"] for r in index.join(asked, FINGERPRINT, "left_semi").select("date").distinct().collect())
+
+
 def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[date], DataFrame, bool]:
     """The Silver days to write, the id flags that hold for them, and whether the flags are
     small enough to be broadcast.
 
     An id that also occurs on a day outside the run changes that day too, and so does an id
     that the run's days held before and no longer hold: a copy elsewhere may be the only one
-    now. Other days are searched by id only, reduced to one row per id and day before the
-    shuffle.
+    now. Which other days hold such ids is asked of the index; only those are opened, and reduced
+    to one row per id and day before the shuffle.
     """
-    bronze = lake.bronze("transactions")
     others = sorted(set(lake.days("bronze/transactions")) - set(days))
     if others and (cfg.duplicates == "keep_first" or cfg.quarantine == "per_id"):
-        return _sized(sorted({*days, *others}), id_flags(bronze))
-    here = bronze.where(F.col("date").isin(days))
+        return _sized(sorted({*days, *others}), id_flags(lake.bronze("transactions")))
+    here = lake.bronze("transactions", days)
     if not others:
         return _sized(days, id_flags(here))
     counts = id_counts(here)
     asked = counts.select("transaction_id")
     for table in ("silver/transactions", "silver/quarantine/record_type=TRANSACTION"):
         if lake.has(table):
-            before = lake.read(table).where(F.col("date").isin(days) & ~blank("transaction_id"))
+            before = lake.read(table, days=days).where(~blank("transaction_id"))
             asked = asked.unionByName(before.select("transaction_id"))
     asked = stage(asked.distinct(), "ids-asked")
-    # The days are scanned for these ids only; what is shuffled and grouped is what they hold.
-    found = bronze.where(F.col("date").isin(others)).join(asked, "transaction_id", "left_semi")
+    # Only days that the index names are opened, and scanned for these ids only.
+    likely = days_that_may_hold(lake, asked, others)
+    if not likely:
+        return _sized(days, counts.where(F.col(COPIES) > 1))
+    found = lake.bronze("transactions", likely).join(asked, "transaction_id", "left_semi")
     elsewhere = stage(id_counts(found, "date"), "ids-elsewhere")
     touched = [r["date"] for r in elsewhere.select("date").distinct().collect()]
     if not touched:
@@ -382,8 +425,9 @@ def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[dat
     if cfg.retract:
         scope = sorted({*days, *touched})
         # All copies of the ids on the days to be written, wherever the copies are.
-        on_scope = bronze.where(F.col("date").isin(scope)).select("transaction_id").distinct()
-        return _sized(scope, id_flags(bronze.join(on_scope, "transaction_id", "left_semi")))
+        on_scope = stage(lake.bronze("transactions", scope).select("transaction_id").distinct(), "ids-on-scope")
+        copies = {*scope, *days_that_may_hold(lake, on_scope, set(others) - set(scope))}
+        return _sized(scope, id_flags(lake.bronze("transactions", copies).join(on_scope, "transaction_id", "left_semi")))
     merged = (
         counts.unionByName(elsewhere.drop("date"))
         .groupBy("transaction_id")
@@ -403,7 +447,7 @@ def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
     lake, cfg, now = run.lake, run.cfg, run.now
     if not lake.has("silver/transactions"):
         return
-    silver = lake.read("silver/transactions").where(F.col("date").isin(scope))
+    silver = lake.read("silver/transactions", days=scope)
     codes = lake.read("silver/transaction_codes").drop(WRITER)
 
     def daily() -> list[dict]:
@@ -432,7 +476,8 @@ def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
 
 def _gates(run: _Run, result: RunResult, end: date | None) -> None:
     """The watermark moves last, and only when every gate passes; a gate that cannot be
-    evaluated has not passed."""
+    evaluated has not passed. Of runs that overlap, the first to end moves it; the others do not,
+    and say so."""
     log = run.lake.run_log()
     gates = {
         "the run log is not complete": lambda: check_log_complete(log, run.run_id, run.cfg),
@@ -450,7 +495,13 @@ def _gates(run: _Run, result: RunResult, end: date | None) -> None:
             result.reasons.append(reason)
     if not result.reasons:
         if end is not None:
-            result.watermark = run.lake.set_watermark(end, run.run_id, datetime.now(timezone.utc))
+            try:
+                result.watermark = run.lake.set_watermark(end, run.run_id, datetime.now(timezone.utc), run.began_after)
+            except ConcurrentRun as lost:
+                result.reasons.append(str(lost))
+                run.log("watermark", "CONTROL", "FAILED", error_message=str(lost))
+                run.flush()
+                return
         result.advanced = True
 
 
@@ -484,7 +535,7 @@ def _backfill(run: _Run, result: RunResult) -> None:
         # First the lasting part: a backfill that is cut off is simply run again.
         owned = arrived.select("account_id").withColumn(WRITER, F.lit(run.run_id))
         owned.write.mode("append").parquet(lake.path(RESOLVED))
-        days = silver.where(F.col("date").isin(result.rewritten)).drop(WRITER)
+        days = lake.read("silver/transactions", days=result.rewritten).drop(WRITER)
         changed = stage(resolve_late_accounts(days, accounts, cfg), "resolved")
         counts = lake.replace_days(changed, "silver/transactions", result.rewritten, run.run_id)
         return [

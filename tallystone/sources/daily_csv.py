@@ -11,7 +11,7 @@ import csv
 import re
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,7 @@ DAY = r"\d{4}-\d{2}-\d{2}"
 
 # The text of a row whose width is not the header's.
 RAW = "_raw_row"
+OVER_LONG = "_over_long"
 
 # A quote inside a quoted value is doubled; a backslash is an ordinary character.
 DIALECT = {"header": True, "quote": '"', "escape": '"'}
@@ -106,31 +107,21 @@ def read_deliveries(
     return _parsed(spark, entity, deliveries, cfg, ())
 
 
-def over_long_days(
+def read_audited(
     spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
-) -> set[date]:
-    """Days with a row of more fields than the header has.
+) -> DataFrame:
+    """The same, and whether a row has more fields than its header.
 
     The parser keeps the text of rows whose width is not the header's; of those, the
     commas outside quotes are counted. A short row is not an error: what it lacks is null.
     """
-    if not deliveries:
-        return set()
     rows = _parsed(spark, entity, deliveries, cfg, (RAW,))
     bare = F.regexp_replace(F.col(RAW), '"(?:[^"]|"")*"', "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     # Spark refuses a query of the kept text alone, so a parsed column takes part.
-    long = rows.where((commas >= len(SOURCE_COLUMNS[entity])) & (F.length(F.concat_ws("", *SOURCE_COLUMNS[entity])) >= 0))
-    return {r["date"] for r in long.select("date").distinct().collect()}
-
-
-def check_rows(
-    spark: SparkSession, entity: str, checked: list[Delivery], cfg: Settings
-) -> list[Delivery]:
-    """The deliveries, with an error for those that have an over-long row anywhere."""
-    bad = over_long_days(spark, entity, [d for d in checked if d.error is None], cfg)
-    message = f"a row of this {entity} delivery has more fields than its header"
-    return [replace(d, error=message) if d.error is None and d.day in bad else d for d in checked]
+    parsed = F.length(F.concat_ws("", *SOURCE_COLUMNS[entity])) >= 0
+    long = F.coalesce((commas >= len(SOURCE_COLUMNS[entity])) & parsed, F.lit(False))
+    return rows.withColumn(OVER_LONG, long).drop(RAW)
 
 
 def _parsed(
@@ -176,18 +167,19 @@ def count_rows(spark: SparkSession, entity: str, deliveries: list[Delivery]) ->
     }
 
 
-def add_audit_columns(rows: DataFrame, entity: str, run_id: str, now: datetime) -> DataFrame:
+def add_audit_columns(rows: DataFrame, entity: str, run_id: str, now: datetime, *also: str) -> DataFrame:
     audited = rows.withColumns(
         {"_pipeline_run_id": F.lit(run_id), "_ingested_at": F.lit(now)}
     )
-    return audited.select(*bronze_schema(entity).fieldNames())
+    return audited.select(*bronze_schema(entity).fieldNames(), *also)
 
 
 def ingest_daily_csv(
     spark: SparkSession, entity: str, start: date, end: date, cfg: Settings, run_id: str, now: datetime
 ) -> DataFrame:
-    """Bronze rows of every well-formed delivery of the range; nothing is written."""
+    """Bronze rows of every well-formed delivery of the range; no table is written. The
+    deliveries are parsed once, into the shared folder, and audited there."""
     checked = check_headers(spark, entity, find_deliveries(spark, entity, start, end, cfg), cfg)
-    checked = check_rows(spark, entity, checked, cfg)
-    good = [d for d in checked if d.error is None]
-    return add_audit_columns(read_deliveries(spark, entity, good, cfg), entity, run_id, now)
+    rows = files.stage(read_audited(spark, entity, [d for d in checked if d.error is None], cfg), "deliveries")
+    bad = [r["date"] for r in rows.where(F.col(OVER_LONG)).select("date").distinct().collect()]
+    return add_audit_columns(rows.where(~F.col("date").isin(bad)), entity, run_id, now)

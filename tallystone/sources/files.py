@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -36,6 +38,12 @@ def size_of(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def age_of(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was last changed."""
+    fs, p = _handle(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a file, or of the first non-empty file of a folder."""
     fs, p = _handle(spark, path)
@@ -57,6 +65,49 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _handle(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with all its content at one moment; False if there is one already.
+
+    The content is written under another name first and then gets its name in one step that
+    fails where the name is taken: a hard link on a local disk, elsewhere a rename that does not
+    replace, which HDFS does atomically. Of several writers exactly one succeeds.
+    """
+    fs, p = _handle(spark, path)
+    jvm = spark._jvm
+    folder = p.getParent()
+    fs.mkdirs(folder)
+    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if fs.getScheme() == "file":
+            paths = [jvm.java.io.File(fs.makeQualified(x).toUri().getPath()).toPath() for x in (p, draft)]
+            jvm.java.nio.file.Files.createLink(*paths)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+    return True
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _handle(spark, source)
     if not fs.rename(p, _handle(spark, target)[1]):
@@ -79,6 +130,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system remove a folder that exists when the session's JVM ends."""
+    fs, p = _handle(spark, path)
+    fs.deleteOnExit(p)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -94,9 +151,8 @@ def stage_sized(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     path = scratch_path(spark, label)
     if _staged.get() is not None:
         _staged.get().append(path)
-    fs, p = _handle(spark, path)
-    fs.deleteOnExit(p)
     df.write.parquet(path)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path), size_of(spark, path)
 
 

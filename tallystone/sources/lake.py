@@ -1,9 +1,9 @@
-"""Parquet tables of the lake: partitioned by day where they grow by day."""
+"""Parquet tables of the lake: versioned, and by day where they grow by day."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,82 +14,97 @@ from tallystone.operators.runlog import run_log_rows
 from tallystone.schemas import CONTROL, LOAD_RESULT, RUN_LOG, SOURCE_COLUMNS, bronze_schema
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv, files
+from tallystone.sources.daily_csv import OVER_LONG
+from tallystone.sources.versions import NumberedFiles, VersionedTable, day_parts
 
 WRITER = "_written_run_id"
+# Accounts whose earlier rows a backfill has resolved.
+RESOLVED = "silver/resolved_accounts"
+#: Tables that only grow, row by row, are plain Parquet folders.
+APPENDED = ("pipeline/run_log", RESOLVED)
+
+
+class ConcurrentRun(RuntimeError):
+    """Another run has committed since this one began."""
 
 
 class Lake:
+    """The tables of one lake. All but the appended ones are versioned (``versions``): a reader
+    sees a table as it was before or after a change, never between."""
+
     def __init__(self, spark: SparkSession, cfg: Settings):
         self.spark, self.cfg = spark, cfg
 
     def path(self, table: str) -> str:
         return f"{self.cfg.lake_dir}/{table}"
 
-    def has(self, table: str) -> bool:
-        return files.exists(self.spark, self.path(table))
-
-    def read(self, table: str, schema: T.StructType | str | None = None) -> DataFrame:
-        """The table; an empty frame when it does not exist yet and a schema is given."""
-        if not self.has(table) and schema is not None:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(table))
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name))
 
-    def bronze(self, entity: str) -> DataFrame:
-        return self.read(f"bronze/{entity}", bronze_schema(entity))
+    def has(self, table: str) -> bool:
+        if table in APPENDED:
+            return files.exists(self.spark, self.path(table))
+        return self.table(table).exists()
+
+    def read(self, table: str, schema: T.StructType | str | None = None, days: Iterable[date] | None = None) -> DataFrame:
+        """The table, or some of its days; an empty frame when it does not exist yet and a schema
+        is given. A folder of tables named ``column=value`` is read as one, with that column."""
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if table in APPENDED:
+            if not self.has(table):
+                return self.spark.createDataFrame([], schema)
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(self.path(table))
+        _, state = self.table(table).manifests.newest()
+        if not state and schema is None:
+            parts = None
+            for folder in files.matching(self.spark, f"{self.path(table)}/*=*"):
+                name = folder.rsplit("/", 1)[1]
+                if self.has(f"{table}/{name}"):
+                    column, value = name.split("=", 1)
+                    part = self.read(f"{table}/{name}", days=days).withColumn(column, F.lit(value))
+                    parts = part if parts is None else parts.unionByName(part)
+            if parts is not None:
+                return parts
+        return self.table(table).frame(days, schema, state)
+
+    def bronze(self, entity: str, days: Iterable[date] | None = None) -> DataFrame:
+        return self.read(f"bronze/{entity}", bronze_schema(entity), days)
 
     def replace_table(self, df: DataFrame, table: str, run_id: str) -> int:
-        """Overwrite a whole table; returns its rows."""
-        owned = df.withColumn(WRITER, F.lit(run_id))
-        owned.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            self.path(table)
-        )
-        return self.read(table, owned.schema).count()
+        """Replace a whole table; returns its rows."""
+        return self.table(table).replace(df.withColumn(WRITER, F.lit(run_id)), run_id)
 
     def replace_days(
-        self, df: DataFrame, table: str, days: Iterable[date], run_id: str
+        self, df: DataFrame, table: str, days: Iterable[date], run_id: str, of: dict[date, str] | None = None
     ) -> dict[date, int]:
-        """Overwrite the given days of a table and return the rows now in each.
-
-        Days that receive no rows lose their old partition. Which days received rows shows
-        in the names of their files, which every write makes anew, so rows that an earlier
-        attempt left, even one of the same run, are not taken for new ones. Rows are counted
-        from the files' footers.
-        """
+        """Replace the given days of a table and return the rows now in each, as counted by the
+        write. Days that receive no rows hold none from then on."""
         days = sorted(set(days))
         if not days:
             return {}
-        path = self.path(table)
-        before = self.day_files(table)
         owned = df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id))
-        owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "date"
-        ).parquet(path)
-        after = self.day_files(table)
-        written = []
-        for day in days:
-            if after.get(day) and after[day] != before.get(day):
-                written.append(day)
-            elif after.get(day):
-                files.remove_folder(self.spark, f"{path}/date={day.isoformat()}")
-        counts = dict.fromkeys(days, 0)
-        if written:
-            held = self.read(table, owned.schema).where(F.col("date").isin(written))
-            counts |= {r["date"]: r["count"] for r in held.groupBy("date").count().collect()}
-        return counts
-
-    def day_files(self, table: str) -> dict[date, set[str]]:
-        """The data files of each day of a table; a file's name is never used twice."""
-        found: dict[date, set[str]] = {}
-        for name in files.matching(self.spark, f"{self.path(table)}/date=*/*.parquet"):
-            day = date.fromisoformat(name.rsplit("date=", 1)[1][:10])
-            found.setdefault(day, set()).add(name.rsplit("/", 1)[1])
-        return found
+        return self.table(table).replace_days(owned, days, run_id, of)
+
+    def day_writes(self, table: str) -> dict[date, str]:
+        """The write that each day of a table comes from; a write's name is never used twice. A
+        day that is known but has no rows comes from nothing, the empty name."""
+        parts = self.table(table).parts()
+        return {date.fromisoformat(d): x["write"] or "" for d, x in sorted(parts.items()) if d}
+
+    def outdated(self, table: str, source: str) -> dict[date, str]:
+        """Days of the source, with their writes, that a table made from it day by day does not
+        hold as they are now."""
+        made = {d: x["of"] for d, x in self.table(table).parts().items()}
+        return {d: w for d, w in self.day_writes(source).items() if made.get(d.isoformat()) != w}
 
     def days(self, table: str) -> list[date]:
-        """The days a table holds, from its folder names."""
-        names = files.matching(self.spark, f"{self.path(table)}/date=*")
-        return [date.fromisoformat(n.rsplit("date=", 1)[1][:10]) for n in names]
+        """The days a table has rows of."""
+        return [d for d, write in self.day_writes(table).items() if write]
+
+    def known_days(self, table: str) -> list[date]:
+        """The days a table has been given, with or without rows."""
+        return list(self.day_writes(table))
 
     # Run log: append only.
 
@@ -102,30 +117,41 @@ class Lake:
     def run_log(self) -> DataFrame:
         return self.read("pipeline/run_log", RUN_LOG)
 
-    # Watermark: rows are appended, the newest one counts, so that an interrupted write
-    # never leaves the lake without one.
+    # Watermark: numbered commits, each made once. Of two runs that began at the same commit
+    # only the first to end moves it.
+
+    def _commits(self) -> NumberedFiles:
+        return NumberedFiles(self.spark, self.path("pipeline/control"))
+
+    def commit_number(self) -> int:
+        return self._commits().newest()[0]
 
     def control(self) -> DataFrame:
-        newest = F.max_by(F.struct(*CONTROL.fieldNames()), "updated_at").alias("r")
-        rows = self.read("pipeline/control", CONTROL)
-        return rows.agg(newest).where(F.col("r").isNotNull()).select("r.*")
+        number, held = self._commits().newest()
+        rows = []
+        if number:
+            rows = [(date.fromisoformat(held["last_processed_date"]), datetime.fromisoformat(held["updated_at"]), held["updated_by_run_id"])]
+        return self.spark.createDataFrame(rows, CONTROL)
 
     def get_watermark(self) -> date | None:
-        row = self.control().first()
-        return row["last_processed_date"] if row else None
-
-    def set_watermark(self, day: date, run_id: str, now: datetime) -> date:
-        """Never moves backwards."""
-        current = self.get_watermark()
-        day = max(day, current) if current else day
-        self.spark.createDataFrame([(day, now, run_id)], CONTROL).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.path("pipeline/control"))
-        return day
+        number, held = self._commits().newest()
+        return date.fromisoformat(held["last_processed_date"]) if number else None
+
+    def set_watermark(self, day: date, run_id: str, now: datetime, after: int | None = None) -> date:
+        """Never moves backwards. With `after`, only if no other run has committed since that
+        commit; else ConcurrentRun is raised and nothing changes."""
+        while True:
+            number, held = self._commits().newest()
+            if after is not None and number != after:
+                raise ConcurrentRun(f"run {held['updated_by_run_id']} has moved the watermark meanwhile")
+            moved = max(day, date.fromisoformat(held["last_processed_date"])) if number else day
+            content = {"last_processed_date": moved.isoformat(), "updated_at": now.isoformat(), "updated_by_run_id": run_id}
+            if self._commits().publish(number + 1, content):
+                return moved
 
     def get_next_date(self) -> date | None:
-        row = self.control().select(F.date_add("last_processed_date", 1).alias("d")).first()
-        return row["d"] if row else None
+        watermark = self.get_watermark()
+        return watermark + timedelta(days=1) if watermark else None
 
 
 def date_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
@@ -147,8 +173,9 @@ def load_idempotent(
     """Bring the deliveries of a range into Bronze; one result row per day.
 
     A day already loaded is compared with its source and only rewritten when they differ.
-    A day that is not loaded yet is written without counting its source first. A day with
-    a wrong header or an over-long row is FAILED and writes nothing; a day without a file is SKIPPED.
+    A day that is not loaded yet is parsed once: written unseen, audited there and published. A day
+    with a wrong header or an over-long row is FAILED and changes nothing; a day without a file is
+    SKIPPED.
     """
     done = spark.createDataFrame(load_days(spark, entity, start, end, cfg, run_id, now), LOAD_RESULT)
     if entity == "transaction_codes":
@@ -167,26 +194,43 @@ def load_days(
     checked = daily_csv.check_headers(
         spark, entity, daily_csv.find_deliveries(spark, entity, start, end, cfg), cfg
     )
-    checked = daily_csv.check_rows(spark, entity, checked, cfg)
     bad = [d for d in checked if d.error]
+    bad_rows = daily_csv.count_rows(spark, entity, bad)
     good = [d for d in checked if not d.error]
     present = set(lake.days(table))
-    again = [d for d in good if d.day in present]
     kept: dict[date, int] = {}
-    if again:
-        loaded = lake.bronze(entity).where(F.col("date").isin([d.day for d in again]))
-        plan = load_plan(daily_csv.read_deliveries(spark, entity, again, cfg), loaded, entity, cfg)
+    too_long: dict[date, int] = {}
+    again = [d for d in good if d.day in present]
+    if again:  # compared first, so that a day that agrees is not written
+        columns = SOURCE_COLUMNS[entity] if cfg.verify == "checksum" else None
+        source = day_counts(daily_csv.read_audited(spark, entity, again, cfg), columns, F.max(OVER_LONG).alias(OVER_LONG)).collect()
+        too_long = {r["date"]: r["row_count"] for r in source if r[OVER_LONG]}
+        counts = spark.createDataFrame([r for r in source if not r[OVER_LONG]], _count_schema(columns))
+        plan = reconcile_loads(counts, day_counts(lake.bronze(entity, [d.day for d in again]), columns))
         kept = {
             r["date"]: r["loaded_rows"]
             for r in plan.where("action = 'KEEP' and source_rows is not null").collect()
         }
-    todo = [d for d in good if d.day not in kept]
+    todo = [d for d in good if d.day not in kept and d.day not in too_long]
     written: dict[date, int] = {}
     if todo:
-        rows = daily_csv.add_audit_columns(
-            daily_csv.read_deliveries(spark, entity, todo, cfg), entity, run_id, now
-        )
-        written = lake.replace_days(rows, table, [d.day for d in todo], run_id)
-    bad_rows = daily_csv.count_rows(spark, entity, bad)
+        # Parsed once, into folders that nobody sees; audited there; then the good days are published.
+        rows = daily_csv.read_audited(spark, entity, todo, cfg)
+        rows = daily_csv.add_audit_columns(rows, entity, run_id, now, OVER_LONG).withColumn(WRITER, F.lit(run_id))
+        store = lake.table(table)
+        write = store.write(rows, by_day=True)
+        audit = store.staged(write, rows.schema).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.max(OVER_LONG).alias("bad"))
+        found = {r["date"]: r for r in audit.collect()}
+        too_long |= {day: r["n"] for day, r in found.items() if r["bad"]}
+        written = {d.day: found[d.day]["n"] if d.day in found else 0 for d in todo if d.day not in too_long}
+        if written:
+            store.publish(day_parts(write, written), bronze_schema(entity).add(WRITER, "string"), run_id)
+        store.discard(write, [d.isoformat() for d in too_long if d in found])
+    message = f"a row of this {entity} delivery has more fields than its header"
     results = [(day, "SUCCESS", n, n, None) for day, n in {**kept, **written}.items()]
-    return results + [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]
+    results += [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]
+    return results + [(day, "FAILED", n, None, message) for day, n in too_long.items()]
+
+
+def _count_schema(columns: list[str] | None) -> str:
+    return f"date date, row_count long{', checksum decimal(38,0)' if columns else ''}, {OVER_LONG} boolean"

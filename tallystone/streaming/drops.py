@@ -40,7 +40,7 @@ def arriving_days(
 def _with_accounts(spark: SparkSession, cfg: Settings, days: list[date]) -> tuple[list[date], set[date]]:
     """The days to load, with earlier ones whose accounts lie there but are not loaded yet; and
     those of them that have no transactions."""
-    held = set(Lake(spark, cfg).days("bronze/accounts"))
+    held = set(Lake(spark, cfg).known_days("bronze/accounts"))
     waiting = {d for d in delivered_days(spark, "accounts", cfg) if d not in held and d <= max(days)}
     every = sorted({*days, *waiting})
     return every, set(every) - set(delivered_days(spark, "transactions", cfg))
