@@ -26,7 +26,7 @@ from tallystone.operators.classify import (
     id_flags,
 )
 from tallystone.operators.codes import require_codes, silver_codes
-from tallystone.operators.gold import daily_cube, daily_from_cube, weekly_cube, weekly_from_cube
+from tallystone.operators.gold import daily_cube, daily_from_cube, weekly_cube
 from tallystone.operators.latest import latest_by
 from tallystone.operators.promote import (
     accepted,
@@ -37,6 +37,7 @@ from tallystone.operators.promote import (
 from tallystone.operators.quarantine import padded, quarantine_accounts, quarantine_transactions
 from tallystone.operators.runlog import check_log_complete, check_messages_clean
 from tallystone.operators.skew import COPIES
+from tallystone.plans.weekly_view import KNOWN, refresh_weekly
 from tallystone.schemas import LOAD_RESULT
 from tallystone.session import sized_shuffles
 from tallystone.settings import Settings
@@ -60,12 +61,9 @@ NO_OP_MODELS = (
 # Which days, from which writes, the account state holds: one row per day.
 MERGED_DAYS = "pipeline/account_days"
 MERGED_SCHEMA = "date date, made_of string"
-# The first delivery day of each account.
-KNOWN = "pipeline/known_accounts"
 # By day, the fingerprints of its transaction ids in ascending order.
 ID_INDEX = "pipeline/transaction_ids"
 FINGERPRINT = "fingerprint"
-WEEKLY = "gold/weekly_account_summary"
 
 
 @dataclass
@@ -443,7 +441,8 @@ def _sized(scope: list[date], flags: DataFrame) -> tuple[list[date], DataFrame,
 
 
 def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
-    """Sum up the rewritten Silver days and rebuild both Gold tables from the cubes."""
+    """Sum up the rewritten Silver days, rebuild the daily table from its cube, and rewrite the weeks
+    that changed."""
     lake, cfg, now = run.lake, run.cfg, run.now
     if not lake.has("silver/transactions"):
         return
@@ -464,11 +463,7 @@ def refresh_gold(run: _Run, scope: list[date], day: date) -> None:
         used = lake.replace_days(cube, "gold/weekly_cube", scope, run.run_id)
         if not sum(used.values()) and not lake.days("gold/weekly_cube"):
             return [{"records_written": 0}]
-        weeks = weekly_from_cube(
-            lake.read("gold/weekly_cube"), codes, lake.read("silver/accounts"), now, cfg,
-            bronze_accounts=lake.bronze("accounts"),
-        )
-        return [{"records_written": lake.replace_table(weeks, "gold/weekly_account_summary", run.run_id)}]
+        return [{"records_written": refresh_weekly(lake, codes, run.run_id, now, cfg)}]
 
     run.step("gold_daily_summary", "GOLD", day, daily)
     run.step("gold_weekly_account_summary", "GOLD", day, weekly)

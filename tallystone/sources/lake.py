@@ -76,15 +76,17 @@ class Lake:
         return self.table(table).replace(df.withColumn(WRITER, F.lit(run_id)), run_id)
 
     def replace_days(
-        self, df: DataFrame, table: str, days: Iterable[date], run_id: str, of: dict[date, str] | None = None
+        self, df: DataFrame, table: str, days: Iterable[date], run_id: str,
+        of: dict[date, str] | None = None, shown: bool = True,
     ) -> dict[date, int]:
         """Replace the given days of a table and return the rows now in each, as counted by the
-        write. Days that receive no rows hold none from then on."""
+        write. Days that receive no rows hold none from then on. With shown=False readers don't see
+        the column date."""
         days = sorted(set(days))
         if not days:
             return {}
         owned = df.where(F.col("date").isin(days)).withColumn(WRITER, F.lit(run_id))
-        return self.table(table).replace_days(owned, days, run_id, of)
+        return self.table(table).replace_days(owned, days, run_id, of, shown)
 
     def day_writes(self, table: str) -> dict[date, str]:
         """The write that each day of a table comes from; a write's name is never used twice. A

@@ -168,11 +168,13 @@ class VersionedTable:
     def staged(self, write: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{WRITE}={write}")
 
-    def replace_days(self, df: DataFrame, days: list[date], run_id: str, of: Mapping[date, str] | None = None) -> dict[date, int]:
+    def replace_days(self, df: DataFrame, days: list[date], run_id: str, of: Mapping[date, str] | None = None, shown: bool = True) -> dict[date, int]:
         """Replace the given days of the table; returns the rows of each. A day without rows stays
-        known, with no folder. `of` tells what each day was made of."""
+        known, with no folder. `of` tells what each day was made of; the day itself is a column
+        that readers see, or not."""
         write, counts = self.stage_days(df, days)
-        self.publish(day_parts(write, counts, of), df.schema, run_id)
+        schema = T.StructType([f for f in df.schema if shown or f.name != "date"])
+        self.publish(day_parts(write, counts, of), schema, run_id)
         return counts
 
 
