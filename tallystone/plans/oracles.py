@@ -506,4 +506,34 @@ FROM (SELECT date, count(*) AS n, bool_or(day(date) % 7 = 3 AND CAST(transaction
 late AS (SELECT account_id FROM ac WHERE date <= (SELECT max(date) FROM ev)),
 resolved AS (SELECT * REPLACE (ok OR account_id IN (SELECT account_id FROM late) AS ok) FROM silver)"""
     + _SHOW_SILVER.replace("run_id AS _pipeline_run_id, ", "").replace("FROM silver", "FROM resolved"),
+    "days_opened": _with(_EVENTS) + """,
+span AS (SELECT min(date) AS first, max(date) AS last FROM ev),
+again AS (
+  SELECT transaction_id, date FROM ev, span
+  WHERE date <> last AND ((date = first AND CAST(transaction_id AS BIGINT) % 3 = 0)
+    OR (day(date) = 9 AND CAST(transaction_id AS BIGINT) % 5 = 0)))
+SELECT CAST(date AS VARCHAR) AS date, count(*) AS shared_ids FROM again GROUP BY date""",
+    "weekly_view_run": _with(_EVENTS, _JUDGED, _ACCOUNTS.replace("FROM customer,", "FROM (SELECT * FROM customer, (SELECT max(CAST(ts AS DATE)) AS last FROM events)),").replace("WHERE c_custkey % 10 <> 0", "WHERE date '2024-01-01' + CAST(c_custkey % 30 + later AS INTEGER) <> last AND c_custkey % 10 <> 0"), _BY_DATE) + """,
+used AS (SELECT *, date_trunc('week', CAST(transaction_date AS DATE))::DATE AS week FROM silver WHERE ok),
+span AS (SELECT max(date) AS last FROM ev)
+SELECT CAST(week AS VARCHAR) AS week_start_date,
+       CASE WHEN week IN (SELECT week FROM used, span WHERE date = last) THEN 'run-b' ELSE 'run-a' END AS written_by,
+       count(DISTINCT account_id) AS accounts, count(*) FILTER (kind = 'PURCHASE') AS purchases
+FROM used GROUP BY week""",
+    "versioned_reader": """
+SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, count(*) AS before_rows,
+       count(*) FILTER (day(o_orderdate) % 7 <> 3 OR o_orderstatus = 'F') AS after_rows
+FROM orders WHERE o_orderdate >= date '1998-01-01' GROUP BY 1""",
+    "source_audit": _with(_EVENTS) + """,
+span AS (SELECT min(date) AS first, max(date) AS last FROM ev)
+SELECT 'load' AS step, CAST(date AS VARCHAR) AS date, 'UNCHANGED' AS finding FROM ev GROUP BY date
+UNION ALL
+SELECT 'planted', CAST(date AS VARCHAR), CASE date WHEN first THEN 'CHANGED' WHEN last THEN 'MISSING' ELSE 'UNCHANGED' END
+FROM ev, span GROUP BY date, first, last
+UNION ALL
+SELECT 'planted', CAST(last + 90 AS VARCHAR), 'NEW' FROM span""",
+    "stream_gap_run": _with(_EVENTS, _JUDGED) + """,
+span AS (SELECT min(date) AS first, max(date) AS last FROM ev)
+SELECT CAST(date AS VARCHAR) AS date, count(*) AS silver_rows, CAST(last AS VARCHAR) AS watermark
+FROM judged, span WHERE reason IS NULL AND NOT shielded AND date <> first + 3 GROUP BY date, last""",
 }

@@ -25,14 +25,16 @@ from tallystone.operators.promote import (
     resolve_late_accounts,
 )
 from tallystone.operators.quarantine import build_quarantine, first_reasons
-from tallystone.plans.pipeline import run_backfill, run_next, run_range
+from tallystone.plans.pipeline import days_that_may_hold, index_ids, run_backfill, run_next, run_range
 from tallystone.schemas import TRANSACTION_COLUMNS
 from tallystone.settings import TRANSACTION_TYPES, Settings
 from tallystone.sources import bindings as b
 from tallystone.sources import daily_csv
+from tallystone.sources.audit import changed_sources, source_digests
 from tallystone.sources.bindings import NOW
 from tallystone.sources.files import remove_folder, scratch_path, stage
 from tallystone.sources.lake import Lake, load_idempotent, load_plan
+from tallystone.sources.versions import VersionedTable
 from tallystone.streaming.drops import stream_next
 
 CFG = Settings(resolvable="latest")
@@ -631,6 +633,94 @@ def incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     return _show_weekly(Lake(spark, cfg).read("gold/weekly_account_summary")).drop("_pipeline_run_id")
 
 
+def days_opened(spark: SparkSession, sf: str) -> DataFrame:
+    """The last day repeats ids of two other days: the days that its load opens, by the index of
+    ids, and how many of its ids they hold."""
+    cfg = _delivered(spark, sf)
+    first, last = _first_and_last(spark, cfg, "transactions")
+    events = b.event_transactions(spark, sf)
+    key = F.col("transaction_id").cast("long")
+    repeated = events.where(((F.col("date") == first) & (key % 3 == 0)) | ((F.dayofmonth("date") == 9) & (key % 5 == 0)))
+    end = events.where(F.col("date") == last).unionByName(repeated.withColumn("date", F.lit(last)))
+    remove_folder(spark, f"{cfg.source_dir}/transactions_{last.isoformat()}.csv")
+    b.export_daily_csv(end, "transactions", cfg.source_dir)
+    load_idempotent(spark, "transactions", first, last, cfg, "run-a", NOW).count()
+    lake = Lake(spark, cfg)
+    index_ids(lake, "run-a")
+    ids = lake.bronze("transactions", [last])
+    opened = days_that_may_hold(lake, ids, [d for d in lake.days("bronze/transactions") if d != last])
+    held = lake.bronze("transactions", opened).join(ids.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    return held.groupBy("date").agg(F.count(F.lit(1)).alias("shared_ids")).select(_day("date"), "shared_ids")
+
+
+def weekly_view_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All days but the last by a range, then the last one, which brings no accounts: which run
+    wrote each week of the weekly summary."""
+    cfg = replace(_delivered(spark, sf, balance="as_of"), skippable=("bronze_accounts", "bronze_transactions"))
+    first, last = _first_and_last(spark, cfg, "transactions")
+    remove_folder(spark, f"{cfg.source_dir}/accounts_{last.isoformat()}.csv")
+    _finished(run_range(spark, first, last - timedelta(days=1), cfg, run_id="run-a", now=NOW))
+    _finished(run_next(spark, cfg, run_id="run-b", now=NOW))
+    weeks = Lake(spark, cfg).read("gold/weekly_account_summary")
+    return weeks.groupBy("week_start_date", "_written_run_id").agg(
+        F.count(F.lit(1)).alias("accounts"), F.sum("total_purchases").cast("bigint").alias("purchases")
+    ).select(_day("week_start_date"), F.col("_written_run_id").alias("written_by"), "accounts", "purchases")
+
+
+def versioned_reader(spark: SparkSession, sf: str) -> DataFrame:
+    """The order days as a versioned table, of which some days are replaced and some emptied: what
+    a reader sees that began before, and one that begins after."""
+    orders = b.order_days(spark, sf).where("date >= '1998-01-01'")
+    table = VersionedTable(spark, f"{scratch_path(spark, 'versions')}/orders")
+    days = [r["date"] for r in orders.select("date").distinct().collect()]
+    table.replace_days(orders, days, "run-a")
+    old = table.frame()
+    table.replace_days(orders.where("o_orderstatus = 'F'"), [d for d in days if d.day % 7 == 3], "run-b")
+    sides = old.withColumn("seen", F.lit("before")).unionByName(table.frame().withColumn("seen", F.lit("after")))
+    return sides.groupBy("date").agg(
+        F.count_if(F.col("seen") == "before").alias("before_rows"), F.count_if(F.col("seen") == "after").alias("after_rows")
+    ).select(_day("date"), "before_rows", "after_rows")
+
+
+def source_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """All source files before and after a load, which leaves them alone, and after changes that
+    were planted: rows of one day lost, another day gone, a new one come. One row per day and step."""
+    cfg = _delivered(spark, sf)
+    span = _first_and_last(spark, cfg, "transactions")
+    before = stage(source_digests(spark, cfg), "digests")
+    load_idempotent(spark, "transactions", *span, cfg, "run-a", NOW).count()
+    loaded = stage(changed_sources(before, source_digests(spark, cfg)), "audit")
+    events = b.event_transactions(spark, sf)
+    for day in (span[0], span[1]):
+        remove_folder(spark, f"{cfg.source_dir}/transactions_{day.isoformat()}.csv")
+    b.export_daily_csv(events.where((F.col("date") == span[0]) & (F.col("transaction_id").cast("long") % 2 == 0)), "transactions", cfg.source_dir)
+    new = events.where(F.col("date") == span[0]).withColumn("date", F.lit(span[1] + timedelta(days=90)))
+    b.export_daily_csv(new, "transactions", cfg.source_dir)
+    planted = changed_sources(before, source_digests(spark, cfg))
+    steps = loaded.withColumn("step", F.lit("load")).unionByName(planted.withColumn("step", F.lit("planted")))
+    day = F.regexp_extract("file", r"/transactions_(\d{4}-\d{2}-\d{2})\.csv", 1).alias("date")
+    # A day's part files have new names when it is written anew.
+    seen = F.collect_set("finding")
+    finding = F.when(F.size(seen) == 1, seen[0]).otherwise("CHANGED")
+    return steps.select("step", day, "finding").where("date != ''").groupBy("step", "date").agg(finding.alias("finding"))
+
+
+def stream_gap_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream over deliveries of which one day has a header and no rows: Silver rows by day, and
+    where the watermark is, as a range run leaves it."""
+    cfg = _delivered(spark, sf)
+    first, last = _first_and_last(spark, cfg, "transactions")
+    bare = first + timedelta(days=3)
+    remove_folder(spark, f"{cfg.source_dir}/transactions_{bare.isoformat()}.csv")
+    header = spark.createDataFrame([], ", ".join(f"{c} string" for c in TRANSACTION_COLUMNS))
+    header.coalesce(1).write.options(**daily_csv.DIALECT).csv(f"{cfg.source_dir}/transactions_{bare.isoformat()}.csv")
+    for result in stream_next(spark, cfg, f"{cfg.lake_dir}/pipeline/stream"):
+        _finished(result)
+    lake = Lake(spark, cfg)
+    rows = lake.read("silver/transactions").groupBy("date").agg(F.count(F.lit(1)).alias("silver_rows"))
+    return rows.select(_day("date"), "silver_rows", F.lit(lake.get_watermark().isoformat()).alias("watermark"))
+
+
 def _silver_of(spark: SparkSession, cfg: Settings) -> DataFrame:
     return _show_silver(Lake(spark, cfg).read("silver/transactions")).drop("_pipeline_run_id")
 
@@ -694,5 +784,6 @@ QUERIES: dict[str, Query] = {
         load_reconcile, load_reconcile_checksum, date_spine_gaps, incremental_equals_range,
         equivalence_excess, log_gate, log_sanitize, messages_clean, csv_ingest, csv_load_plan,
         csv_ragged, range_run, incremental_run, stream_run, stream_retry_run, reload_run, backfill_run,
+        days_opened, weekly_view_run, versioned_reader, source_audit, stream_gap_run,
     )
 }

@@ -33,6 +33,16 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []))
 
 
+def below(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of writing) of every file below a folder; the path without its store."""
+    fs, p = _handle(spark, folder)
+    found, every = [], fs.listFiles(p, True)
+    while every.hasNext():
+        status = every.next()
+        found.append((status.getPath().toUri().getPath(), status.getLen(), status.getModificationTime()))
+    return found
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     fs, p = _handle(spark, path)
     return fs.getContentSummary(p).getLength()

@@ -155,7 +155,9 @@ class VersionedTable:
         return rows
 
     def stage_days(self, df: DataFrame, days: list[date]) -> tuple[str, dict[date, int]]:
-        """Write rows by day, unseen yet; returns the name of the write and the rows of each day."""
+        """Write the rows of the given days, unseen yet; returns the name of the write and the rows
+        of each day."""
+        df = df.where(F.col("date").isin(days))
         if len(days) <= OBSERVED_DAYS:
             seen = Observation()
             counts = [F.count_if(F.col("date") == F.lit(d)).alias(d.isoformat()) for d in days]

@@ -1,7 +1,8 @@
 """The same loads driven by a stream of arriving files.
 
-The stream only notices deliveries and remembers, in its checkpoint, which it has seen;
-each batch hands its days to the range run, which may be repeated safely. A batch that does
+The stream only notices files and remembers, in its checkpoint, which it has seen; which days
+are loaded, with or without rows, is known to the tables of the lake. Each batch hands its days
+to the range run, which may be repeated safely. A batch that does
 not pass every gate raises, so that the checkpoint keeps it open and the next call repeats it.
 """
 
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystone.plans.pipeline import RunResult, run_days, unbroken
-from tallystone.schemas import SOURCE_COLUMNS, text_schema
 from tallystone.settings import Settings
 from tallystone.sources.daily_csv import DAY, delivered_days
 from tallystone.sources.lake import Lake
@@ -24,16 +24,14 @@ from tallystone.sources.lake import Lake
 def arriving_days(
     spark: SparkSession, cfg: Settings, files_per_batch: int | None = None, entity: str = "transactions"
 ) -> DataFrame:
-    """One row per line of an entity's newly arrived files: the day in the file's name."""
-    reader = (
-        spark.readStream.schema(text_schema(SOURCE_COLUMNS[entity][:1])).option("header", True)
-    )
+    """One row per newly arrived file of an entity: the day in its name.
+
+    A stream of file metadata: no file is opened, and one without rows arrives like any other."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(f"{cfg.source_dir}/{entity}_*.csv").select(
-        F.regexp_extract(F.col("_metadata.file_path"), rf"{entity}_({DAY})\.csv", 1)
-        .try_cast("date")
-        .alias("day")
+    return reader.load(f"{cfg.source_dir}/{entity}_*.csv").select(
+        F.regexp_extract("path", rf"{entity}_({DAY})\.csv", 1).try_cast("date").alias("day")
     )
 
 

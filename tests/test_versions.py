@@ -84,7 +84,9 @@ def test_a_file_is_published_once(spark, tmp_path):
 def test_many_days_are_counted_too(spark, tmp_path, monkeypatch):
     table = table_of(spark, tmp_path)
     monkeypatch.setattr("tallystone.sources.versions.OBSERVED_DAYS", 1)
-    assert table.replace_days(days_frame(spark, (1, 1), (2, 2), (2, 3)), [day(1), day(2), day(3)], "a") == {day(1): 1, day(2): 2, day(3): 0}
+    rows = days_frame(spark, (1, 1), (2, 2), (2, 3), (4, 4))
+    assert table.replace_days(rows, [day(1), day(2), day(3)], "a") == {day(1): 1, day(2): 2, day(3): 0}
+    assert content(table.frame()) == [(1, 1), (2, 2), (2, 3)]
 
 
 def test_of_two_runs_at_once_one_loses(spark, loaded, monkeypatch):
@@ -187,3 +189,43 @@ def test_the_source_is_parsed_once(spark, seeded, monkeypatch):
     assert len(parses) == 1 and counts == [[]] and [r[2] for r in sorted(done)] == [5] * 6
     # Nothing is left to see of the audit.
     assert Lake(spark, seeded).read("bronze/transactions").where(F.col("date") == day(1)).columns[-2:] == ["date", "_written_run_id"]
+
+
+@pytest.mark.parametrize("accounts_on", [(1, 2, 3), (1,)])
+def test_a_stream_passes_a_day_with_a_header_only(spark, seeded, tmp_path, accounts_on):
+    from tallystone.streaming.drops import stream_next
+
+    source = Path(seeded.source_dir)
+    for i in range(1, 7):
+        if i > 3:
+            (source / f"transactions_2024-01-{i:02d}.csv").unlink()
+        if i not in accounts_on:
+            (source / f"accounts_2024-01-{i:02d}.csv").unlink()
+    write_csv(source / "transactions_2024-01-02.csv", TRANSACTION_COLUMNS, [])
+    assert all(r.advanced for r in stream_next(spark, seeded, str(tmp_path / "cp"), files_per_batch=1))
+    ranged = replace(seeded, lake_dir=str(tmp_path / "ranged"))
+    assert run_range(spark, day(1), day(3), ranged).advanced
+    assert Lake(spark, seeded).get_watermark() == Lake(spark, ranged).get_watermark() == day(3)
+    assert stream_next(spark, seeded, str(tmp_path / "cp")) == []
+    for t in TABLES:
+        assert same(Lake(spark, seeded).read(t), Lake(spark, ranged).read(t)), t
+
+
+def test_source_findings(spark, tmp_path):
+    from tallystone.settings import Settings
+    from tallystone.sources.audit import changed_sources, source_digests
+    from tallystone.sources.files import stage
+
+    cfg, source = Settings(source_dir=str(tmp_path / "source")), tmp_path / "source"
+    names = ["same.csv", "edited.csv", "gone.csv", "empty.csv", "odd %2B+ name.csv"]
+    for n in names:
+        write_csv(source / n, ["a", "b"], [("1", "2\r\n3"), ("x", None)])
+    (source / "empty.csv").write_text("")
+    before = stage(source_digests(spark, cfg), "before")
+    assert {r["finding"] for r in changed_sources(before, source_digests(spark, cfg)).collect()} == {"UNCHANGED"}
+    (source / "gone.csv").unlink()
+    (source / "empty.csv").write_text("\n")
+    (source / "edited.csv").write_text((source / "edited.csv").read_text().replace("x", "y"))
+    write_csv(source / "new.csv", ["a"], [])
+    found = {r["file"].rsplit("/", 1)[1]: r["finding"] for r in changed_sources(before, source_digests(spark, cfg)).collect()}
+    assert found == {"same.csv": "UNCHANGED", "edited.csv": "CHANGED", "gone.csv": "MISSING", "empty.csv": "CHANGED", "odd %2B+ name.csv": "UNCHANGED", "new.csv": "NEW"}
