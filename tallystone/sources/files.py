@@ -13,6 +13,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_session_folders: set[str] = set()
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -140,29 +141,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
-def removed_at_exit(spark: SparkSession, path: str) -> None:
-    """Let the file system remove a folder that exists when the session's JVM ends."""
-    fs, p = _handle(spark, path)
-    fs.deleteOnExit(p)
+def session_folder(spark: SparkSession) -> str:
+    """This session's part of the shared folder; the file system removes it when the session's
+    JVM ends."""
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/tallystone-{application}"
+    if path not in _session_folders:
+        fs, p = _handle(spark, path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)  # only of a folder that is there
+        _session_folders.add(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage_sized(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write the frame once to the shared folder, read it back, and tell its bytes.
 
     This cuts lineage in a way that survives lost executors, and gives Catalyst the
-    real size of the data, so that it broadcasts only what measures small. The file system
-    removes the folder when the session's JVM ends, if nobody did before.
+    real size of the data, so that it broadcasts only what measures small. The table goes with
+    the session's folder, if nobody removed it before.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if _staged.get() is not None:
         _staged.get().append(path)
     df.write.parquet(path)
-    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path), size_of(spark, path)
 
 
