@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystone.llm.common import read, ship
 from tallystone.llm.decontaminate import drop_contaminated
 from tallystone.llm.exact_dedup import drop_copies
-from tallystone.llm.mixing import MIX_COLUMNS, mixed
+from tallystone.llm.mixing import with_places
 from tallystone.llm.near_join import drop_near_copies
 from tallystone.llm.toxicity import drop_toxic
-from tallystone.sources.files import stage
+from tallystone.sources.files import scratch_path, staged_for_now
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each with its place in the mix of sources."""
-    return mixed(docs).select("row.*", *MIX_COLUMNS)
+    """All documents, each with its place in the mix of sources; columns of documents that are named
+    like those of the mix give way."""
+    ship(spark)
+    return with_places(docs)
 
 
 STAGES = [
@@ -59,5 +61,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        # Of what a stage writes on its way only its result is kept.
+        target = scratch_path(spark, f"pipeline-{name}")
+        with staged_for_now(spark):
+            step(spark, docs, sf_dir).write.parquet(target)
+        docs = spark.read.parquet(target)
     return STAGES[-1][1](spark, docs, sf_dir)
