@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tallystone.llm.common import WORD_TABLE, packed, read, stage, text_of, with_columns_of
+from tallystone.llm.common import WORD_TABLE, lean, packed, read, stage, text_of, with_columns_of
 from tallystone.llm.words import pieces
 
 K = 20
@@ -238,7 +238,7 @@ def _vectors(docs: DataFrame, text_column: str, shared) -> DataFrame:
             )
 
     key = docs.select([c for c in docs.columns if c != text_column][0])
-    return packed(docs).mapInArrow(run, with_columns_of(key, ("n", "long"), ("terms", "array<int>"), ("tfs", "array<long>")))
+    return packed(docs).mapInArrow(lean(run), with_columns_of(key, ("n", "long"), ("terms", "array<int>"), ("tfs", "array<long>")))
 
 
 def _chunks(batches):
@@ -294,7 +294,7 @@ def _search_block(docs: DataFrame, text_column: str, block: list[tuple[object, b
             ids = pa.StructArray.from_arrays([pa.array(keys, kind.type)], fields=[kind])
             yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.int32()), pa.array(scores, pa.int64())], names=["row", "item", "score"])
 
-    hits = vectors.mapInArrow(run, StructType([vectors.schema["row"], StructField("item", IntegerType()), StructField("score", LongType())]))
+    hits = vectors.mapInArrow(lean(run), StructType([vectors.schema["row"], StructField("item", IntegerType()), StructField("score", LongType())]))
     place = Window.partitionBy("item").orderBy(F.desc("score"), F.expr(f"row.`{key_field.name}`").asc_nulls_last())
     ranked = hits.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     names = spark.createDataFrame(list(enumerate(items)), StructType([StructField("item", IntegerType()), StructField("name", item_field.dataType)]))

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import mix, packed, read, stage, text_of
+from tallystone.llm.common import lean, mix, packed, read, stage, text_of
 from tallystone.llm.words import named
 
 TOP, MIN_COUNT, SHARE, SCALE = 2000, 10, 50, 1_000_000
@@ -41,7 +41,7 @@ TABLE = bytes(
     b + 32 if 65 <= b < 91 else LINE if chr(b) in ".,;:!?\n\x0b\x0c\r" else BLANK if b in (9, 32) else b for b in range(256)
 )
 #: Texts are put together up to this size, by language, before their phrases are combined.
-BUFFER, ALL_BUFFERS = 8 << 20, 32 << 20
+BUFFER, ALL_BUFFERS = 8 << 20, 16 << 20
 #: A filter has 2^23 places of four bits.
 SLOT_BITS = 23
 FREQUENT, WORTH, LEADS, ENDS = 1, 2, 4, 8
@@ -96,7 +96,7 @@ def _word_counts(docs: DataFrame, seed: int, min_count: int) -> DataFrame:
             yield from _rows(["name", "lang", "word", "n"], found, pa.array([lang] * len(found), pa.string()), words, counts)
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([lang]), pa.array([None], pa.string()), pa.array([len(names)], pa.int64())], names=["name", "lang", "word", "n"])
 
-    found = packed(docs).mapInArrow(run, "name long, lang string, word string, n long")
+    found = packed(docs).mapInArrow(lean(run), "name long, lang string, word string, n long")
     summed = found.groupBy("name", "lang").agg(F.sum("n").alias("f"), F.min("word").alias("word"), F.max("word").alias("other"))
     clash = F.coalesce(F.col("word") != F.col("other"), F.lit(False))
     summed = summed.select("name", "lang", "f", "word", clash.alias("clash"))
@@ -131,7 +131,7 @@ def _filter(marked: DataFrame) -> np.ndarray:
             bits = flags << (np.uint64(4) * (slots & np.uint64(15)))
             yield pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(4)).astype(np.int32)), pa.array(bits.view(np.int64))], names=["place", "bits"])
 
-    packed_bits = marked.mapInArrow(run, "place int, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    packed_bits = marked.mapInArrow(lean(run), "place int, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (SLOT_BITS - 4), np.uint64)
     out[packed_bits.column(0).to_numpy()] = packed_bits.column(1).to_numpy().view(np.uint64)
     return out
@@ -159,7 +159,7 @@ def _pair_counts(docs: DataFrame, words: DataFrame, seed: int, min_count: int) -
             codes, counts = np.unique(place[at] * len(found) + place[at + 1], return_counts=True)
             yield from _rows(["x", "y", "n"], found[codes // len(found)], found[codes % len(found)], counts)
 
-    pairs = packed(docs).mapInArrow(run, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("f"))
+    pairs = packed(docs).mapInArrow(lean(run), "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("f"))
     out = stage(pairs.where(F.col("f") >= min_count), "phrase-pairs")
     shared.destroy()
     return out
@@ -189,7 +189,7 @@ def _triple_counts(docs: DataFrame, pairs: DataFrame, seed: int, min_count: int)
             first = pair[codes // len(found)]
             yield from _rows(["x", "y", "z", "n"], found[first // len(found)], found[first % len(found)], found[codes % len(found)], counts)
 
-    triples = packed(docs).mapInArrow(run, "x long, y long, z long, n long").groupBy("x", "y", "z").agg(F.sum("n").alias("f"))
+    triples = packed(docs).mapInArrow(lean(run), "x long, y long, z long, n long").groupBy("x", "y", "z").agg(F.sum("n").alias("f"))
     out = stage(triples.where(F.col("f") >= min_count), "phrase-triples")
     shared.destroy()
     return out

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tallystone.sources.files import stage
 
-__all__ = ["WORD_TABLE", "about", "components", "fold", "packed", "read", "ship", "stage", "text_of", "with_columns_of", "word_hashes"]
+__all__ = ["WORD_TABLE", "about", "components", "fold", "lean", "packed", "read", "ship", "stage", "text_of", "with_columns_of", "word_hashes"]
 
 # A-Z become a-z, 0-9, a-z and all non-ASCII bytes stay, anything else is a blank.
 WORD_TABLE = bytes(
@@ -29,11 +29,17 @@ _powers: dict[int, np.ndarray] = {}
 
 
 _shipped: set[str] = set()
+#: Rows of a batch that goes to a Python worker: what worker and JVM hold of long texts at once.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the tasks of the session, wherever they run."""
+    """Make this package importable in the tasks of the session, wherever they run, and bound the
+    batches that go to Python workers."""
     context = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
@@ -50,6 +56,32 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def lean(run):
+    """A function of batches that leaves its worker small: what it used goes back to the machine when
+    it ends, since the worker waits for the next task with all it holds."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
+def _give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """All columns in one struct named row, so that no name can clash with an added column."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import WORD_TABLE, mix, packed, read, text_of, with_columns_of, word_hashes
+from tallystone.llm.common import WORD_TABLE, lean, mix, packed, read, text_of, with_columns_of, word_hashes
 
 WINDOW = 10
 MAX_SLICE_BYTES = 16 << 20
@@ -156,8 +156,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_
 
     out, more = packed(docs), False
     for held in _slices(benchmark, item_column, text_column, max_slice_bytes):
-        out, more = out.mapInArrow(scanner(context.broadcast(held), more), schema), True
-    return out if more else out.mapInArrow(scanner(context.broadcast([]), False), schema)
+        out, more = out.mapInArrow(lean(scanner(context.broadcast(held), more)), schema), True
+    return out if more else out.mapInArrow(lean(scanner(context.broadcast([]), False)), schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -191,7 +191,7 @@ def cut_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "
             texts = [without_words(t, s).decode() for t, s in zip(text_of(batch.column(0), text_column), spans, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "cut"])
 
-    cut = found.mapInArrow(run, with_columns_of(docs, ("cut", "string")))
+    cut = found.mapInArrow(lean(run), with_columns_of(docs, ("cut", "string")))
     null = F.col(f"row.`{text_column}`").isNull()
     return cut.select(*[(F.when(~null, F.col("cut")) if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

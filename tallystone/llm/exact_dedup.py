@@ -23,7 +23,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import packed, read, stage, text_of, with_columns_of
+from tallystone.llm.common import lean, packed, read, stage, text_of, with_columns_of
 
 BLOCK_BYTES = 4096
 SPACES = b" \t\n\x0b\x0c\r"
@@ -94,12 +94,12 @@ def _first_blocks(block_bytes: int):
 def name_documents(docs: DataFrame, text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
     """(rows, names): rows (row, rid, points, sha, reps) stored; names (rid, level, name), equal for equal texts."""
     rows = packed(docs).mapInArrow(
-        _numbered(text_column, block_bytes),
+        lean(_numbered(text_column, block_bytes)),
         with_columns_of(docs, ("rid", "long"), ("points", "long"), ("sha", "string"), ("reps", "array<long>")),
     )
     rows = stage(rows, "named-rows")
     # Level 0: sorting brings equal blocks of different batches together.
-    blocks = rows.select("rid", "reps", F.col(f"row.`{text_column}`").alias("text")).mapInArrow(_first_blocks(block_bytes), "rep long, block binary")
+    blocks = rows.select("rid", "reps", F.col(f"row.`{text_column}`").alias("text")).mapInArrow(lean(_first_blocks(block_bytes)), "rep long, block binary")
     renamed = blocks.select("rep", F.first("rep").over(Window.partitionBy("block").orderBy("rep")).alias("name")).where("name <> rep")
     found = rows.select("rid", F.size("reps").alias("n"), F.posexplode("reps").alias("pos", "rep"))
     now = stage(found.join(renamed, "rep", "left").select("rid", "n", "pos", F.coalesce("name", "rep").alias("name")), "names-0")

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import WORD_TABLE, packed, read, text_of, with_columns_of
+from tallystone.llm.common import WORD_TABLE, lean, packed, read, text_of, with_columns_of
 from tallystone.llm.words import pieces
 
 MAX_STATES = 20_000
@@ -335,7 +335,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
                 names=["row", "n_words", "base", "accepted"],
             )
 
-    return packed(docs).mapInArrow(run, schema)
+    return packed(docs).mapInArrow(lean(run), schema)
 
 
 def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -12,13 +12,17 @@ position and the others keep their proportions; on_target tells the part, in who
 for which no source has run out. The final position is a closed form of slot and source sizes:
 nothing is sorted as a whole.
 
-Only DataFrame functions are used. Numbering works on ranges of ids within a source, of about
-rows_per_range rows, so that a source with a third of all rows is many small groups. The pattern
-has as many entries as the sum of the weights, which the weight levels bound per source; it does
-not grow with the rows.
-
-Defined cases: a null source is a source of its own; null ids come first; rows with equal ids
-stand in the order of a hash of their content; sources without a given weight weigh 1; an empty table gives an empty one.
+Only DataFrame functions are used. Rows are numbered by one range partitioning by source, id and a
+hash of the content: Spark samples its bounds, so that a source with a third of all rows, one far-off
+id, null ids or many equal ids are spread like all else. The sorted rows are stored with their places,
+and a place in the source follows from the rows in the partitions before. The pattern has as many
+entries as the sum of the weights, which the weight levels bound per source; it does not grow with
+the rows.
+
+Defined cases: a null source is a source of its own; null ids come first; ids may have any type that
+sorts; rows with equal ids stand in the order of a hash of their content; sources without a given weight
+weigh 1; an empty table gives an empty one. with_places gives its columns their names even where docs
+have such columns: those give way.
 """
 
 from __future__ import annotations
@@ -30,7 +34,6 @@ from tallystone.llm.common import packed, read, stage
 
 BLOCK_ROWS = 16
 LEVELS = 20
-ROWS_PER_RANGE = 1024
 
 
 def _pattern(plan: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def _pattern(plan: DataFrame) -> DataFrame:
     return each.select("slot", "s", counts.alias("before")).withColumn("k", F.element_at("before", F.col("s") + 1)).select("s", "k", "slot", "before")
 
 
-def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column: str = "source", id_column: str = "doc_id", block_rows: int = BLOCK_ROWS, levels: int = LEVELS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column: str = "source", id_column: str = "doc_id", block_rows: int = BLOCK_ROWS, levels: int = LEVELS, rows_per_range: int | None = None) -> DataFrame:
     """(row, block, slot, release, deadline, position, on_target) for each row of docs.
 
     Without weights a source weighs 1 + (levels - 1) * sqrt(rows / most rows), rounded down: large
@@ -66,7 +69,7 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
         F.coalesce(F.concat(F.lit("s"), F.col(f"row.`{source_column}`")), F.lit("n")).alias("key"),
         F.col(f"row.`{id_column}`").alias("id"),
     )
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").cast("double").alias("low"), F.max("id").cast("double").alias("high"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
     everything = Window.partitionBy(F.lit(1))  # sources, not rows
     if weights is None:
         weight = F.floor(1 + (levels - 1) * F.sqrt(F.col("n") / F.max("n").over(everything))).cast("int")
@@ -76,8 +79,7 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
     plan = stage(
         sizes.withColumn("q", weight)
         .withColumn("s", F.row_number().over(everything.orderBy("key")) - 1)
-        .withColumn("blocks", F.ceil(F.col("n") / block_rows))
-        .withColumn("ranges", F.ceil(F.col("n") / rows_per_range)),
+        .withColumn("blocks", F.ceil(F.col("n") / block_rows)),
         "mix-plan",
     )
     all_sources = plan.agg(
@@ -87,17 +89,19 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
     )
     pattern = stage(_pattern(plan).withColumn("one", F.lit(1)).join(all_sources.withColumn("one", F.lit(1)), "one").drop("one"), "mix-pattern")
 
-    # Number the rows of a source: first within ranges of ids, then by the sizes of the ranges before.
-    width = F.greatest((F.col("high") - F.col("low") + 1) / F.col("ranges"), F.lit(1.0))
-    near = rows.join(plan.select("key", "s", "q", "low", "high", "ranges"), "key").select(
-        "row", "id", "s", "q", F.coalesce(F.floor((F.col("id").cast("double") - F.col("low")) / width), F.lit(-1)).alias("range")
-    )
-    counts = near.groupBy("s", "range").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("s", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    # Rows with equal ids are told apart by their content, so that a repeated task gives the same order.
-    own = F.row_number().over(Window.partitionBy("s", "range").orderBy(F.col("id").asc_nulls_first(), F.xxhash64("row")))
-    numbered = near.withColumn("own", own).join(offsets, ["s", "range"]).withColumn("at", F.col("offset") + F.col("own") - 1)
+    # Sorted by source, id and content over all partitions; a row's number holds partition and place.
+    order = [F.col("s"), F.col("id").asc_nulls_first(), F.col("own")]
+    keyed = rows.join(plan.select("key", "s", "q"), "key").select("row", "id", "s", "q", F.xxhash64("row").alias("own"))
+    parts = []
+    if rows_per_range is not None:
+        parts = [max(1, -(-(plan.agg(F.sum("n")).first()[0] or 0) // rows_per_range))]
+    sorted_rows = keyed.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
+    near = stage(sorted_rows.select("row", "s", "q", F.monotonically_increasing_id().alias("number")), "mix-rows")
+    part = F.shiftright("number", 33)
+    counts = near.groupBy("s", part.alias("part")).agg(F.count("*").alias("n"), F.min("number").alias("first"))
+    earlier = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("s", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("offset"))
+    numbered = near.withColumn("part", part).join(offsets, ["s", "part"]).withColumn("at", F.col("offset") + F.col("number"))
     numbered = numbered.withColumn("block", F.floor(F.col("at") / block_rows)).withColumn("k", (F.col("block") % F.col("q")).cast("int"))
 
     cycle = F.floor(F.col("block") / F.col("q"))
@@ -117,8 +121,14 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
 MIX_COLUMNS = ("block", "slot", "release", "deadline", "position", "on_target")
 
 
+def with_places(docs: DataFrame, **options) -> DataFrame:
+    """The columns of docs that are not named like those of the mix, then those."""
+    own = [f"row.`{c}`" for c in docs.columns if c.lower() not in MIX_COLUMNS]
+    return mixed(docs, **options).select(*[F.col(c) for c in own], *MIX_COLUMNS)
+
+
 def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(read(spark, sf_dir, "documents", "doc_id", "source")).select("row.*", *MIX_COLUMNS)
+    return with_places(read(spark, sf_dir, "documents", "doc_id", "source"))
 
 
 OP7_SQL = f"""

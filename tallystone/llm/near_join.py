@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import components, mix, packed, read, stage, text_of, with_columns_of, word_hashes
+from tallystone.llm.common import components, lean, mix, packed, read, stage, text_of, with_columns_of, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -206,7 +206,7 @@ def linked_rows(docs: DataFrame, text_column: str = "text", id_column: str = "do
     then smallest id, then first stored.
     """
     schema = with_columns_of(docs, ("rid", "long"), ("digest", "binary"), ("size", "long"), ("keys", "array<long>"))
-    rows = stage(packed(docs).mapInArrow(_signed(text_column, words, trees, depth), schema), "signed-rows")
+    rows = stage(packed(docs).mapInArrow(lean(_signed(text_column, words, trees, depth)), schema), "signed-rows")
     seen = rows.where("size > 0")
     # One representative per distinct set: its smallest rid.
     sets = stage(seen.groupBy("digest").agg(F.min("rid").alias("rep"), F.count("*").alias("copies"), F.min("size").alias("size")), "sets")
@@ -227,12 +227,12 @@ def linked_rows(docs: DataFrame, text_column: str = "text", id_column: str = "do
     # Candidates may be a large share of all documents: shuffled at any size, never broadcast.
     facts = members.join(weight, "comp").join(texts.hint("merge"), members["rep"] == texts["rid"])
     facts = facts.select("comp", "rep", "copies", "chunks", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("own"), "text")
-    sized = facts.mapInArrow(_with_shingles(words), "comp long, rep long, copies long, chunks int, own int, shingles binary")
+    sized = facts.mapInArrow(lean(_with_shingles(words)), "comp long, rep long, copies long, chunks int, own int, shingles binary")
     pieces = sized.select("*", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other")).select(
         "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "copies", (F.col("own") <= F.col("other")).alias("first"), "shingles"
     )
     pieces = pieces.repartition(F.col("comp"), F.col("i"), F.col("j")).sortWithinPartitions("comp", "i", "j")
-    links = stage(pieces.mapInArrow(_chunk_links(threshold), "rid long, links long, root long"), "links")
+    links = stage(pieces.mapInArrow(lean(_chunk_links(threshold)), "rid long, links long, root long"), "links")
     joined = components(links.select(F.col("rid").alias("a"), F.col("root").alias("b")), "classes")
     degree = links.groupBy("rid").agg(F.sum("links").alias("links"))
     of_sets = (

@@ -160,7 +160,8 @@ _WRITTEN = f"""case t.kind
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY, text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """The columns of docs with the text replaced, then a struct `replaced` of counts per kind."""
+    """The columns of docs with the text replaced, then a struct `replaced` of counts per kind; a
+    column of that name in docs gives way."""
     name = f"`{text_column}`"
     any_pattern, secret = _quoted(ANY), _quoted(key)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -180,7 +181,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text_column: str = "text", ro
     text = F.expr(f"if(size(written) = 0, text, concat_ws('', zip_with(split(text, {any_pattern}, -1), written, (p, w) -> concat(p, coalesce(w, '')))))")
     counts = [F.expr(f"cast(size(filter(found, t -> t.kind = '{k}')) as bigint)").alias(k) for k in KINDS]
     out = steps.select("row", text.alias("text"), F.struct(*counts).alias("replaced"))
-    return out.select(*[(F.col("text") if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in docs.columns], "replaced")
+    return out.select(*[(F.col("text") if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c.lower() != "replaced"], "replaced")
 
 
 def _in(body: str) -> str:

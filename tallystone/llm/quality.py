@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import about, fold, packed, read, text_of, with_columns_of
+from tallystone.llm.common import about, fold, lean, packed, read, text_of, with_columns_of
 
 SAMPLE, SAMPLE_CHUNKS = 1500, 6
 THRESHOLD = 0.7
@@ -175,7 +175,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chunk
                 [batch.column(1).cast(pa.int32()), batch.column(2), pa.array(pieces, pa.binary()), pa.array(shares, pa.list_(pa.float64()))], names=["y", "at", "chunks", "shares"]
             )
 
-    found = rows.select("text", "y", "at").mapInArrow(spread, "y int, at long, chunks binary, shares array<double>").toPandas().sort_values("at")
+    found = rows.select("text", "y", "at").mapInArrow(lean(spread), "y int, at long, chunks binary, shares array<double>").toPandas().sort_values("at")
     y = found["y"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         net = Network.fresh()
@@ -198,7 +198,7 @@ def scored(docs: DataFrame, net: Network, text_column: str = "text") -> DataFram
             scores = [net.score(text_of(batch.column(0).slice(at, 128), text_column)) for at in range(0, batch.num_rows, 128)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*scores, np.zeros(0)]))], names=["row", "score"])
 
-    return packed(docs).mapInArrow(run, with_columns_of(docs, ("score", "double")))
+    return packed(docs).mapInArrow(lean(run), with_columns_of(docs, ("score", "double")))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,12 +7,14 @@ keyboard walks and brute-force spans, and if even that takes too many guesses fo
 person would write there, the value is a secret.
 
 Costs are decimal logarithms of guesses; a sequence costs the sum of its segments and a charge
-for each. Work is linear in the value's length, whatever that is. Word ranks come from a public
-vocabulary file (a parameter) and are broadcast; their number is that of the file.
+for each. Words may have any length the vocabulary has. Work is linear in the value's length but for
+the search of repeats, which compares it with itself at every distance up to LONGEST_UNIT. Word ranks
+come from a public vocabulary file (a parameter) and are broadcast; their number is that of the file.
 
 Defined cases: null is empty; empty texts have no span and the digest of the empty string;
-equal rows give equal rows; positions are code points, end exclusive; values that touch a base
-span are not reported again; other columns are ignored.
+equal rows give equal rows; positions are code points, end exclusive; what a base span holds of a
+value is not reported again; in a list of pairs (a=b;c=d) each value ends before the next name; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ import base64
 import hashlib
 import math
 import re
+from bisect import bisect_right
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from tallystone.llm.common import read
@@ -31,7 +35,10 @@ MIN_COST = 8.0
 MIN_VALUE = 6
 SEGMENT = 0.5
 REFERENCE_YEAR = 2025
-LONGEST_WORD, LONGEST_UNIT = 20, 16
+#: Repeats are sought for units up to this length at all places, and for any unit over the whole value.
+LONGEST_UNIT = 2048
+#: Up to this length repeats inside longer repeats are kept as segments too.
+SHORT_UNIT = 16
 
 _FLAGS = re.IGNORECASE | re.ASCII
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _FLAGS)
@@ -42,6 +49,8 @@ NAMED = re.compile(
     _FLAGS,
 )
 IN_URL = re.compile(r"://[^\s:/@]+:([^\s/@]+)@")
+#: Where the next of several pairs begins: its name and sign follow.
+NEXT_PAIR = re.compile(r"[&;,](?=[A-Za-z_][A-Za-z0-9_.-]*(?:=>|[:=]))")
 #: Texts without a match of this have no match of any pattern above.
 ANY = r"(?i:pass|pwd|secret|token|key|credential|auth|://)|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
 KINDS = ("assign", "access", "hex", "guess")
@@ -95,11 +104,24 @@ def _date_cost(parts: tuple[str, str, str]) -> float | None:
     return min(costs, default=None)
 
 
+def _period(value: str) -> int:
+    """The shortest unit that the whole value repeats, by its prefix function."""
+    border = [0] * len(value)
+    k = 0
+    for i in range(1, len(value)):
+        while k and value[i] != value[k]:
+            k = border[k - 1]
+        k += value[i] == value[k]
+        border[i] = k
+    return len(value) - k
+
+
 class GuessCost:
     """Cheapest segmentation of a value."""
 
     def __init__(self, ranks: dict[str, int]):
         self.ranks = ranks
+        self.longest = max(map(len, ranks), default=0)
 
     def _words(self, value: str):
         low = value.lower()
@@ -107,7 +129,7 @@ class GuessCost:
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
         plain = "".join(LEET.get(c, c) for c in low)
         for i in range(len(value)):
-            for j in range(i + 3, min(len(value), i + LONGEST_WORD) + 1):
+            for j in range(i + 3, min(len(value), i + self.longest) + 1):
                 best = None
                 rank = self.ranks.get(low[i:j])
                 if rank:
@@ -163,17 +185,24 @@ class GuessCost:
             i = max(i + 1, j - 1)
 
     def _repeats(self, value: str):
+        codes = np.array([ord(c) for c in value], np.uint32)
+        held: list[tuple[int, int]] = []
         for unit in range(1, min(LONGEST_UNIT, len(value) // 2) + 1):
-            i = 0
-            while i + unit < len(value):
-                j = i + unit
-                while j < len(value) and value[j] == value[j - unit]:
-                    j += 1
+            same = np.flatnonzero(np.diff(codes[unit:] == codes[:-unit], prepend=False, append=False))
+            # A stretch of equal characters at that distance, at least a unit long, is a repeat.
+            for i, j in zip(same[::2].tolist(), (same[1::2] + unit).tolist(), strict=True):
                 times = (j - i) // unit
-                if times >= 2 and times * unit >= 3:
-                    inner, _ = self._cheapest(value[i : i + unit], False)
-                    yield i, i + times * unit, inner + math.log10(times), "repeat"
-                i = max(i + 1, j - unit + 1)
+                if times < 2 or times * unit < 3 or (unit > SHORT_UNIT and any(a <= i and j <= b for a, b in held)):
+                    continue
+                held.append((i, j))
+                inner, _ = self._cheapest(value[i : i + unit], False)
+                yield i, i + times * unit, inner + math.log10(times), "repeat"
+        if len(value) > 2 * LONGEST_UNIT:
+            unit = _period(value)
+            if LONGEST_UNIT < unit <= len(value) // 2:
+                inner, _ = self._cheapest(value[:unit], False)
+                times = len(value) // unit
+                yield 0, times * unit, inner + math.log10(times), "repeat"
 
     def segments(self, value: str, repeats: bool = True):
         """All (start, end, cost, kind) that may be part of a segmentation, but for brute force."""
@@ -220,17 +249,44 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def guess_spans(text: str, costs: GuessCost, base: list[tuple[int, int, str]], min_cost: float = MIN_COST) -> list[tuple[int, int, str]]:
-    """Values in credential contexts that cost at least min_cost and touch no base span."""
+def _outside(start: int, end: int, covered: list[tuple[int, int]]):
+    """What of a span is left beside merged, sorted spans."""
+    k = max(0, bisect_right(covered, (start, math.inf)) - 1)
+    while k < len(covered) and covered[k][0] < end:
+        a, b = covered[k]
+        if b > start:
+            if start < a:
+                yield start, a
+            start = b
+        k += 1
+    if start < end:
+        yield start, end
+
+
+def guess_spans(text: str, costs: GuessCost, base: list[tuple[int, int, str]], min_cost: float = MIN_COST, min_value: int = MIN_VALUE) -> list[tuple[int, int, str]]:
+    """Values in credential contexts that cost at least min_cost.
+
+    A value ends where the next pair of a list of pairs begins, and what base spans hold of it is
+    theirs: the rest is weighed, and the search goes on behind the value.
+    """
+    covered: list[tuple[int, int]] = []
+    for a, b, _ in base:
+        if covered and a <= covered[-1][1]:
+            covered[-1] = (covered[-1][0], max(b, covered[-1][1]))
+        else:
+            covered.append((a, b))
     found = set()
     for pattern in (NAMED, IN_URL):
-        for m in pattern.finditer(text):
-            value = m[1].rstrip(".,;:!?)]}>")
-            start, end = m.start(1), m.start(1) + len(value)
-            if len(value) < MIN_VALUE or any(a < end and start < b for a, b, _ in base):
-                continue
-            if costs.cost(value) >= min_cost:
-                found.add((start, end, "guess"))
+        at = 0
+        while m := pattern.search(text, at):
+            start, end = m.span(1)
+            if pattern is NAMED and (cut := NEXT_PAIR.search(text, start, end)):
+                end = cut.start()
+            at = max(end, start)
+            for a, b in _outside(start, end, covered):
+                value = text[a:b].rstrip(".,;:!?)]}>")
+                if len(value) >= min_value and costs.cost(value) >= min_cost:
+                    found.add((a, a + len(value), "guess"))
     return sorted(found)
 
 
@@ -238,7 +294,7 @@ def _told(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", word_file: str = WORD_FILE, min_cost: float = MIN_COST) -> DataFrame:
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", word_file: str = WORD_FILE, min_cost: float = MIN_COST, min_value: int = MIN_VALUE) -> DataFrame:
     """Per document: counts of each kind, digest of the base spans, and all spans."""
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(word_file))
     kind = docs.schema[id_column].dataType.simpleString()
@@ -258,7 +314,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             for i in rows:
                 text = batch.column(1)[i].as_py()
                 base = base_spans(text)
-                more = guess_spans(text, costs, base, min_cost)
+                more = guess_spans(text, costs, base, min_cost, min_value)
                 for _, _, k in [*base, *more]:
                     counts[k][i] += 1
                 digests[i] = hashlib.sha256(_told(base).encode()).hexdigest()

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import WORD_TABLE, about, fold, packed, read, text_of, with_columns_of
+from tallystone.llm.common import WORD_TABLE, about, fold, lean, packed, read, text_of, with_columns_of
 
 #: Labelled toxic and ordinary documents to learn from.
 SAMPLE = (2_500, 5_000)
@@ -258,8 +258,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE,
     spark = docs.sparkSession
     rows, totals = _sampled(docs, labels, sample, divisor, held, id_column, text_column)
     sums = [F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")]
-    words = rows.select("text", "is_toxic", "half").mapInArrow(_word_counts, "word binary, half int, toxic long, ordinary long").groupBy("word", "half").agg(*sums)
-    found = words.mapInArrow(_gram_counts, "gram long, half int, toxic long, ordinary long").groupBy("gram", "half").agg(*sums).toArrow()
+    words = rows.select("text", "is_toxic", "half").mapInArrow(lean(_word_counts), "word binary, half int, toxic long, ordinary long").groupBy("word", "half").agg(*sums)
+    found = words.mapInArrow(lean(_gram_counts), "gram long, half int, toxic long, ordinary long").groupBy("gram", "half").agg(*sums).toArrow()
     grams = found["gram"].to_numpy().view(np.uint64)
     counts = np.array([found[c].to_numpy() for c in ("toxic", "ordinary")])
     halves = [found["half"].to_numpy() == h for h in (0, 1)]
@@ -286,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE,
                 at += len(texts)
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1).cast(pa.int32())], names=["x", "y"])
 
-    seen = rows.mapInArrow(measure, "x array<double>, y int").toPandas()
+    seen = rows.mapInArrow(lean(measure), "x array<double>, y int").toPandas()
     crosswise.destroy()
     y = seen["y"].to_numpy(float)
     mean, scale, w = _fit(np.stack(seen["x"].to_list()), y)
@@ -313,7 +313,7 @@ def scored(docs: DataFrame, learnt, passages: tuple[int, ...] = PASSAGES, text_c
                     scores.append(np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["row", "score"])
 
-    return packed(docs).mapInArrow(run, with_columns_of(docs, ("score", "double")))
+    return packed(docs).mapInArrow(lean(run), with_columns_of(docs, ("score", "double")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pytest
-from llm_support import CLASHES, SF, clashing, docs_of, shipped  # noqa: F401
+from llm_support import SF, clashing, docs_of, shipped  # noqa: F401
 from test_dedup_and_near import brute_exact, brute_near
 from test_warc_mix_decontaminate import brute_hits
 
 from tallystone.llm import toxicity
 from tallystone.llm.common import read
+from tallystone.llm.mixing import MIX_COLUMNS
 
 
 @pytest.fixture(scope="module")
@@ -64,4 +65,5 @@ def test_stages_on_odd_tables(shipped, rows):  # noqa: F811
         out = step(shipped, docs, SF)
         assert out.columns == docs.columns
         out.count()
-    assert corpus_pipeline.STAGES[-1][1](shipped, docs.drop(*[c.split()[0] for c in CLASHES.split(", ")]), SF).count() == len(rows)
+    last = corpus_pipeline.STAGES[-1][1](shipped, docs.selectExpr("*", "1 as Position", "2 as slot"), SF)
+    assert last.count() == len(rows) and [c for c in last.columns if c not in MIX_COLUMNS] == [c for c in docs.columns if c not in MIX_COLUMNS]

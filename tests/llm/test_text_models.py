@@ -76,6 +76,36 @@ def test_secret_patterns_and_contexts(shipped):  # noqa: F811
     assert secret_scan.scan(docs_of(shipped, [])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ("Pwd=S3cr!t9xQ#;Token=abcdefghijkl12", "guess:4:14,assign:15:35"),
+        ("?auth=K9$wq!z7Lp&token=abcdefghijkl12", "guess:6:16,assign:17:37"),
+        ("Pwd=S3cr!t9xQ#;user=x", "guess:4:14"),
+        ("pwd=x7Kq!9zPw2,secret=y8Lr!0aQx3", "guess:4:14,guess:22:32"),
+        ("auth=q8Zw!5tRk2~0123456789abcdef~m4Xc!7bYn1", "guess:5:16,hex:16:32,guess:32:43"),
+        ("pwd=a;b=c", ""),
+        ("db://me:x7Kq;9z=Pw2@h/?pwd=u6Jd!3fGs9&x=1", "guess:8:19,guess:27:37"),
+        ("pwd=S3cr;t9xQ#w.", "guess:4:15"),
+    ],
+)
+def test_no_secret_of_a_list_of_pairs_is_lost(text, spans):
+    costs = secret_scan.GuessCost(secret_scan.load_ranks())
+    base = secret_scan.base_spans(text)
+    found = sorted([*base, *secret_scan.guess_spans(text, costs, base)], key=lambda s: (s[0], secret_scan.KINDS.index(s[2])))
+    assert secret_scan._told(found) == spans
+
+
+def test_repeats_of_any_unit_and_words_of_any_length():
+    costs = secret_scan.GuessCost({"incomprehensibilities" * 2: 5})
+    assert costs.cost("incomprehensibilities" * 2) == pytest.approx(secret_scan.SEGMENT + math.log10(5))
+    rng = random.Random(3)
+    for size in (17, 100, 3000):
+        unit = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz!#", k=size))
+        assert costs.cost(unit * 3) < 2 * costs.cost(unit)
+        assert any(kind == "repeat" and b - a == 3 * size for a, b, kind in costs.path(unit * 3))
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     costs = secret_scan.GuessCost(secret_scan.load_ranks())
     for value in ("P4ssw0rd1", "qwerty12", "abcabca", "1985x12", "Aa1!aaa", "drow12ss", "2024-1-5"):
@@ -404,8 +434,10 @@ def plain_pseudonym(m, key):
         return "date", ("-" if form == "ymd" else "/" if "/" in m else ".").join(part[c] for c in form)
     if len(digits) <= 11:
         values = digits[-10:]
-        low = [2 if i in (0, 3) else 0 for i in range(10)]
-        out = [x + y for x, y in zip(feistel([v - x for v, x in zip(values, low, strict=True)], [8 if x else 10 for x in low], "phone", key), low, strict=True)]
+        # A first digit of area code or exchange stays among 0 and 1, or among 2 to 9.
+        low = [2 if i in (0, 3) and values[i] >= 2 else 0 for i in range(10)]
+        radices = [(8 if x else 2) if i in (0, 3) else 10 for i, x in enumerate(low)]
+        out = [x + y for x, y in zip(feistel([v - x for v, x in zip(values, low, strict=True)], radices, "phone", key), low, strict=True)]
         kind, new = "phone", digits[:-10] + out
     elif luhn(digits):
         body = feistel(digits[:-1], [10] * (len(digits) - 1), "card", key)

@@ -104,6 +104,20 @@ def test_mix_edges(shipped):  # noqa: F811
     assert mixing.mixed(docs_of(shipped, [])).count() == 0
 
 
+def test_mix_of_other_ids_and_of_an_outlier(shipped):  # noqa: F811
+    """Ids of any type are numbered in their order; one far-off id, equal and null ids are spread."""
+    plain = docs_of(shipped, [*[(i, "t") for i in range(300)], (2**60, "far"), *[(7, f"t{i}") for i in range(100)], *[(None, f"n{i}") for i in range(50)]])
+    rows = mixing.mixed(plain, rows_per_range=40).collect()
+    ids = [r.row.doc_id for r in sorted(rows, key=lambda r: r.position)]
+    assert ids == [None] * 50 + sorted(i for i in ids if i is not None) and len(ids) == 451
+    named = plain.selectExpr("concat('id-', lpad(cast(doc_id as string), 20, '0')) as doc_id", "text", "source")
+    rows = mixing.mixed(named, rows_per_range=40).collect()
+    ids = [r.row.doc_id for r in sorted(rows, key=lambda r: r.position)]
+    assert ids == [None] * 50 + sorted(i for i in ids if i is not None) and sorted(r.position for r in rows) == list(range(451))
+    clash = mixing.with_places(plain.selectExpr("*", "1 as position", "2 as Slot"))
+    assert clash.columns == [*plain.columns, *mixing.MIX_COLUMNS] and clash.count() == 451
+
+
 def test_mix_is_dataframe_functions_only(shipped):  # noqa: F811
     plan = mixing.mixed(sources(shipped, {"a": 5, "b": 4}))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
