@@ -52,7 +52,8 @@ class Settings:
                  through when no other id is quarantined (three-valued NOT IN).
     verify       how a loaded partition is compared with its source file:
                  ``row_count`` or ``checksum``.
-    multiline_csv  allow line breaks inside quoted values; such files are not split.
+    multiline_csv  allow line breaks inside quoted values; such files are split between records,
+                 or read in one piece where quotes stand inside unquoted values.
     retract      rewrite earlier Silver dates when a later file repeats their ids.
     skippable    log models whose SKIPPED status does not hold back the watermark.
     hot_rows     a key with this many rows is joined by broadcast and its rows are

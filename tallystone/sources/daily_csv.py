@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tallystone.schemas import SOURCE_COLUMNS, bronze_schema, text_schema
 from tallystone.settings import Settings
 from tallystone.sources import files
+from tallystone.sources.split_csv import LOOSE, read_split
 
 DAY = r"\d{4}-\d{2}-\d{2}"
 
@@ -97,25 +98,19 @@ def check_headers(
         return list(pool.map(check, deliveries))
 
 
-def read_deliveries(
-    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
-) -> DataFrame:
-    """All-text rows of checked deliveries with ``_source_file`` and ``date``.
-
-    The header of every part file is compared again while it is read, so a folder whose
-    parts disagree fails instead of being read by position."""
-    return _parsed(spark, entity, deliveries, cfg, ())
-
-
 def read_audited(
-    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings
+    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings, whole: bool = False
 ) -> DataFrame:
-    """The same, and whether a row has more fields than its header.
+    """All-text rows of checked deliveries with ``_source_file`` and ``date``, and two findings:
+    whether a row has more fields than its header, and whether its quotes are loose.
 
-    The parser keeps the text of rows whose width is not the header's; of those, the
-    commas outside quotes are counted. A short row is not an error: what it lacks is null.
+    The header of every part file is compared again while it is read, so a folder whose
+    parts disagree fails instead of being read by position. The parser keeps the text of rows whose
+    width is not the header's; of those, the commas outside quotes are counted. A short row is not an
+    error: what it lacks is null. Files with line breaks in values are split between records
+    (``split_csv``); days with loose quotes must be read again in one piece, with whole=True.
     """
-    rows = _parsed(spark, entity, deliveries, cfg, (RAW,))
+    rows = _parsed(spark, entity, deliveries, cfg, (RAW,), whole)
     bare = F.regexp_replace(F.col(RAW), '"(?:[^"]|"")*"', "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     # Spark refuses a query of the kept text alone, so a parsed column takes part.
@@ -125,7 +120,8 @@ def read_audited(
 
 
 def _parsed(
-    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings, also: tuple[str, ...]
+    spark: SparkSession, entity: str, deliveries: list[Delivery], cfg: Settings, also: tuple[str, ...],
+    whole: bool = False,
 ) -> DataFrame:
     expected = [*SOURCE_COLUMNS[entity], *also]
     by_order: dict[tuple[str, ...], list[Delivery]] = {}
@@ -133,22 +129,26 @@ def _parsed(
         by_order.setdefault(d.columns, []).append(d)
     result = None
     for columns, group in sorted(by_order.items()):
-        raw = (
-            spark.read.schema(text_schema([*columns, *also]))
-            .options(**DIALECT, multiLine=cfg.multiline_csv, enforceSchema=False)
-            .options(columnNameOfCorruptRecord=RAW, columnPruning=not also)
-            .csv([d.path for d in group])
-        )
-        path = F.col("_metadata.file_path")
+        if cfg.multiline_csv and not whole:
+            raw = read_split(spark, [d.path for d in group], list(columns), DIALECT, RAW)
+        else:
+            raw = (
+                spark.read.schema(text_schema([*columns, *also]))
+                .options(**DIALECT, multiLine=cfg.multiline_csv, enforceSchema=False)
+                .options(columnNameOfCorruptRecord=RAW, columnPruning=False)
+                .csv([d.path for d in group])
+                .withColumns({"path": F.col("_metadata.file_path"), LOOSE: F.lit(False)})
+            )
+        path = F.col("path")
         if entity == "transaction_codes":
             name, day = F.lit(f"{entity}.csv"), F.lit(group[0].day)
         else:
             name = F.regexp_extract(path, rf"({entity}_{DAY}\.csv)", 1)
             day = F.regexp_extract(path, rf"{entity}_({DAY})\.csv", 1).cast("date")
-        part = raw.select(*expected, name.alias("_source_file"), day.alias("date"))
+        part = raw.select(*expected, name.alias("_source_file"), day.alias("date"), LOOSE)
         result = part if result is None else result.unionByName(part)
     if result is None:
-        schema = text_schema([*expected, "_source_file"]).add("date", "date")
+        schema = text_schema([*expected, "_source_file"]).add("date", "date").add(LOOSE, "boolean")
         return spark.createDataFrame([], schema)
     return result
 
@@ -180,6 +180,11 @@ def ingest_daily_csv(
     """Bronze rows of every well-formed delivery of the range; no table is written. The
     deliveries are parsed once, into the shared folder, and audited there."""
     checked = check_headers(spark, entity, find_deliveries(spark, entity, start, end, cfg), cfg)
-    rows = files.stage(read_audited(spark, entity, [d for d in checked if d.error is None], cfg), "deliveries")
+    good = [d for d in checked if d.error is None]
+    rows = files.stage(read_audited(spark, entity, good, cfg), "deliveries")
+    if cfg.multiline_csv:
+        loose = {r["date"] for r in rows.where(F.col(LOOSE)).select("date").distinct().collect()}
+        again = read_audited(spark, entity, [d for d in good if d.day in loose], cfg, whole=True)
+        rows = files.stage(rows.where(~F.col("date").isin(sorted(loose))).unionByName(again), "deliveries")
     bad = [r["date"] for r in rows.where(F.col(OVER_LONG)).select("date").distinct().collect()]
     return add_audit_columns(rows.where(~F.col("date").isin(bad)), entity, run_id, now)

@@ -15,6 +15,7 @@ from tallystone.schemas import CONTROL, LOAD_RESULT, RUN_LOG, SOURCE_COLUMNS, br
 from tallystone.settings import Settings
 from tallystone.sources import daily_csv, files
 from tallystone.sources.daily_csv import OVER_LONG
+from tallystone.sources.split_csv import LOOSE
 from tallystone.sources.versions import NumberedFiles, VersionedTable, day_parts
 
 WRITER = "_written_run_id"
@@ -199,40 +200,64 @@ def load_days(
     bad = [d for d in checked if d.error]
     bad_rows = daily_csv.count_rows(spark, entity, bad)
     good = [d for d in checked if not d.error]
+    kept: dict[date, int] = {}
+    written: dict[date, int] = {}
+    too_long: dict[date, int] = {}
+    for whole in (False, True):  # files with loose quotes are read again, in one piece
+        done = _load_good(lake, entity, good, cfg, run_id, now, whole)
+        for found, more in zip((kept, written, too_long), done, strict=False):
+            found |= more
+        good = [d for d in good if d.day in done[3]]
+        if not good:
+            break
+    message = f"a row of this {entity} delivery has more fields than its header"
+    results = [(day, "SUCCESS", n, n, None) for day, n in {**kept, **written}.items()]
+    results += [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]
+    return results + [(day, "FAILED", n, None, message) for day, n in too_long.items()]
+
+
+def _load_good(
+    lake: Lake, entity: str, good: list[daily_csv.Delivery], cfg: Settings, run_id: str, now: datetime, whole: bool
+) -> tuple[dict[date, int], dict[date, int], dict[date, int], set[date]]:
+    """Rows by day of the deliveries that were kept, written and refused, and days with loose quotes,
+    of which nothing was done."""
+    spark, table = lake.spark, f"bronze/{entity}"
     present = set(lake.days(table))
     kept: dict[date, int] = {}
     too_long: dict[date, int] = {}
+    loose: set[date] = set()
+    findings = [F.max(c).alias(c) for c in (OVER_LONG, LOOSE)]
     again = [d for d in good if d.day in present]
     if again:  # compared first, so that a day that agrees is not written
         columns = SOURCE_COLUMNS[entity] if cfg.verify == "checksum" else None
-        source = day_counts(daily_csv.read_audited(spark, entity, again, cfg), columns, F.max(OVER_LONG).alias(OVER_LONG)).collect()
-        too_long = {r["date"]: r["row_count"] for r in source if r[OVER_LONG]}
-        counts = spark.createDataFrame([r for r in source if not r[OVER_LONG]], _count_schema(columns))
+        source = day_counts(daily_csv.read_audited(spark, entity, again, cfg, whole), columns, *findings).collect()
+        loose = {r["date"] for r in source if r[LOOSE]}
+        too_long = {r["date"]: r["row_count"] for r in source if r[OVER_LONG] and not r[LOOSE]}
+        counts = spark.createDataFrame([r for r in source if not (r[OVER_LONG] or r[LOOSE])], _count_schema(columns))
         plan = reconcile_loads(counts, day_counts(lake.bronze(entity, [d.day for d in again]), columns))
         kept = {
             r["date"]: r["loaded_rows"]
             for r in plan.where("action = 'KEEP' and source_rows is not null").collect()
         }
-    todo = [d for d in good if d.day not in kept and d.day not in too_long]
+    todo = [d for d in good if d.day not in kept and d.day not in too_long and d.day not in loose]
     written: dict[date, int] = {}
     if todo:
         # Parsed once, into folders that nobody sees; audited there; then the good days are published.
-        rows = daily_csv.read_audited(spark, entity, todo, cfg)
-        rows = daily_csv.add_audit_columns(rows, entity, run_id, now, OVER_LONG).withColumn(WRITER, F.lit(run_id))
+        rows = daily_csv.read_audited(spark, entity, todo, cfg, whole)
+        rows = daily_csv.add_audit_columns(rows, entity, run_id, now, OVER_LONG, LOOSE).withColumn(WRITER, F.lit(run_id))
         store = lake.table(table)
         write = store.write(rows, by_day=True)
-        audit = store.staged(write, rows.schema).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.max(OVER_LONG).alias("bad"))
+        audit = store.staged(write, rows.schema).groupBy("date").agg(F.count(F.lit(1)).alias("n"), *findings)
         found = {r["date"]: r for r in audit.collect()}
-        too_long |= {day: r["n"] for day, r in found.items() if r["bad"]}
-        written = {d.day: found[d.day]["n"] if d.day in found else 0 for d in todo if d.day not in too_long}
+        loose |= {day for day, r in found.items() if r[LOOSE]}
+        refused = {day: r["n"] for day, r in found.items() if r[OVER_LONG] and not r[LOOSE]}
+        too_long |= refused
+        written = {d.day: found[d.day]["n"] if d.day in found else 0 for d in todo if d.day not in refused and d.day not in loose}
         if written:
             store.publish(day_parts(write, written), bronze_schema(entity).add(WRITER, "string"), run_id)
-        store.discard(write, [d.isoformat() for d in too_long if d in found])
-    message = f"a row of this {entity} delivery has more fields than its header"
-    results = [(day, "SUCCESS", n, n, None) for day, n in {**kept, **written}.items()]
-    results += [(d.day, "FAILED", bad_rows.get(d.day, 0), None, d.error) for d in bad]
-    return results + [(day, "FAILED", n, None, message) for day, n in too_long.items()]
+        store.discard(write, [d.isoformat() for d in found if d in refused or d in loose])
+    return kept, written, too_long, loose
 
 
 def _count_schema(columns: list[str] | None) -> str:
-    return f"date date, row_count long{', checksum decimal(38,0)' if columns else ''}, {OVER_LONG} boolean"
+    return f"date date, row_count long{', checksum decimal(38,0)' if columns else ''}, {OVER_LONG} boolean, {LOOSE} boolean"
