@@ -188,7 +188,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         # Stored, so that the join has two plain shuffles and Spark can split the one of a hub.
         least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage(large, label)
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), label)
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         now = stage(small.distinct(), label)

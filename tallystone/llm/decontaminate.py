@@ -77,6 +77,17 @@ class _Windows:
         return merged(starts), items
 
 
+_built: list[tuple[list, int, _Windows]] = []
+
+
+def _windows_of(shared, window: int) -> _Windows:
+    """The windows of a broadcast benchmark, built once in each worker."""
+    items = shared.value
+    if not _built or _built[0][0] is not items or _built[0][1] != window:
+        _built[:] = [(items, window, _Windows(items, window))]
+    return _built[0][2]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for first, end in sorted(spans):
@@ -129,7 +140,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_
         def run(batches):
             import pyarrow as pa
 
-            windows = _Windows(shared.value, window)
+            windows = _windows_of(shared, window)
             for batch in batches:
                 counts, spans, items = [], [], []
                 before = [[(x["first"], x["end"]) for x in r] for r in batch.column(2).to_pylist()] if more else None

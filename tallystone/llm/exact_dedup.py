@@ -115,8 +115,9 @@ def name_documents(docs: DataFrame, text_column: str = "text", block_bytes: int
             .agg(F.max(F.when(side == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(side == 1, F.col("name"))), F.lit(-1)).alias("b"))
             .withColumn("own", F.col("rid") + F.col("pos").cast("long") * F.lit(2 << level))
         )
-        shared = pairs.groupBy("a", "b").agg(F.min("own").alias("name"), F.count("*").alias("times")).where("times > 1")
         level += 1
+        # Stored, so that the join has two plain shuffles and Spark can split the one of a common pair.
+        shared = stage(pairs.groupBy("a", "b").agg(F.min("own").alias("name"), F.count("*").alias("times")).where("times > 1"), f"shared-{level}")
         longest = (longest + 1) // 2
         now = stage(
             pairs.join(shared, ["a", "b"], "left").select("rid", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", F.coalesce("name", "own").alias("name")),

@@ -7,9 +7,10 @@ logistic unit turns into one probability. A document of any length is worked off
 chunks at a time.
 
 The network is fitted in numpy (Adam, a fixed seed) on about `sample` labelled documents per
-class (all, if there are fewer), chosen by a hash of the id; of each, at most `sample_chunks` chunks spread evenly over
-the whole text are used. That bounds what the driver holds. The classes are drawn evenly, and
-the intercept is then moved to their real proportion. Scoring is one scan without a shuffle.
+class (all, if there are fewer), chosen by a hash of the id, each with its whole text. That bounds
+what the driver holds by the sample's texts; a step works off some hundred chunks at a time. The
+classes are drawn evenly, and the intercept is then moved to their real proportion. Scoring is one
+scan without a shuffle.
 
 Defined cases: null is empty; an empty text is one empty chunk; without labelled rows of both
 classes every score is the share of label 1 (0.5 without any); of repeated labels the lowest
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallystone.llm.common import about, fold, lean, packed, read, text_of, with_columns_of
 
-SAMPLE, SAMPLE_CHUNKS = 1500, 6
+SAMPLE = 1500
 THRESHOLD = 0.7
 CHUNK, WIDTH, STRIDE = 512, 8, 2
 VECTOR, FILTERS = 8, 16
@@ -106,20 +107,25 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(logits + self.constant[0], -30, 30)))
 
     def gradient(self, chunks: np.ndarray, owner: np.ndarray, share: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-        best, at, windows = self.pooled(chunks)
-        active = np.maximum(best, 0)
-        features = np.zeros((len(y), FILTERS), np.float32)
-        np.add.at(features, owner, active * share[:, None])
+        parts = [slice(i, i + _AT_ONCE) for i in range(0, len(chunks), _AT_ONCE)]
+        features, pooled = np.zeros((len(y), FILTERS), np.float32), None
+        for s in parts:
+            pooled = self.pooled(chunks[s])
+            np.add.at(features, owner[s], np.maximum(pooled[0], 0) * share[s, None])
         p = 1 / (1 + np.exp(-np.clip(features @ self.out + self.constant[0], -30, 30)))
         wrong = ((p - y) / len(y)).astype(np.float32)
-        back = (wrong[owner] * share)[:, None] * self.out * (best > 0)
-        won = np.take_along_axis(windows, at[:, :, None], 1)
-        d_filters = np.einsum("bfk,bf->kf", won, back)
-        d_vectors = np.zeros_like(self.vectors)
-        to_bytes = back[:, :, None, None] * self.filters.T.reshape(FILTERS, WIDTH, VECTOR)
-        bytes_won = chunks[np.arange(len(chunks))[:, None, None], (at * STRIDE)[:, :, None] + np.arange(WIDTH)]
-        np.add.at(d_vectors, bytes_won.ravel(), to_bytes.reshape(-1, VECTOR))
-        return [d_vectors, d_filters, back.sum(axis=0), features.T @ wrong, np.array([wrong.sum()])]
+        d_vectors, d_filters, d_shift = np.zeros_like(self.vectors), np.zeros_like(self.filters), np.zeros_like(self.shift)
+        for s in parts:  # again part by part: what a part needs is not held for all
+            best, at, windows = pooled if len(parts) == 1 else self.pooled(chunks[s])
+            back = (wrong[owner[s]] * share[s])[:, None] * self.out * (best > 0)
+            won = np.take_along_axis(windows, at[:, :, None], 1)
+            d_filters += np.einsum("bfk,bf->kf", won, back)
+            d_shift += back.sum(axis=0)
+            to_bytes = back[:, :, None, None] * self.filters.T.reshape(FILTERS, WIDTH, VECTOR)
+            mine = chunks[s]
+            bytes_won = mine[np.arange(len(mine))[:, None, None], (at * STRIDE)[:, :, None] + np.arange(WIDTH)]
+            np.add.at(d_vectors, bytes_won.ravel(), to_bytes.reshape(-1, VECTOR))
+        return [d_vectors, d_filters, d_shift, features.T @ wrong, np.array([wrong.sum()])]
 
 
 def fit(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 5) -> Network:
@@ -144,11 +150,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 5
     return net
 
 
-def _spread(count: int, wanted: int) -> np.ndarray:
-    return np.arange(count) if count <= wanted else np.linspace(0, count - 1, wanted).round().astype(int)
-
-
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chunks: int = SAMPLE_CHUNKS, divisor: int = 4, held: int = 2, id_column: str = "doc_id", text_column: str = "text") -> Network:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, divisor: int = 4, held: int = 2, id_column: str = "doc_id", text_column: str = "text") -> Network:
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (fold("doc_id", divisor) != held))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("y")).withColumn("at", F.xxhash64("doc_id", F.lit(5)))
     totals = {int(r["y"]): r["n"] for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -161,28 +163,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chunk
         F.broadcast(chosen.select(F.col("doc_id").alias("chosen_id"), "y", "at")), F.col("id") == F.col("chosen_id")
     )
 
-    def spread(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            pieces, shares = [], []
-            for text in text_of(batch.column(0)):
-                chunks, share = chunks_of(text)
-                some = _spread(len(share), sample_chunks)
-                pieces.append(chunks[some].tobytes())
-                shares.append((share[some] / share[some].sum()).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).cast(pa.int32()), batch.column(2), pa.array(pieces, pa.binary()), pa.array(shares, pa.list_(pa.float64()))], names=["y", "at", "chunks", "shares"]
-            )
-
-    found = rows.select("text", "y", "at").mapInArrow(lean(spread), "y int, at long, chunks binary, shares array<double>").toPandas().sort_values("at")
+    found = rows.select("text", "y", "at").toPandas().sort_values("at")
     y = found["y"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         net = Network.fresh()
         net.out[:] = 0
         net.constant[0] = 0 if not len(y) else 30 * (2 * y[0] - 1)
         return net
-    texts = [(np.frombuffer(c, np.uint8).reshape(-1, CHUNK + WIDTH), np.asarray(s)) for c, s in zip(found["chunks"], found["shares"], strict=True)]
+    texts = [chunks_of((t or "").encode()) for t in found["text"]]
     net = fit(texts, y)
     net.constant += np.float32(np.log(totals[1] / totals[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return net

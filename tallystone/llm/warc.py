@@ -88,8 +88,8 @@ def _archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return headers, payloads.withColumn("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("digest")).otherwise(wrong))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record, from its header and its stored payload."""
+def read_archive(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
+    """A row per record, from its header and its stored payload; page ids are read as the type they had."""
     headers, payloads = _archive(spark, path)
     facts = payloads.select("digest", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("sha1"))
     facts = facts.withColumn("payload_digest", base32_of_hex("sha1")).drop("sha1")
@@ -103,9 +103,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return (
         headers.select(
             "digest",
-            value("WARC-Record-ID", r"<urn:page:([^>\r\n]*)>").cast("long").alias("page_id"),
+            value("WARC-Record-ID", r"<urn:page:([^>\r\n]*)>").cast(id_type).alias("page_id"),
             value("WARC-Type", "([a-z]+)").alias("record_type"),
-            value("WARC-Refers-To", r"<urn:page:([^>\r\n]*)>").cast("long").alias("refers_to"),
+            value("WARC-Refers-To", r"<urn:page:([^>\r\n]*)>").cast(id_type).alias("refers_to"),
             value("WARC-Payload-Digest", "sha1:([A-Z2-7]+)").alias("written"),
         )
         .join(facts, "digest")
