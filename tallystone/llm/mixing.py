@@ -12,10 +12,11 @@ position and the others keep their proportions; on_target tells the part, in who
 for which no source has run out. The final position is a closed form of slot and source sizes:
 nothing is sorted as a whole.
 
-Only DataFrame functions are used. Rows are numbered by one range partitioning by source, id and a
-hash of the content: Spark samples its bounds, so that a source with a third of all rows, one far-off
-id, null ids or many equal ids are spread like all else. The sorted rows are stored with their places,
-and a place in the source follows from the rows in the partitions before. The pattern has as many
+Only DataFrame functions are used. Rows are numbered by one range partitioning of their keys by source,
+id and two hashes of the content: Spark samples its bounds, so that a source with a third of all rows,
+one far-off id, null ids or many equal ids are spread like all else. A key's place in the source
+follows from the keys before it in its partition and the partitions before; rows meet their places
+by one join. The pattern has as many
 entries as the sum of the weights, which the weight levels bound per source; it does not grow with
 the rows.
 
@@ -89,19 +90,27 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, source_column:
     )
     pattern = stage(_pattern(plan).withColumn("one", F.lit(1)).join(all_sources.withColumn("one", F.lit(1)), "one").drop("one"), "mix-pattern")
 
-    # Sorted by source, id and content over all partitions; a row's number holds partition and place.
-    order = [F.col("s"), F.col("id").asc_nulls_first(), F.col("own")]
-    keyed = rows.join(plan.select("key", "s", "q"), "key").select("row", "id", "s", "q", F.xxhash64("row").alias("own"))
+    # A row's key, two hashes of its content, goes for the row: only keys are sorted as a whole, by
+    # source, id and hash over range partitions. Rows that are equal in all columns share a key.
+    keyed = rows.join(plan.select("key", "s", "q"), "key").select(
+        "row", "id", "s", "q", F.xxhash64("row").alias("own"), F.xxhash64("row", F.lit(7)).alias("own2")
+    )
+    keys = keyed.groupBy("own", "own2").agg(F.min("s").alias("s"), F.min("id").alias("id"), F.count("*").alias("n"))
+    order = [F.col("s"), F.col("id").asc_nulls_first(), F.col("own"), F.col("own2")]
     parts = []
     if rows_per_range is not None:
         parts = [max(1, -(-(plan.agg(F.sum("n")).first()[0] or 0) // rows_per_range))]
-    sorted_rows = keyed.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
-    near = stage(sorted_rows.select("row", "s", "q", F.monotonically_increasing_id().alias("number")), "mix-rows")
-    part = F.shiftright("number", 33)
-    counts = near.groupBy("s", part.alias("part")).agg(F.count("*").alias("n"), F.min("number").alias("first"))
+    sorted_keys = keys.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
+    near = stage(sorted_keys.select("s", "own", "own2", "n", F.monotonically_increasing_id().alias("number")), "mix-keys")
+    near = near.withColumn("part", F.shiftright("number", 33))
+    before = Window.partitionBy("s", "part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("s", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("offset"))
-    numbered = near.withColumn("part", part).join(offsets, ["s", "part"]).withColumn("at", F.col("offset") + F.col("number"))
+    counts = near.groupBy("s", "part").agg(F.sum("n").alias("n"))
+    offsets = stage(counts.select("s", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")), "mix-offsets")
+    places = near.join(offsets, ["s", "part"]).select("own", "own2", (F.col("offset") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("first"))
+    places = stage(places, "mix-places")
+    same = F.row_number().over(Window.partitionBy("own", "own2").orderBy("s"))
+    numbered = keyed.drop("id").join(places, ["own", "own2"]).withColumn("at", F.col("first") + same - 1)
     numbered = numbered.withColumn("block", F.floor(F.col("at") / block_rows)).withColumn("k", (F.col("block") % F.col("q")).cast("int"))
 
     cycle = F.floor(F.col("block") / F.col("q"))
