@@ -536,4 +536,13 @@ SELECT 'planted', CAST(last + 90 AS VARCHAR), 'NEW' FROM span""",
 span AS (SELECT min(date) AS first, max(date) AS last FROM ev)
 SELECT CAST(date AS VARCHAR) AS date, count(*) AS silver_rows, CAST(last AS VARCHAR) AS watermark
 FROM judged, span WHERE reason IS NULL AND NOT shielded AND date <> first + 3 GROUP BY date, last""",
+    "equivalence_buckets": """
+WITH changed AS (
+  SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CAST(o_orderkey AS VARCHAR) AS o_orderkey
+  FROM orders WHERE o_orderstatus = 'P' AND day(o_orderdate) = 7)
+SELECT date, o_orderkey, o_orderstatus, CAST(excess AS BIGINT) AS excess,
+       (SELECT count(DISTINCT date) FROM changed) AS days
+FROM changed, (VALUES ('P', 1), ('F', -1)) AS v(o_orderstatus, excess)""",
+    "unresolved_index": _EV_BY_DATE + """
+SELECT CAST(date AS VARCHAR) AS date, account_id, count(*) AS waiting_rows FROM silver WHERE NOT ok GROUP BY ALL""",
 }

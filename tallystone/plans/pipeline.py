@@ -30,7 +30,6 @@ from tallystone.operators.gold import daily_cube, daily_from_cube, weekly_cube
 from tallystone.operators.latest import latest_by
 from tallystone.operators.promote import (
     accepted,
-    late_resolved,
     promote_transactions,
     resolve_late_accounts,
 )
@@ -64,6 +63,9 @@ MERGED_SCHEMA = "date date, made_of string"
 # By day, the fingerprints of its transaction ids in ascending order.
 ID_INDEX = "pipeline/transaction_ids"
 FINGERPRINT = "fingerprint"
+# By day, the accounts of Silver rows that do not resolve.
+UNRESOLVED = "pipeline/unresolved_accounts"
+UNRESOLVED_SCHEMA = "account_id string, waiting_rows long, date date"
 
 
 @dataclass
@@ -322,6 +324,7 @@ def _silver_and_gold(run: _Run, result: RunResult, end: date, loads: dict[str, d
 
     run.step("silver_transactions", "SILVER", None, promote)
     run.step("silver_quarantine", "SILVER", None, quarantine)
+    index_unresolved(lake, run.run_id)
     refresh_gold(run, scope, end)
 
 
@@ -381,6 +384,16 @@ def index_ids(lake: Lake, run_id: str) -> None:
         lake.replace_days(ids, ID_INDEX, stale, run_id, of=stale)
 
 
+def index_unresolved(lake: Lake, run_id: str) -> None:
+    """Bring the index of accounts that do not resolve up to date: Silver days that come from
+    another write now, each with its accounts and their rows."""
+    stale = lake.outdated(UNRESOLVED, "silver/transactions")
+    if stale:
+        waiting = lake.read("silver/transactions", days=stale).where(~F.col("_is_resolvable"))
+        counts = waiting.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("waiting_rows"))
+        lake.replace_days(counts, UNRESOLVED, stale, run_id, of=stale)
+
+
 def days_that_may_hold(lake: Lake, ids: DataFrame, days: Iterable[date]) -> list[date]:
     """Which of the days the index gives for any of the ids (rows with a transaction_id). Equal
     fingerprints of different ids are the only way a day is named in vain."""
@@ -515,12 +528,12 @@ def run_backfill(
 
 def _backfill(run: _Run, result: RunResult) -> None:
     lake, cfg = run.lake, run.cfg
-    silver = lake.read("silver/transactions")
     accounts = lake.read("silver/accounts").select("account_id")
-    waiting = silver.where(~F.col("_is_resolvable"))
-    arrived = late_resolved(silver, accounts)
-    pairs = waiting.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n"))
-    touched = pairs.join(arrived, "account_id", "left_semi").select("date").distinct()
+    index_unresolved(lake, run.run_id)
+    # The index tells which days wait for an account that has arrived: no other day is opened.
+    waiting = lake.read(UNRESOLVED, UNRESOLVED_SCHEMA)
+    arrived = stage(waiting.select("account_id").distinct().join(accounts, "account_id", "left_semi"), "arrived")
+    touched = waiting.join(arrived, "account_id", "left_semi").select("date").distinct()
     result.rewritten = sorted(r["date"] for r in touched.collect())
     if not result.rewritten:
         run.log("silver_transactions", "SILVER", "SKIPPED")
@@ -528,11 +541,12 @@ def _backfill(run: _Run, result: RunResult) -> None:
 
     def resolve() -> list[dict]:
         # First the lasting part: a backfill that is cut off is simply run again.
-        owned = arrived.select("account_id").withColumn(WRITER, F.lit(run.run_id))
+        owned = arrived.withColumn(WRITER, F.lit(run.run_id))
         owned.write.mode("append").parquet(lake.path(RESOLVED))
         days = lake.read("silver/transactions", days=result.rewritten).drop(WRITER)
         changed = stage(resolve_late_accounts(days, accounts, cfg), "resolved")
         counts = lake.replace_days(changed, "silver/transactions", result.rewritten, run.run_id)
+        index_unresolved(lake, run.run_id)
         return [
             {"processed_date": d, "records_processed": n, "records_written": n, "records_rejected": 0}
             for d, n in counts.items()

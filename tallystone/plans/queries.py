@@ -25,7 +25,7 @@ from tallystone.operators.promote import (
     resolve_late_accounts,
 )
 from tallystone.operators.quarantine import build_quarantine, first_reasons
-from tallystone.plans.pipeline import days_that_may_hold, index_ids, run_backfill, run_next, run_range
+from tallystone.plans.pipeline import UNRESOLVED, days_that_may_hold, index_ids, run_backfill, run_next, run_range
 from tallystone.schemas import TRANSACTION_COLUMNS
 from tallystone.settings import TRANSACTION_TYPES, Settings
 from tallystone.sources import bindings as b
@@ -517,6 +517,17 @@ def equivalence_excess(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.equivalence(now, then)
 
 
+def equivalence_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two loads, of which one changes the pending orders of the seventh of each month: the rows that differ, found
+    by digests, and how many days had to be looked at."""
+    now = b.order_days(spark, sf).select(_day("date"), "o_orderkey", "o_orderstatus", "o_orderpriority")
+    late = (F.col("o_orderstatus") == "P") & F.col("date").endswith("-07")
+    then = now.withColumn("o_orderstatus", F.when(late, "F").otherwise(F.col("o_orderstatus")))
+    differing, rows = reconcile.equivalence_by_digest(now, then)
+    looked_at = differing.select(F.col("date").alias("day")).distinct().groupBy().agg(F.count(F.lit(1)).alias("days"))
+    return rows.select("date", "o_orderkey", "o_orderstatus", "excess").join(F.broadcast(looked_at))
+
+
 # Run log
 
 
@@ -721,6 +732,13 @@ def stream_gap_run(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(_day("date"), "silver_rows", F.lit(lake.get_watermark().isoformat()).alias("watermark"))
 
 
+def unresolved_index(spark: SparkSession, sf: str) -> DataFrame:
+    """After a load: by day the accounts that do not resolve, as the index has them for a backfill."""
+    cfg = _delivered(spark, sf)
+    _finished(run_range(spark, *_first_and_last(spark, cfg, "transactions"), cfg, run_id="run-a", now=NOW))
+    return Lake(spark, cfg).read(UNRESOLVED).select(_day("date"), "account_id", "waiting_rows")
+
+
 def _silver_of(spark: SparkSession, cfg: Settings) -> DataFrame:
     return _show_silver(Lake(spark, cfg).read("silver/transactions")).drop("_pipeline_run_id")
 
@@ -785,5 +803,6 @@ QUERIES: dict[str, Query] = {
         equivalence_excess, log_gate, log_sanitize, messages_clean, csv_ingest, csv_load_plan,
         csv_ragged, range_run, incremental_run, stream_run, stream_retry_run, reload_run, backfill_run,
         days_opened, weekly_view_run, versioned_reader, source_audit, stream_gap_run,
+        equivalence_buckets, unresolved_index,
     )
 }
