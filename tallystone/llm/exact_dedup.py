@@ -28,20 +28,21 @@ from tallystone.llm.common import lean, packed, read, stage, text_of, with_colum
 BLOCK_BYTES = 4096
 SPACES = b" \t\n\x0b\x0c\r"
 #: Bytes of distinct blocks that a task remembers at once.
-REMEMBERED = 32 << 20
+REMEMBERED = 8 << 20
 
 
 def _numbered(text_column: str, block_bytes: int):
-    """Adds to each row its number, code points, digest and first equal block of the batch."""
+    """Adds to each row its number, code points, digest and, for each block, the first equal one among
+    those that the task remembers."""
 
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 36
+        number, seen, held = TaskContext.get().partitionId() << 36, {}, 0
         for batch in batches:
-            rids, shas, reps, seen, held = [], [], [], {}, 0
+            rids, shas, reps = [], [], []
             for text in text_of(batch.column(0), text_column):
                 flat = text.translate(None, SPACES)
                 rids.append(number)
@@ -68,7 +69,7 @@ def _numbered(text_column: str, block_bytes: int):
 
 
 def _first_blocks(block_bytes: int):
-    """The blocks of each row that are the first of their kind in its batch."""
+    """The blocks of each row that are the first of their kind, as far as their task remembered."""
 
     def run(batches):
         import pyarrow as pa

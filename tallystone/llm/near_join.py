@@ -6,8 +6,9 @@
    here on; copies are never paired.
 2. A trie's keys are numbers, so a prefix is a shift. The matched prefix starts at its full
    length and is shortened until a pair at exactly the threshold shares a prefix in some tree
-   with at least the target recall. Documents that share a prefix are joined to its smallest
-   member; the connected components of these candidate edges hold every link found.
+   with at least the target recall. That follows from the threshold and the number of trees, so it
+   is the same for all documents and all trees. Documents that share a prefix are joined to its
+   smallest member; the connected components of these candidate edges hold every link found.
 3. Exact verification takes place inside components, over the real shingle sets of their texts.
    A component is cut into chunks of bounded size and each pair of chunks is one small piece of
    work, which counts the links of its documents and reports a spanning forest of them. So all
