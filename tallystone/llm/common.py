@@ -57,10 +57,12 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def lean(run):
-    """A function of batches that leaves its worker small: what it used goes back to the machine when
-    it ends, since the worker waits for the next task with all it holds."""
+    """A function of batches that keeps its worker small: large arrays are the machine's as soon as they
+    are dropped, and what else it used goes back when it ends, since the worker waits for the next task
+    with all it holds."""
 
     def wrapped(batches):
+        _no_hoarding()
         try:
             yield from run(batches)
         finally:
@@ -69,15 +71,27 @@ def lean(run):
     return wrapped
 
 
-def _give_back() -> None:
+def _libc(name: str):
+    """A function of the GNU C library; None elsewhere."""
     import ctypes
-    import gc
 
+    return getattr(ctypes.CDLL(None), name, None)
+
+
+def _no_hoarding() -> None:
     import pyarrow as pa
 
+    pa.set_memory_pool(pa.system_memory_pool())
+    set_option = _libc("mallopt")
+    if set_option:
+        set_option(-3, 1 << 20)  # M_MMAP_THRESHOLD: from 1 MB on, memory of its own
+
+
+def _give_back() -> None:
+    import gc
+
     gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    trim = _libc("malloc_trim")
     if trim:
         trim(0)
 

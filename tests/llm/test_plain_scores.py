@@ -87,6 +87,8 @@ def test_ids_of_words_are_those_of_the_text():
     raw = [w.encode() for w in words]
     want = [lm_score.END, *subwords.of_words(raw).tolist(), lm_score.END]
     assert subwords.of_text(raw).tolist() == want
-    subwords.place.clear()
+    odd = ["　", "x", "a　", "b", "　c", "\u2003\u2003", "d", "e"]
+    each = [i for w in odd for i in subwords.of_words([w.encode()]).tolist()]
+    assert subwords.of_text([w.encode() for w in odd]).tolist() == [lm_score.END, *each, lm_score.END]
     subwords._forget()
     assert subwords.of_text(raw[:10]).tolist() == lm_score.Subwords(lm_score.VOCABULARY).of_text(raw[:10]).tolist()
