@@ -43,9 +43,10 @@ PIECES = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 #: White space beyond ASCII, in UTF-8.
 _WIDE_BLANKS = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 HEAD = 131_072
-WIDTH = 8
+WIDTH = 16
 QUERY = 8
-OWN_CLASSES, CLASSES = 48, 64
+#: Ids that are classes of their own, and all classes: the context tells own ones apart, and the others by class only.
+OWN_CLASSES, CLASSES = 480, 512
 WARM_IDS = 300_000
 #: Blocks of a step in the warm-up and later, and the rates to match.
 RATE, BATCH = 0.02, 32
@@ -53,6 +54,8 @@ LATER_RATE, LATER_BATCH = 0.01, 512
 #: Distinct words whose ids a task remembers.
 KNOWN_WORDS = 200_000
 _AT_ONCE = 512
+#: Ids whose classes are weighed at once: that many masses stay in a core's cache.
+_TILE = 128
 _WORDS_AT_ONCE = 100_000
 
 
@@ -224,24 +227,30 @@ class Attention:
         logits = f["h"].reshape(-1, WIDTH) @ self.weights["classes"] + (self.weights["shift"] + self.prior.classes)
         return f | {"logits": logits - logits.max(axis=1, keepdims=True)}
 
-    def _masses(self, h: np.ndarray) -> np.ndarray:
-        """Unnormalised probabilities of the classes: bounded, so that no exponential overflows."""
+    def _masses(self, h: np.ndarray):
+        """(rows, unnormalised probabilities of their classes), tile by tile: bounded, so that no
+        exponential overflows."""
         w = self.weights
         bias = w["shift"] + self.prior.classes
-        logits = h @ w["classes"]
         largest = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0) * np.einsum("ij,ij->j", w["classes"], w["classes"]).max())
-        if not largest < 60:
-            np.clip(logits, -60, 60, out=logits)
-        logits += bias
-        return np.exp(logits, out=logits)
+        for at in range(0, len(h), _TILE):
+            rows = slice(at, at + _TILE)
+            logits = h[rows] @ w["classes"]
+            if not largest < 60:
+                np.clip(logits, -60, 60, out=logits)
+            logits += bias
+            yield rows, np.exp(logits, out=logits)
 
     def log_likelihood(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each block's targets."""
-        p = self._masses(self.attended(inputs)["h"].reshape(-1, WIDTH))
         flat = targets.ravel()
         safe = np.maximum(flat, 0)
-        own = p[np.arange(len(flat)), self.prior.of[safe]]
-        out = np.log(np.maximum(own, 1e-37)) - np.log(p.sum(axis=1)) + self.prior.within[safe]
+        h = self.attended(inputs)["h"].reshape(-1, WIDTH)
+        classes, out = self.prior.of[safe], np.empty(len(flat), h.dtype)
+        for rows, p in self._masses(h):
+            own = p[np.arange(len(p)), classes[rows]]
+            out[rows] = np.log(np.maximum(own, 1e-37)) - np.log(p.sum(axis=1))
+        out += self.prior.within[safe]
         return np.where(flat < 0, 0, out.astype(np.float64)).reshape(targets.shape).sum(axis=1)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -250,15 +259,19 @@ class Attention:
         real = flat >= 0
         n = max(int(real.sum()), 1)
         h = f["h"].reshape(-1, WIDTH)
-        d = self._masses(h)
-        at = (np.arange(len(flat)), self.prior.of[np.maximum(flat, 0)])
-        total = d.sum(axis=1)
-        loss = -float(np.log(np.maximum(d[at][real] / total[real], 1e-30)).sum()) / n
-        weight = (real / n).astype(d.dtype)
-        d *= (weight / total)[:, None]
-        d[at] -= weight
-        out = {"classes": h.T @ d, "shift": d.sum(axis=0)}
-        dh = (d @ w["classes"].T).reshape(len(inputs), QUERY, WIDTH)
+        classes, weight = self.prior.of[np.maximum(flat, 0)], (real / n).astype(h.dtype)
+        out = {"classes": np.zeros_like(w["classes"]), "shift": np.zeros_like(w["shift"])}
+        dh, loss = np.empty_like(h), 0.0
+        for rows, d in self._masses(h):
+            at = (np.arange(len(d)), classes[rows])
+            total = d.sum(axis=1)
+            loss -= float(np.log(np.maximum(d[at] / total, 1e-30))[real[rows]].sum()) / n
+            d[at] -= total
+            scale = (weight[rows] / total)[:, None]
+            out["classes"] += (h[rows] * scale).T @ d
+            out["shift"] += scale[:, 0] @ d
+            dh[rows] = (d @ w["classes"].T) * scale
+        dh = dh.reshape(len(inputs), QUERY, WIDTH)
         out["o"] = f["o"].reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
         do = _times(dh, w["o"].T)
         a = f["s"] / f["total"]
