@@ -10,11 +10,13 @@ staged table is small, Spark broadcasts it, and the rows themselves are never sh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions import any_blank, any_null, blank, money, normalise_nulls
-from tallystone.operators.skew import COPIES, lookup, mark
+from tallystone.operators.skew import COPIES, broadcast_limit, estimated_bytes, hot_from, lookup, mark
 from tallystone.schemas import ACCOUNT_COLUMNS, TRANSACTION_COLUMNS
 from tallystone.settings import (
     DUPLICATE_TRANSACTION_ID,
@@ -29,6 +31,7 @@ from tallystone.sources.files import stage
 
 REASON = "_rejection_reason"
 SHIELDED = "_shielded"
+LANE = "_copy_lane"
 
 
 def transaction_incomplete() -> Column:
@@ -80,7 +83,9 @@ def classify_transactions(
     rows = normalise_nulls(transactions, TRANSACTION_COLUMNS, cfg.null_tokens)
     if flags is None:
         flags = stage(id_flags(rows), "ids")
-    marked = mark(rows, flags, ["transaction_id"], cfg, matchable=~blank("transaction_id"))
+    if cfg.duplicates == "keep_first":
+        cfg = replace(cfg, hot_rows=hot_from(flags, cfg))
+    marked = mark(rows, flags, ["transaction_id"], cfg, matchable=~blank("transaction_id"), lane=LANE)
     marked = lookup(marked, known_codes(codes), ["transaction_code"], cfg)
 
     incomplete = transaction_incomplete()
@@ -89,7 +94,7 @@ def classify_transactions(
     shielded = ~incomplete & F.coalesce("_some_incomplete", F.lit(False))
     bad_amount = amount.isNull() | (amount <= 0)
     if cfg.duplicates == "keep_first":
-        return _keep_first(marked, transactions.columns, incomplete, shielded, bad_amount, cfg)
+        return _keep_first(marked, flags, transactions.columns, incomplete, shielded, bad_amount, cfg)
     reason = (
         F.when(incomplete, NULL_REQUIRED_FIELD)
         .when(shielded, F.lit(None))
@@ -105,6 +110,7 @@ def classify_transactions(
 
 def _keep_first(
     marked: DataFrame,
+    flags: DataFrame,
     columns: list[str],
     incomplete: Column,
     shielded: Column,
@@ -113,8 +119,10 @@ def _keep_first(
 ) -> DataFrame:
     """The first copy that passes every other rule stays; what follows it is a duplicate.
 
-    Copies are ordered by arrival, file and content. Copies equal in every column are
-    counted, not compared: one is kept and the others are repeated as duplicates.
+    Copies are ordered by arrival, file and content; of copies equal in every column one stays.
+    Rows shuffled by id to be marked are sorted where they are. Where the flags are broadcast, only the
+    copies are brought together. Rows of hot ids are never: they are stored with numbers, and compared
+    with the first one of their id, of which there are few.
     """
     other = (
         F.when(incomplete, NULL_REQUIRED_FIELD)
@@ -125,44 +133,39 @@ def _keep_first(
         ~F.col("channel").isin(*cfg.channels), INVALID_CHANNEL
     )
     order = ["_ingested_at", "_source_file"]
-    rank = F.struct(*order, *[c for c in columns if c not in order and c != "transaction_id"])
+    order += [c for c in columns if c not in order and c != "transaction_id"]
     base = marked.select(
         *columns,
+        LANE,
         F.col("_some_incomplete").isNotNull().alias("_repeats"),
         shielded.alias(SHIELDED),
         other.alias("_early"),
         late.alias("_late"),
     )
-    single = base.where(~F.col("_repeats") | blank("transaction_id")).select(
-        *columns, F.coalesce("_early", F.when(~F.col(SHIELDED), F.col("_late"))).alias(REASON), SHIELDED
-    )
-    # Three things are asked of the rows of repeated ids: they are brought together once.
-    several = stage(base.where(F.col("_repeats") & ~blank("transaction_id")), "several")
-    grouped = several.groupBy(*columns, SHIELDED, "_early", "_late").agg(
-        F.count(F.lit(1)).alias("_times")
-    )
     fit = F.col("_early").isNull() & F.col("_late").isNull() & ~F.col(SHIELDED)
-    firsts = (
-        several.where(fit).groupBy("transaction_id").agg(F.min(rank).alias("_first"))
-    )
-    first_flags = stage(
-        id_counts(several).select("transaction_id", COPIES).join(firsts, "transaction_id"),
-        "firsts",
-    )
-    judged = mark(grouped, first_flags, ["transaction_id"], cfg, spread_by=columns)
-    is_first = F.coalesce(fit & (rank == F.col("_first")), F.lit(False))
-    after = F.col("_first").isNotNull() & (rank >= F.col("_first"))
-    reason = F.coalesce(
-        F.col("_early"),
-        F.when(~F.col(SHIELDED), F.when(after, DUPLICATE_TRANSACTION_ID).otherwise(F.col("_late"))),
-    )
-    judged = judged.withColumn("_is_first", is_first)
-    kept = judged.where("_is_first").select(*columns, F.lit(None).cast("string").alias(REASON), SHIELDED)
-    others = judged.withColumn(
-        "_times", F.col("_times") - F.col("_is_first").cast("int")
-    ).where("_times > 0")
-    copies = repeat_rows(others.withColumn(REASON, reason), "_times")
-    return single.unionByName(kept).unionByName(copies.select(*columns, REASON, SHIELDED))
+
+    def judged(rows: DataFrame, after: Column) -> DataFrame:
+        late_reason = F.when(after, DUPLICATE_TRANSACTION_ID).otherwise(F.col("_late"))
+        reason = F.coalesce("_early", F.when(~F.col(SHIELDED), late_reason))
+        return rows.select(*columns, reason.alias(REASON), SHIELDED)
+
+    # A row follows the first one that passes if any before it passes.
+    before = Window.partitionBy("transaction_id", LANE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    after = F.coalesce(F.max(fit).over(before), F.lit(False))
+    is_hot = (F.col(LANE) > 0) & ~blank("transaction_id")
+    if estimated_bytes(flags) <= broadcast_limit(flags.sparkSession):
+        alone = ~F.col("_repeats") | blank("transaction_id")
+        single = judged(base.where(alone), F.lit(False))
+        result = single.unionByName(judged(base.where(~alone & ~is_hot), after))
+    else:
+        result = judged(base.where(~is_hot), after)
+    if flags.where(F.col(COPIES) >= cfg.hot_rows).isEmpty():
+        return result
+    hot = stage(base.where(is_hot).withColumn("_row", F.monotonically_increasing_id()), "hot-copies")
+    rank = F.struct(*order, "_row")
+    firsts = hot.where(fit).groupBy("transaction_id").agg(F.min(rank).alias("_first"))
+    followed = hot.join(F.broadcast(firsts), "transaction_id", "left")
+    return result.unionByName(judged(followed, F.coalesce(rank > F.col("_first"), F.lit(False))))
 
 
 def repeat_rows(df: DataFrame, times: str, block: int = 100_000) -> DataFrame:

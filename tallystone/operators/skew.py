@@ -9,7 +9,9 @@ tasks instead of meeting in one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Up to what size Spark itself broadcasts a table in this session; below 0 for never."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit.removesuffix("b") or " ")
+
+
 def is_small(df: DataFrame, cfg: Settings) -> bool:
     """Below both bounds, or so small by estimate that counting is not worth a job."""
     if estimated_bytes(df) <= cfg.broadcast_bytes // 16:
@@ -58,6 +66,7 @@ def mark(
     cfg: Settings,
     matchable: Column | None = None,
     spread_by: list[str] | None = None,
+    lane: str | None = None,
 ) -> DataFrame:
     """LEFT JOIN ``rows`` to ``flags``, which is unique on ``keys``.
 
@@ -66,7 +75,8 @@ def mark(
 
     A repeated task must give a row the same lane again. By default the lane is the row's
     place in its input, so ``rows`` has to come from a scan without a shuffle in between;
-    after a shuffle, name columns that tell the rows apart in ``spread_by``.
+    after a shuffle, name columns that tell the rows apart in ``spread_by``. With ``lane``, the rows
+    keep their lane under that name: above 0 for rows of hot keys and rows that cannot match.
     """
     payload = [c for c in flags.columns if c not in keys and c != COPIES]
     packed = F.struct(*payload)
@@ -91,7 +101,8 @@ def mark(
     )
     found = F.coalesce("_hot", "_rest")
     return joined.select(
-        *rows.columns, *[found.getField(c).alias(c) for c in payload]
+        *rows.columns, *[found.getField(c).alias(c) for c in payload],
+        *([F.col("_lane").alias(lane)] if lane else []),
     )
 
 

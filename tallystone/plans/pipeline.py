@@ -6,7 +6,6 @@ Spark job over all its days. The driver holds the run id, the days and counts pe
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -35,7 +34,7 @@ from tallystone.operators.promote import (
 )
 from tallystone.operators.quarantine import padded, quarantine_accounts, quarantine_transactions
 from tallystone.operators.runlog import check_log_complete, check_messages_clean
-from tallystone.operators.skew import COPIES
+from tallystone.operators.skew import COPIES, broadcast_limit
 from tallystone.plans.weekly_view import KNOWN, refresh_weekly
 from tallystone.schemas import LOAD_RESULT
 from tallystone.session import sized_shuffles
@@ -83,12 +82,6 @@ def _message(error: Exception) -> str:
     return str(error).strip() or type(error).__name__
 
 
-def _broadcast_bytes(spark: SparkSession) -> int:
-    """Up to what size Spark itself broadcasts a table in this session; below 0 for never."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
-    return int(number) << 10 * " kmgtp".index(unit.removesuffix("b") or " ")
-
-
 class _Run:
     """One invocation: its id, its clock and the log entries it still has to append."""
 
@@ -450,7 +443,7 @@ def rewrite_scope(lake: Lake, days: list[date], cfg: Settings) -> tuple[list[dat
 
 def _sized(scope: list[date], flags: DataFrame) -> tuple[list[date], DataFrame, bool]:
     staged, size = stage_sized(flags, "ids")
-    return scope, staged, size <= _broadcast_bytes(flags.sparkSession)
+    return scope, staged, size <= broadcast_limit(flags.sparkSession)
 
 
 def refresh_gold(run: _Run, scope: list[date], day: date) -> None:

@@ -247,6 +247,21 @@ def test_keep_first_equals_the_plain_model(spark, codes, seed, cfg):
     assert got.where(f"transaction_id = 'SAME' and {REASON} is null").count() == 1
 
 
+@pytest.mark.parametrize("hot_rows", [10**9, 5])
+def test_keep_first_shuffles_rows_once(spark, codes, hot_rows):
+    rows = random_rows(5, 700, 200) + [txn("SAME")] * 40
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "-1")
+    try:
+        got = classify_transactions(frame(spark, rows), codes, replace(CFG, duplicates="keep_first", hot_rows=hot_rows))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert judged(got) == expected(keep_first_model(rows))
+    finally:
+        spark.conf.set(name, before)
+    # The rows and what is known of their ids, once each; hot ids give their first rows besides.
+    assert plan.count("Exchange hashpartitioning(transaction_id#") <= (2 if hot_rows > 5 else 3)
+
+
 def test_repeat_rows_in_blocks(spark):
     df = spark.createDataFrame([("a", 1), ("b", 25), ("c", 10), ("d", 11)], "k string, n long")
     counts = {r["k"]: r["count"] for r in repeat_rows(df, "n", block=10).groupBy("k").count().collect()}
