@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tallystone.operators.codes import silver_codes
 from tallystone.schemas import CODE_COLUMNS, MONEY, RUN_LOG, SOURCE_COLUMNS
+from tallystone.session import unsorted_writes
 from tallystone.sources import files
 from tallystone.sources.daily_csv import DIALECT
+from tallystone.sources.versions import OPEN_DAYS
 
 NOW = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
@@ -190,9 +192,9 @@ def export_daily_csv(rows: DataFrame, entity: str, folder: str, **dialect: str)
     all days."""
     spark = rows.sparkSession
     name = F.concat(F.lit(f"{entity}_"), F.col("date").cast("string"), F.lit(".csv"))
-    rows.select(*SOURCE_COLUMNS[entity], "date", name.alias("drop")).hint("rebalance", "date").drop(
-        "date"
-    ).write.partitionBy("drop").options(**DIALECT | dialect).mode("append").csv(folder)
+    drops = rows.select(*SOURCE_COLUMNS[entity], "date", name.alias("drop")).hint("rebalance", "date").drop("date")
+    with unsorted_writes(spark, OPEN_DAYS):
+        drops.write.partitionBy("drop").options(**DIALECT | dialect).mode("append").csv(folder)
     for path in files.matching(spark, f"{folder}/drop={entity}_*"):
         files.rename(spark, path, f"{folder}/{path.rsplit('drop=', 1)[1]}")
 

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystone.schemas import SOURCE_COLUMNS, bronze_schema, text_schema
@@ -115,7 +115,7 @@ def read_audited(
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     # Spark refuses a query of the kept text alone, so a parsed column takes part.
     parsed = F.length(F.concat_ws("", *SOURCE_COLUMNS[entity])) >= 0
-    long = F.coalesce((commas >= len(SOURCE_COLUMNS[entity])) & parsed, F.lit(False))
+    long = F.coalesce(F.when(F.col(RAW).isNotNull(), (commas >= len(SOURCE_COLUMNS[entity])) & parsed), F.lit(False))
     return rows.withColumn(OVER_LONG, long).drop(RAW)
 
 
@@ -143,8 +143,7 @@ def _parsed(
         if entity == "transaction_codes":
             name, day = F.lit(f"{entity}.csv"), F.lit(group[0].day)
         else:
-            name = F.regexp_extract(path, rf"({entity}_{DAY}\.csv)", 1)
-            day = F.regexp_extract(path, rf"{entity}_({DAY})\.csv", 1).cast("date")
+            name, day = _name_and_day(path, entity)
         part = raw.select(*expected, name.alias("_source_file"), day.alias("date"), LOOSE)
         result = part if result is None else result.unionByName(part)
     if result is None:
@@ -153,6 +152,22 @@ def _parsed(
     return result
 
 
+def _name_and_day(path: Column, entity: str) -> tuple[Column, Column]:
+    """The delivery a file belongs to: its folder's name or its own. A pattern is searched for in each
+    row's path only where neither is a delivery's name."""
+    head, own = len(entity) + 1, F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+    def day_of(name: Column) -> Column:
+        fits = name.startswith(f"{entity}_") & name.endswith(".csv") & (F.length(name) == head + len("2024-01-01.csv"))
+        return F.when(fits, F.substring(name, head + 1, len("2024-01-01")).try_cast("date"))
+
+    found = F.regexp_extract(path, rf"({entity}_{DAY}\.csv)", 1)
+    searched = F.regexp_extract(path, rf"{entity}_({DAY})\.csv", 1).cast("date")
+    name = F.when(day_of(folder).isNotNull(), folder).when(day_of(own).isNotNull(), own).otherwise(found)
+    return name, F.coalesce(day_of(folder), day_of(own), searched)
+
+
 def count_rows(spark: SparkSession, entity: str, deliveries: list[Delivery]) -> dict[date, int]:
     """Data lines per delivery, whatever its columns are."""
     if not deliveries:

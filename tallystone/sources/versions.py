@@ -22,13 +22,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystone.session import unsorted_writes
 from tallystone.sources import files
 
 KEPT = 3
 WRITE = "_write"
 WHOLE = ""
 #: Rows are counted by the write itself for up to so many days, by the files' footers beyond.
-OBSERVED_DAYS = 40
+OBSERVED_DAYS = 4
+#: Days a task writes at once without sorting its rows by day.
+OPEN_DAYS = 8
 
 
 class NumberedFiles:
@@ -97,7 +100,8 @@ class VersionedTable:
         """Write data that nobody sees yet; returns the name of the write."""
         write = uuid.uuid4().hex
         writer = df.write.mode("errorifexists")
-        (writer.partitionBy("date") if by_day else writer).parquet(f"{self.path}/{WRITE}={write}")
+        with unsorted_writes(self.spark, OPEN_DAYS):
+            (writer.partitionBy("date") if by_day else writer).parquet(f"{self.path}/{WRITE}={write}")
         return write
 
     def discard(self, write: str, parts: Iterable[str]) -> None:

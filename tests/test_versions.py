@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import multiprocessing.dummy
 from dataclasses import replace
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
 from conftest import NOW, day, seed_accounts, seed_transactions, write_csv
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from test_pipeline import TABLES, same
 
 from tallystone.plans import pipeline
 from tallystone.plans.pipeline import days_that_may_hold, run_next, run_range
 from tallystone.schemas import ACCOUNT_COLUMNS, TRANSACTION_COLUMNS
-from tallystone.sources import files
+from tallystone.sources import daily_csv, files, versions
 from tallystone.sources.lake import ConcurrentRun, Lake
 from tallystone.sources.versions import KEPT, VersionedTable
 
@@ -259,3 +261,27 @@ def test_equal_tables_compare_digests_only(spark):
     # Null and empty are different values, whatever else a row holds.
     one, two = (spark.createDataFrame([(day(1), 1, v)], "date date, x long, y string") for v in (None, ""))
     assert equivalence_by_digest(one, two)[1].count() == 2
+
+
+def test_days_are_written_at_once_without_a_sort(spark, tmp_path, monkeypatch):
+    name, seen, real = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(name)), real(self, path))[1])
+    before = spark.conf.get(name)
+    rows = spark.range(0, 3000, 1, 2).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("date"))
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(30)]
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.replace_days(rows, days, "r") == dict.fromkeys(days, 100)
+    assert seen == [str(versions.OPEN_DAYS)] and int(seen[0]) > int(before) and spark.conf.get(name) == before
+    assert sorted(map(tuple, table.frame().collect())) == sorted(map(tuple, rows.collect()))
+
+
+@pytest.mark.parametrize(("path", "name"), [
+    ("file:///s/transactions_2024-01-02.csv", "transactions_2024-01-02.csv"),
+    ("file:///s/transactions_2024-01-02.csv/part-0.csv", "transactions_2024-01-02.csv"),
+    ("file:///s/transactions_2024-01-02.csv/transactions_2024-01-09.csv", "transactions_2024-01-02.csv"),
+    ("file:///s/transactions_2024-01-02.csv/a=1/part-0.csv", "transactions_2024-01-02.csv"),
+    ("file:///transactions_deliveries.csv/transactions_2024-01-02.csv", "transactions_2024-01-02.csv"),
+])
+def test_the_delivery_of_a_file(spark, path, name):
+    got = spark.range(1).select(*daily_csv._name_and_day(F.lit(path), "transactions")).first()
+    assert tuple(got) == (name, date(2024, 1, 2))
