@@ -4,7 +4,9 @@ Words (A-Z lower-cased, split at white space) are counted over all training docu
 The counts give the base score; and since each distinct word is turned into subword ids once,
 they also give the corpus-wide frequency of every id, which is the model's prior: ids are dealt
 to classes (the most frequent ones are classes of their own), the model predicts the class of
-the next id from its context on top of the prior, and the prior shares a class out to its ids.
+the next id from its context on top of the prior, and the prior shares a class out to its ids. In
+a ClassTree, which the query uses, classes stand in groups: the model predicts the group, then the
+class among those of the group.
 
 The model has one masked attention head, whose output is added to the last id's own vector; there
 is no hidden layer after it. It first learns from a bounded number of ids (`warm_ids`) on the
@@ -26,9 +28,10 @@ are zero; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
+import itertools
 import math
 import re
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -53,10 +56,14 @@ RATE, BATCH = 0.02, 32
 LATER_RATE, LATER_BATCH = 0.01, 512
 #: Distinct words whose ids a task remembers.
 KNOWN_WORDS = 200_000
-_AT_ONCE = 512
-#: Ids whose classes are weighed at once: that many masses stay in a core's cache.
+_AT_ONCE = 1024
+#: Classes of a ClassTree, those of one id among them, and their groups.
+OWN_LEAVES, LEAVES, GROUPS = 960, 1024, 16
+#: Ids whose CLASSES are weighed at once: that many masses stay in a core's cache.
 _TILE = 128
 _WORDS_AT_ONCE = 100_000
+#: Text that is split at once.
+_BYTES_AT_ONCE = 4 << 20
 
 
 def load_vocabulary(path: str) -> dict[bytes, int]:
@@ -112,24 +119,52 @@ class Subwords:
         self.used += len(ids)
         self.place.update(zip(words, range(n, n + more), strict=True))
 
+    def spans(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of the words start in `ids`, and how many they are; until the next call."""
+        if len(self.place) > KNOWN_WORDS or self.used > 8 * KNOWN_WORDS:
+            self._forget()
+        places = list(map(self.place.get, words))
+        if None in places:
+            self._keep(list(dict.fromkeys(w for w, p in zip(words, places, strict=True) if p is None)))
+            places = list(map(self.place.get, words))
+        places = np.array(places, np.int64)
+        return self.starts[places], self.lengths[places]
+
+    def between(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The ids of spans, one after the other."""
+        first = np.cumsum(lengths) - lengths
+        return self.ids.take(np.arange(lengths.sum()) + np.repeat(starts - first, lengths))
+
     def of_text(self, words: list[bytes]) -> np.ndarray:
         """END, the ids of the words, END."""
         end = np.array([END], np.int32)
         parts = [end]
         for at in range(0, len(words), _WORDS_AT_ONCE):
-            some = words[at : at + _WORDS_AT_ONCE]
-            if len(self.place) > KNOWN_WORDS or self.used > 8 * KNOWN_WORDS:
-                self._forget()
-            places = list(map(self.place.get, some))
-            if None in places:
-                self._keep(list(dict.fromkeys(w for w, p in zip(some, places, strict=True) if p is None)))
-                places = list(map(self.place.get, some))
-            places = np.array(places, np.int64)
-            lengths = self.lengths[places]
-            first = np.cumsum(lengths) - lengths
-            parts.append(self.ids[np.arange(lengths.sum()) + np.repeat(self.starts[places] - first, lengths)])
+            parts.append(self.between(*self.spans(words[at : at + _WORDS_AT_ONCE])))
         return np.concatenate([*parts, end])
 
+    def of_texts(self, owner: np.ndarray, codes: np.ndarray, words: list[bytes], texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts as of_text gives them, one after the other, and where each begins and the
+        last one ends. A text's words are the codes, in `words`, that it owns."""
+        sizes, out = np.full(texts, 2), []
+        for at in range(0, max(len(words), 1), _WORDS_AT_ONCE):
+            starts, lengths = self.spans(words[at : at + _WORDS_AT_ONCE])
+            mine = np.flatnonzero((codes >= at) & (codes < at + _WORDS_AT_ONCE)) if len(words) > _WORDS_AT_ONCE else np.arange(len(codes))
+            local = codes[mine] - at
+            out.append((mine, starts[local], lengths[local], self.ids))
+        lengths = np.zeros(len(codes), np.int64)
+        for mine, _, some, _ in out:
+            lengths[mine] = some
+        sizes += np.bincount(owner, lengths, texts).astype(np.int64)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.full(edges[-1], END, np.int32)
+        first = np.cumsum(lengths) - lengths + 2 * owner + 1
+        for mine, starts, some, known in out:
+            begin = np.cumsum(some) - some
+            step = np.arange(some.sum())
+            ids[step + np.repeat(first[mine] - begin, some)] = known.take(step + np.repeat(starts - begin, some))
+        return ids, edges
+
 
 _built: list[tuple[dict, Subwords]] = []
 
@@ -166,131 +201,176 @@ def first_blocks(at: np.ndarray, rows: np.ndarray, most: int) -> tuple[np.ndarra
 class Prior:
     """Classes of ids and their shares, from the counts of ids in the corpus."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, own: int = OWN_CLASSES, classes: int = CLASSES):
         share = (counts + 0.1) / (counts + 0.1).sum()
         order = np.argsort(-share, kind="stable")
         self.of = np.empty(IDS, np.int32)
-        self.of[order[:OWN_CLASSES]] = np.arange(OWN_CLASSES)
-        rest = order[OWN_CLASSES:]
+        self.of[order[:own]] = np.arange(own)
+        rest = order[own:]
         mass = np.cumsum(share[rest])
-        self.of[rest] = OWN_CLASSES + np.minimum(mass / mass[-1] * (CLASSES - OWN_CLASSES), CLASSES - OWN_CLASSES - 1).astype(int)
-        total = np.maximum(np.bincount(self.of, share, CLASSES), 1e-30)
+        self.of[rest] = own + np.minimum(mass / mass[-1] * (classes - own), classes - own - 1).astype(int)
+        total = np.maximum(np.bincount(self.of, share, classes), 1e-30)
         self.classes = np.log(total).astype(np.float32)
         self.within = (np.log(share) - np.log(total)[self.of]).astype(np.float32)
 
 
+class GroupedPrior(Prior):
+    """Twice the classes, in groups of neighbours by frequency: the more frequent, the smaller a group,
+    so that an id meets few others in its own."""
+
+    def __init__(self, counts: np.ndarray):
+        super().__init__(counts, OWN_LEAVES, LEAVES)
+        # Sizes as the inverse root of the share: the least sum of share times size.
+        share = np.exp(self.classes.astype(float))
+        steps = np.cumsum(np.sqrt(share))
+        self.group = np.minimum(steps / steps[-1] * GROUPS, GROUPS - 1).astype(np.uint8)
+        self.first = np.searchsorted(self.group, np.arange(GROUPS + 1))
+        self.groups = np.log(np.maximum(np.bincount(self.group, share, GROUPS), 1e-30)).astype(np.float32)
+
+
 def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     """x @ w as one product of two matrices, however many blocks there are."""
     return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
 
 
+def _masses(h: np.ndarray, w: np.ndarray, bias: np.ndarray, own: np.ndarray):
+    """(rows, unnormalised probabilities of the columns of w, their sums, places of the own ones in them),
+    tile by tile: bounded, so that no exponential overflows."""
+    largest = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0) * np.einsum("ij,ij->j", w, w).max())
+    width = w.shape[1]
+    ones, step = np.ones(width, h.dtype), max(1, _TILE * CLASSES // width)
+    for at in range(0, len(h), step):
+        rows = slice(at, at + step)
+        logits = h[rows] @ w
+        if not largest < 60:
+            np.clip(logits, -60, 60, out=logits)
+        logits += bias
+        np.exp(logits, out=logits)
+        yield rows, logits, logits @ ones, np.arange(len(logits)) * width + own[rows]
+
+
+def _log_shares(h: np.ndarray, w: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each row's own column."""
+    out = np.empty(len(h), h.dtype)
+    for rows, p, total, at in _masses(h, w, bias, own):
+        np.log(np.maximum(p.ravel().take(at), 1e-37) / total, out=out[rows])
+    return out
+
+
+def _share_gradients(h: np.ndarray, w: np.ndarray, bias: np.ndarray, own: np.ndarray, weight: np.ndarray):
+    """(loss, gradients of h, w and bias) of the weighted log-probabilities of the rows' own columns."""
+    dh, dw, dbias, loss = np.empty_like(h), np.zeros_like(w), np.zeros_like(bias, h.dtype), 0.0
+    for rows, d, total, at in _masses(h, w, bias, own):
+        flat = d.ravel()
+        mine = flat.take(at)
+        loss -= float(weight[rows] @ np.log(np.maximum(mine / total, 1e-30)))
+        flat[at] = mine - total
+        scale = (weight[rows] / total)[:, None]
+        dw += (h[rows] * scale).T @ d
+        dbias += scale[:, 0] @ d
+        np.multiply(d @ w.T, scale, out=dh[rows])
+    return loss, dh, dw, dbias
+
+
+@functools.cache
+def _ones(n: int, kind) -> np.ndarray:
+    return np.ones(n, kind)
+
+
 class Attention:
     """One causal attention head, over the classes of a Prior."""
 
+    PRIOR = Prior
+
     def __init__(self, prior: Prior, seed: int = 8):
         rng = np.random.default_rng(seed)
 
         def drawn(*shape: int) -> np.ndarray:
             return rng.normal(0, 1 / math.sqrt(shape[0]), shape).astype(np.float32)
 
-        d = WIDTH
+        d, classes = WIDTH, len(prior.classes)
         self.prior = prior
         self.weights = {
             "ids": rng.normal(0, 0.3, (IDS, d)).astype(np.float32), "places": rng.normal(0, 0.1, (2 * QUERY, d)).astype(np.float32),
-            "q": drawn(d, d), "k": drawn(d, d), "v": drawn(d, d), "o": drawn(d, d), "classes": 0.1 * drawn(d, CLASSES), "shift": np.zeros(CLASSES, np.float32),
+            "q": drawn(d, d), "k": drawn(d, d), "v": drawn(d, d), "o": drawn(d, d), "classes": 0.1 * drawn(d, classes), "shift": np.zeros(classes, np.float32),
         }
         later = np.arange(2 * QUERY)[None, :] > np.arange(QUERY, 2 * QUERY)[:, None]
         self.later = np.where(later, np.float32(-1e9), np.float32(0))
 
     def attended(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
-        """What each of the later QUERY ids of a block becomes after attention, and the steps to it."""
+        """What each of the later QUERY ids of a block becomes after attention, and the steps to it. Keys
+        and values need not be made: with one head, q k' and v o are products of weights alone."""
         w = self.weights
         gaps = inputs < 0
-        x = w["ids"][np.where(gaps, 0, inputs)]
+        x = w["ids"].take(np.maximum(inputs, 0), axis=0)
         x += w["places"]
-        mine = x[:, QUERY:]
-        q = _times(mine, w["q"] * np.float32(1 / math.sqrt(WIDTH)))
-        k, v = _times(x, w["k"]), _times(x, w["v"])
-        s = q @ k.transpose(0, 2, 1)
+        mine = np.ascontiguousarray(x[:, QUERY:])
+        qk, vo = w["q"] @ w["k"].T * np.float32(1 / math.sqrt(WIDTH)), w["v"] @ w["o"]
+        q = _times(mine, qk)
+        s = q @ x.transpose(0, 2, 1)
         s += self.later
         if gaps.any():
             s += np.where(gaps, np.float32(-1e9), np.float32(0))[:, None, :]
         np.minimum(s, np.float32(60), out=s)  # so that no exponential overflows
         np.exp(s, out=s)
-        total = np.maximum(s.sum(axis=2, keepdims=True), np.float32(1e-30))
-        o = s @ v
-        o /= total
-        return {"x": x, "mine": mine, "q": q, "k": k, "v": v, "s": s, "total": total, "o": o, "h": mine + _times(o, w["o"])}
+        s /= np.maximum(np.einsum("bij->bi", s), np.float32(1e-30))[:, :, None]
+        o = s @ x
+        return {"x": x, "mine": mine, "qk": qk, "vo": vo, "q": q, "a": s, "o": o, "h": mine + _times(o, vo)}
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         f = self.attended(inputs)
         logits = f["h"].reshape(-1, WIDTH) @ self.weights["classes"] + (self.weights["shift"] + self.prior.classes)
         return f | {"logits": logits - logits.max(axis=1, keepdims=True)}
 
-    def _masses(self, h: np.ndarray):
-        """(rows, unnormalised probabilities of their classes), tile by tile: bounded, so that no
-        exponential overflows."""
+    def _log_classes(self, h: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Natural log-probability of each row's class."""
+        return _log_shares(h, self.weights["classes"], self.weights["shift"] + self.prior.classes, classes)
+
+    def _class_gradients(self, h: np.ndarray, classes: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
+        """(loss, gradients of h, and of the weights after it)."""
         w = self.weights
-        bias = w["shift"] + self.prior.classes
-        largest = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0) * np.einsum("ij,ij->j", w["classes"], w["classes"]).max())
-        for at in range(0, len(h), _TILE):
-            rows = slice(at, at + _TILE)
-            logits = h[rows] @ w["classes"]
-            if not largest < 60:
-                np.clip(logits, -60, 60, out=logits)
-            logits += bias
-            yield rows, np.exp(logits, out=logits)
+        loss, dh, dw, dshift = _share_gradients(h, w["classes"], w["shift"] + self.prior.classes, classes, weight)
+        return loss, dh, {"classes": dw, "shift": dshift}
 
     def log_likelihood(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each block's targets."""
         flat = targets.ravel()
         safe = np.maximum(flat, 0)
-        h = self.attended(inputs)["h"].reshape(-1, WIDTH)
-        classes, out = self.prior.of[safe], np.empty(len(flat), h.dtype)
-        for rows, p in self._masses(h):
-            own = p[np.arange(len(p)), classes[rows]]
-            out[rows] = np.log(np.maximum(own, 1e-37)) - np.log(p.sum(axis=1))
-        out += self.prior.within[safe]
+        out = self._log_classes(self.attended(inputs)["h"].reshape(-1, WIDTH), self.prior.of.take(safe))
+        out += self.prior.within.take(safe)
         return np.where(flat < 0, 0, out.astype(np.float64)).reshape(targets.shape).sum(axis=1)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         w, f = self.weights, self.attended(inputs)
         flat = targets.ravel()
         real = flat >= 0
-        n = max(int(real.sum()), 1)
         h = f["h"].reshape(-1, WIDTH)
-        classes, weight = self.prior.of[np.maximum(flat, 0)], (real / n).astype(h.dtype)
-        out = {"classes": np.zeros_like(w["classes"]), "shift": np.zeros_like(w["shift"])}
-        dh, loss = np.empty_like(h), 0.0
-        for rows, d in self._masses(h):
-            at = (np.arange(len(d)), classes[rows])
-            total = d.sum(axis=1)
-            loss -= float(np.log(np.maximum(d[at] / total, 1e-30))[real[rows]].sum()) / n
-            d[at] -= total
-            scale = (weight[rows] / total)[:, None]
-            out["classes"] += (h[rows] * scale).T @ d
-            out["shift"] += scale[:, 0] @ d
-            dh[rows] = (d @ w["classes"].T) * scale
+        loss, dh, out = self._class_gradients(h, self.prior.of.take(np.maximum(flat, 0)), (real / max(int(real.sum()), 1)).astype(h.dtype))
         dh = dh.reshape(len(inputs), QUERY, WIDTH)
-        out["o"] = f["o"].reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
-        do = _times(dh, w["o"].T)
-        a = f["s"] / f["total"]
-        dv = a.transpose(0, 2, 1) @ do
-        da = do @ f["v"].transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        dq, dk = ds @ f["k"] * np.float32(1 / math.sqrt(WIDTH)), ds.transpose(0, 2, 1) @ f["q"]
-        out["q"] = f["mine"].reshape(-1, WIDTH).T @ dq.reshape(-1, WIDTH)
-        for name, grad in (("k", dk), ("v", dv)):
-            out[name] = f["x"].reshape(-1, WIDTH).T @ grad.reshape(-1, WIDTH)
-        dx = _times(dk, w["k"].T) + _times(dv, w["v"].T)
-        dx[:, QUERY:] += dh + _times(dq, w["q"].T)
-        dx[inputs < 0] = 0
+        x, a, root = f["x"], f["a"], np.float32(1 / math.sqrt(WIDTH))
+        dvo = f["o"].reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
+        out["v"], out["o"] = dvo @ w["o"].T, w["v"].T @ dvo
+        do = _times(dh, f["vo"].T)
+        ds = do @ x.transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", ds, a)[:, :, None]
+        ds *= a
+        dq = ds @ x
+        dqk = f["mine"].reshape(-1, WIDTH).T @ dq.reshape(-1, WIDTH)
+        out["q"], out["k"] = dqk @ w["k"] * root, dqk.T @ w["q"] * root
+        # Both ways to an id, as what it gives and as what it is asked by, in one product.
+        dx = np.concatenate([a, ds], axis=1).transpose(0, 2, 1) @ np.concatenate([do, f["q"]], axis=1)
+        dmine = _times(dq, f["qk"].T)
+        dmine += dh
+        dx[:, QUERY:] += dmine
+        gaps = inputs < 0
+        if gaps.any():
+            dx[gaps] = 0
         out["places"] = dx.sum(axis=0)
         flat = np.maximum(inputs, 0).ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
-        flat = flat[order]
+        flat = flat.take(order)
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        out["ids"] = (flat[first], np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0))
+        out["ids"] = (flat[first], np.add.reduceat(dx.reshape(-1, WIDTH).take(order, axis=0), first, axis=0))
         return loss, out
 
     def learn(self, batches, rate: float) -> int:
@@ -303,11 +383,95 @@ class Attention:
                 rows = slice(None)
                 if name == "ids":
                     rows, grad = grad
-                squares[name][rows] += grad * grad
-                self.weights[name][rows] -= np.float32(rate) * grad / np.sqrt(squares[name][rows])
+                square = squares[name][rows] + grad * grad
+                squares[name][rows] = square
+                grad *= np.float32(rate)
+                grad /= np.sqrt(square)
+                self.weights[name][rows] -= grad
         return learnt
 
 
+class ClassTree(Attention):
+    """Attention whose classes are told in two steps, a GroupedPrior's group and a class of that group. The
+    probabilities are exact and sum to one over all ids; a few dozen masses are weighed for an id
+    instead of all."""
+
+    PRIOR = GroupedPrior
+
+    def __init__(self, prior: GroupedPrior, seed: int = 8):
+        super().__init__(prior, seed)
+        rng = np.random.default_rng(seed + 1)
+        self.weights |= {"groups": rng.normal(0, 0.1 / math.sqrt(WIDTH), (WIDTH, GROUPS)).astype(np.float32), "lean": np.zeros(GROUPS, np.float32)}
+
+    def _weighed(self, h: np.ndarray, classes: np.ndarray):
+        """An order that brings the rows of a group together; the rows in it; and parts: step 0 weighs the
+        groups for all rows, step 1 the classes of a group for its rows. (step, rows, columns, weights,
+        unnormalised probabilities) for each, and by step and row their sums, the own ones and where
+        these stand. Shifts are a last row of the weights."""
+        w, prior = self.weights, self.prior
+        groups = prior.group.take(classes)
+        order = np.argsort(groups, kind="stable")
+        classes, groups = classes.take(order), groups.take(order)
+        top = np.vstack([w["groups"], w["lean"] + prior.groups])
+        low = np.vstack([w["classes"], w["shift"] + prior.classes])
+        ends = np.searchsorted(groups, np.arange(GROUPS + 1)).tolist()
+        n, first, number = len(h), prior.first, np.arange(len(h))
+        parts = [(0, slice(0, n), slice(0, GROUPS), top)]
+        parts += [(1, slice(a, b), slice(first[g], first[g + 1]), low[:, first[g] : first[g + 1]]) for g, (a, b) in enumerate(itertools.pairwise(ends)) if b > a]
+        at = np.stack([number * GROUPS + groups, (number - np.take(ends, groups)) * np.diff(first).take(groups) + classes - first.take(groups)])
+        given = np.empty((n, WIDTH + 1), h.dtype)
+        h.take(order, axis=0, out=given[:, :WIDTH])
+        given[:, WIDTH] = 1
+        reach = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0))
+        bounded = all(reach * np.sqrt(np.einsum("ij,ij->j", w[x], w[x]).max()) < 60 for x in ("groups", "classes"))
+        weighed, totals, own = [], np.empty((2, n), h.dtype), np.empty((2, n), h.dtype)
+        for step, rows, columns, weights in parts:
+            p = given[rows] @ weights
+            if not bounded:  # so that no exponential overflows
+                np.clip(p, -80, 80, out=p)
+            np.exp(p, out=p)
+            np.matmul(p, _ones(weights.shape[1], h.dtype), out=totals[step, rows])
+            own[step, rows] = p.ravel().take(at[step, rows])
+            weighed.append((step, rows, columns, weights, p))
+        return order, given, weighed, totals, own, at
+
+    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+        f, prior = super().forward(inputs), self.prior
+        top = f["h"].reshape(-1, WIDTH) @ self.weights["groups"] + (self.weights["lean"] + prior.groups)
+        top -= np.log(np.exp(top - top.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) + top.max(axis=1, keepdims=True)
+        logits = f["logits"].copy()
+        for g in range(GROUPS):
+            some = slice(prior.first[g], prior.first[g + 1])
+            if some.stop > some.start:
+                most = logits[:, some].max(axis=1, keepdims=True)
+                logits[:, some] += top[:, g : g + 1] - most - np.log(np.exp(logits[:, some] - most).sum(axis=1, keepdims=True))
+        return f | {"logits": logits}
+
+    def _log_classes(self, h: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        order, _, _, totals, own, _ = self._weighed(h, classes)
+        shares = np.maximum(own, 1e-37) / totals
+        out = np.empty(len(h), h.dtype)
+        out[order] = np.log(shares, out=shares).sum(axis=0)
+        return out
+
+    def _class_gradients(self, h: np.ndarray, classes: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
+        order, given, weighed, totals, own, at = self._weighed(h, classes)
+        weight = weight.take(order)
+        loss = -float((np.log(np.maximum(own / totals, 1e-30)) @ weight).sum())
+        scale, less = weight / totals, own - totals
+        scaled = given * scale[:, :, None]
+        grads = np.zeros((WIDTH + 1, GROUPS), h.dtype), np.zeros((WIDTH + 1, LEAVES), h.dtype)
+        dh = np.empty((2, len(h), WIDTH), h.dtype)
+        for step, rows, columns, weights, d in weighed:
+            d.ravel()[at[step, rows]] = less[step, rows]
+            np.matmul(d, weights[:WIDTH].T, out=dh[step, rows])
+            grads[step][:, columns] = scaled[step, rows].T @ d
+        dh *= scale[:, :, None]
+        out = np.empty_like(h)
+        out[order] = dh[0] + dh[1]
+        return loss, out, {"groups": grads[0][:WIDTH], "lean": grads[0][WIDTH], "classes": grads[1][:WIDTH], "shift": grads[1][WIDTH]}
+
+
 def _in_batches(pairs, size: int):
     """Batches of `size` blocks from (inputs, targets) of texts."""
     held, count = [], 0
@@ -327,14 +491,44 @@ def _some(column, step: int = 64):
         yield from text_of(column.slice(at, step))
 
 
+def _slices(column):
+    """(first, end) of slices of a text column of _BYTES_AT_ONCE about, of one text at least."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    after = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(after, after[at] - sizes[at] + _BYTES_AT_ONCE, side="right")))
+        yield at, end
+        at = end
+
+
+def _worded(column):
+    """(texts, owner, codes, words): for each word of a slice of a text column, its text's number and its place
+    among the distinct words, as words_of has them."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if pa.types.is_binary(column.type):
+        column = column.view(pa.string())
+    for at, end in _slices(column):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column.slice(at, end - at), "")))
+        owner = np.repeat(np.arange(end - at), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        flat = split.flatten()
+        real = pc.greater(pc.binary_length(flat), 0)  # blanks at an end leave an empty word
+        if not pc.all(real).as_py():
+            owner, flat = owner[real.to_numpy(zero_copy_only=False)], flat.filter(real)
+        flat = flat.dictionary_encode()
+        yield end - at, owner, flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.view(pa.binary())
+
+
 def _count_words(batches):
     import pyarrow as pa
 
     for batch in batches:
-        counts: Counter = Counter()
-        for text in _some(batch.column(0)):
-            counts.update(words_of(text))
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+        for _, _, codes, words in _worded(batch.column(0)):
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)), pa.int64())], names=["word", "n"])
 
 
 def _count_ids(shared):
@@ -365,10 +559,10 @@ def _rows_of(model: Attention, before: dict[str, np.ndarray], learnt: int):
         yield part, rows, change[rows]
 
 
-def train(docs: DataFrame, words: DataFrame, n_docs: int, vocabulary, warm_ids: int = WARM_IDS, encoded: DataFrame | None = None) -> Attention:
+def train(docs: DataFrame, words: DataFrame, n_docs: int, vocabulary, warm_ids: int = WARM_IDS, encoded: DataFrame | None = None, network: type[Attention] = Attention) -> Attention:
     """The model, from training documents (key, text), the table of their words' counts, and a
     vocabulary: the path of its file, or its content as a broadcast. `encoded` has the ids of the
-    documents, if they are there already."""
+    documents, if they are there already; `network` is Attention or ClassTree."""
     spark = docs.sparkSession
     if isinstance(vocabulary, str):
         vocabulary = spark.sparkContext.broadcast(load_vocabulary(vocabulary))
@@ -376,7 +570,7 @@ def train(docs: DataFrame, words: DataFrame, n_docs: int, vocabulary, warm_ids:
     counts = np.zeros(IDS)
     counts[counted["id"].to_numpy(int)] = counted["n"].to_numpy(float)
     counts[END] = n_docs
-    model = Attention(Prior(counts))
+    model = network(network.PRIOR(counts))
 
     # Warm-up: of the blocks of some documents of any length, those that come first by a hash.
     wanted = -(-warm_ids // QUERY)
@@ -414,7 +608,7 @@ def train(docs: DataFrame, words: DataFrame, n_docs: int, vocabulary, warm_ids:
     def go_on(batches):
         import pyarrow as pa
 
-        mine = Attention(start.value.prior)
+        mine = network(start.value.prior)
         before = start.value.weights
         mine.weights = {k: v.copy() for k, v in before.items()}
         if from_texts:
@@ -475,25 +669,29 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         known, subwords = shared.value, subwords_of(ranks)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            facts, tails, times, ids = [], [], [], []
-            for text in _some(batch.column(1)):
-                mine = words_of(text)
-                values = list(map(known.get, mine))
-                rare = Counter([w for w, value in zip(mine, values, strict=True) if value is None])
-                seen = len(mine) - rare.total()
-                facts.append((number, len(mine) + 1, seen + (n_docs > 0), end + sum(filter(None, values))))
-                number += 1
-                tails.append(list(rare.keys()))
-                times.append(list(rare.values()))
-                ids.append(subwords.of_text(mine).astype(np.uint16).tobytes())
-            rid, n_tokens, n_known, sums = (list(c) for c in zip(*facts, strict=True)) if facts else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2), pa.array(rid, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(sums, pa.float64()), pa.array(tails, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64())), pa.array(ids, pa.binary()),
-                ],
-                names=["key", "held_out", "rid", "n_tokens", "n_known", "base", "words", "times", "ids"],
-            )
+            done = 0
+            for texts, owner, codes, words in _worded(batch.column(1)):
+                distinct = words.to_numpy(zero_copy_only=False).tolist()
+                ids, edges = subwords.of_texts(owner, codes, distinct, texts)
+                value = np.array(list(map(known.get, distinct)), float)  # None is not a number
+                mine = value[codes]
+                rare = np.flatnonzero(np.isnan(mine))
+                mine[rare] = 0
+                n_words = np.bincount(owner, minlength=texts)
+                n_known = n_words - np.bincount(owner[rare], minlength=texts) + (n_docs > 0)
+                places, times = np.unique(owner[rare] * max(len(words), 1) + codes[rare], return_counts=True)
+                tails = np.searchsorted(places, np.arange(texts + 1) * max(len(words), 1)).astype(np.int32)
+                edges = (2 * edges).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(done, texts), batch.column(2).slice(done, texts), pa.array(np.arange(number, number + texts)),
+                        pa.array(n_words + 1), pa.array(n_known), pa.array(end + np.bincount(owner, mine, texts)),
+                        pa.ListArray.from_arrays(pa.array(tails), words.take(pa.array(places % max(len(words), 1)))), pa.ListArray.from_arrays(pa.array(tails), pa.array(times, pa.int64())),
+                        pa.BinaryArray.from_buffers(pa.binary(), texts, [None, pa.py_buffer(edges), pa.py_buffer(ids.astype(np.uint16))]),
+                    ],
+                    names=["key", "held_out", "rid", "n_tokens", "n_known", "base", "words", "times", "ids"],
+                )
+                number, done = number + texts, done + texts
 
     # Texts are taken apart once: their ids are stored, for learning and for scoring.
     kind = rows.schema["key"].dataType.simpleString()
@@ -550,4 +748,4 @@ def _add(net: Attention, blocks, owner, scores: np.ndarray) -> None:
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return score(read(spark, sf_dir, "documents", "doc_id", "text"), network=ClassTree)
